@@ -1,0 +1,7 @@
+"""Streams: none.
+
+The job being rebuilt is a batch job with no stream, watermark or state. Its
+answer to late data is the overlapping rerun: each run recomputes the last
+``lookback_days`` report days and overwrites their partitions (see
+``visitmap.plans.rerun``). Nothing is built here on purpose.
+"""
