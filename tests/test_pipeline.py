@@ -54,9 +54,29 @@ def test_one_sided_contains_two_sided(spark):
 
 def test_prededupe_is_exact(spark):
     cus, msg = load_inputs(spark, SF)
-    a = build_visit_map(cus, msg, W, build_ts="2024-02-01", prededupe=True)
-    b = build_visit_map(cus, msg, W, build_ts="2024-02-01", prededupe=False)
-    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    base = build_visit_map(cus, msg, W, build_ts="2024-02-01", prededupe="none")
+    for mode in ("messaging", "both", True, False):
+        other = build_visit_map(cus, msg, W, build_ts="2024-02-01", prededupe=mode)
+        assert other.exceptAll(base).count() == 0 and base.exceptAll(other).count() == 0, mode
+
+
+def test_runtime_bloom_filter_prunes_messaging_scan(spark):
+    """Default plan: the windowed customer keys filter the messaging scan."""
+    cus, msg = load_inputs(spark, SF)
+    conf = {"spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "1k",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    old = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        small = DateWindow("1997-01-01", "1997-01-11")
+        plan = build_visit_map(cus, msg, small)._jdf.queryExecution().optimizedPlan().toString()
+        assert "might_contain" in plan
+        plan = build_visit_map(cus, msg, small, prededupe="both")._jdf.queryExecution().optimizedPlan().toString()
+        assert "might_contain" not in plan
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
 
 
 def test_only_matched_conversations_appear(spark):
@@ -76,11 +96,14 @@ def test_hot_key_of_copies(spark):
                                                               for i in range(600)]
     cus = spark.createDataFrame(cus_rows, CUS)
     msg = spark.createDataFrame(msg_rows, MSG)
-    out = build_visit_map(cus, msg, None, build_ts="2024-02-01")
-    assert _as_set(out) == brute.visit_map(cus_rows, msg_rows)
-    plan = out._jdf.queryExecution().executedPlan().toString()
-    # Both inputs are deduplicated before the join, map-side first.
-    assert plan.count("HashAggregate") >= 6
+    expected = brute.visit_map(cus_rows, msg_rows)
+    for mode in ("messaging", "both"):
+        out = build_visit_map(cus, msg, None, build_ts="2024-02-01", prededupe=mode)
+        assert _as_set(out) == expected
+        assert out.count() == len(expected)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        # Deduped inputs are partial-aggregated in the map task before their shuffle.
+        assert plan.count("HashAggregate") >= (6 if mode == "both" else 4)
 
 
 def test_window_sides_against_brute_force(spark):

@@ -2,9 +2,10 @@
 
 Physical shape (see ``.explain("formatted")``)::
 
-    scan cus (window pushed, 5 cols) -> partial distinct -> shuffle -> distinct -\
-                                                                                  join on conversation_id
-    scan msg (5 cols [+ window])     -> partial distinct -> shuffle -> distinct -/
+    scan cus (window pushed, 5 cols) --------------------------------------\
+                                                                            join on conversation_id
+    scan msg (5 cols [+ window], bloom-filtered by the windowed cus keys)  /
+      -> partial distinct -> shuffle -> distinct ----------------------------/
       -> contact key -> explode_outer -> partial distinct -> shuffle -> distinct
       -> report date, build stamp (projections, no shuffle)
 
@@ -13,11 +14,23 @@ Design points, all for the large-cluster case:
 * One row-level dedupe after the explode, not one before and one after
   (dedupe(explode(dedupe(x))) == dedupe(explode(x))), so the wide exploded rows
   cross the network once.
-* ``prededupe`` removes copies inside each input before the join. The output
-  is deduped anyway, so this is exact, and it bounds the join: a key whose
-  rows are copies (say a third of a table) meets the other side once per
-  distinct row, not once per copy. Each dedupe is a partial aggregate in the
-  map task first, so copies are dropped before they are shuffled.
+* ``prededupe`` removes copies inside an input before the join. The output is
+  deduped anyway, so this is exact at any setting. A dedupe is a partial
+  aggregate in the map task first, so copies are dropped before they are
+  shuffled, and a key whose rows are copies (say a third of a table) meets
+  the other side once per distinct row, not once per copy.
+
+  The default, ``"messaging"``, dedupes the messaging side only. The customer
+  side is left as a plain filtered scan on purpose: it is the side Spark
+  builds its runtime bloom filter from, and an aggregate there stops
+  Spark from injecting it. With the filter, the scheduled run (11 days of
+  customers against all messaging history) drops messaging rows of other
+  conversations inside the scan, before any shuffle. Customer copies of
+  a hot key then meet already-distinct messaging rows, so the join stays
+  linear; AQE splits the hot partition and the partial dedupe after the
+  join collapses the copies map-side. ``"both"`` also dedupes the customer
+  side: it bounds the join even when one key is hot with copies on one side
+  and many distinct rows on the other, at the price of the runtime filter.
 * No fixed partition count and no broadcast hint: AQE sizes shuffle partitions
   from measured bytes, converts the join to a broadcast only below its
   runtime threshold, and splits skewed join partitions.
@@ -40,6 +53,7 @@ from visitmap.operators.stamp import add_build_stamp, add_report_date
 from visitmap.sources.tables import scan_customer, scan_messaging
 
 SIDES = ("left", "both")
+PREDEDUPE = ("messaging", "both", "none")
 
 
 def build_visit_map(
@@ -49,7 +63,7 @@ def build_visit_map(
     *,
     sides: str = "left",
     build_ts: datetime | date | str | None = None,
-    prededupe: bool = True,
+    prededupe: str | bool = "messaging",
     spark: SparkSession | None = None,
 ) -> DataFrame:
     """The 10-column visit map for conversations ending in ``window``.
@@ -61,10 +75,16 @@ def build_visit_map(
     """
     if sides not in SIDES:
         raise ValueError(f"sides must be one of {SIDES}, not {sides!r}")
+    if isinstance(prededupe, bool):
+        prededupe = "both" if prededupe else "none"
+    if prededupe not in PREDEDUPE:
+        raise ValueError(f"prededupe must be one of {PREDEDUPE}, not {prededupe!r}")
     c = scan_customer(cus, window, spark)
     m = scan_messaging(msg, window if sides == "both" else None, spark)
-    if prededupe:
-        c, m = dedupe(c), dedupe(m)
+    if prededupe == "both":
+        c = dedupe(c)
+    if prededupe != "none":
+        m = dedupe(m)
     return (
         link(c, m)
         .transform(explode_visit_guids)
