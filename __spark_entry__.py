@@ -18,7 +18,7 @@ from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
-from pyspark.sql import Column, DataFrame, SparkSession  # noqa: E402
+from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 from pyspark.sql import types as T  # noqa: E402
 
@@ -27,7 +27,6 @@ from visitmap.functions.keys import contact_key  # noqa: E402
 from visitmap.operators import (  # noqa: E402
     add_build_stamp,
     add_report_date,
-    conform,
     dedupe,
     distinct_sql,
     explode_visit_guids,
@@ -38,6 +37,7 @@ from visitmap.operators import (  # noqa: E402
     rename_app_id,
 )
 from visitmap.plans.rerun import run_window  # noqa: E402
+from visitmap.plans.visit_map_sql import build_visit_map_sql, link_distinct_sql  # noqa: E402
 from visitmap.schemas import OUTPUT_COLS  # noqa: E402
 from visitmap.session import scratch_path  # noqa: E402
 from visitmap.sinks import create_target_table, export_orc, insert_overwrite_by_name  # noqa: E402
@@ -116,7 +116,7 @@ def q07_drop_duplicates(spark, sf_dir):
 
 def q08_distinct_group_by(spark, sf_dir):
     cus, msg = _inputs(spark, sf_dir)
-    return _array_text(distinct_sql(spark, link(scan_customer(cus), scan_messaging(msg))))
+    return _array_text(link_distinct_sql(spark, scan_customer(cus), scan_messaging(msg)))
 
 
 def q09_group_by_all(spark, sf_dir):
@@ -177,6 +177,16 @@ def q18_visit_map_both_windows(spark, sf_dir):
     return build_visit_map(cus, msg, WINDOW, sides="both", build_ts=BUILD_TS)
 
 
+def q23_visit_map_sql_form(spark, sf_dir):
+    cus, msg = _inputs(spark, sf_dir)
+    return build_visit_map_sql(spark, cus, msg, WINDOW, build_ts=BUILD_TS)
+
+
+def q24_distinct_sql_helper(spark, sf_dir):
+    _, msg = _inputs(spark, sf_dir)
+    return distinct_sql(spark, rename_app_id(scan_messaging(msg)))
+
+
 # ---- sinks ------------------------------------------------------------------------
 
 def _read_target(spark: SparkSession, path: str) -> DataFrame:
@@ -222,7 +232,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         q09_group_by_all, q10_explode_outer, q11_report_date_ts, q12_report_date_string,
         q13_build_stamp, q14_rolling_window, q15_backfill_window, q16_final_projection,
         q17_visit_map_left_window, q18_visit_map_both_windows, q19_partition_overwrite,
-        q20_overlapping_reruns, q21_orc_export, q22_conform_by_name,
+        q20_overlapping_reruns, q21_orc_export, q22_conform_by_name, q23_visit_map_sql_form,
+        q24_distinct_sql_helper,
     )
 }
 
@@ -396,6 +407,10 @@ WHERE ts >= TIMESTAMP '2016-01-01 00:00:00' AND ts <= TIMESTAMP '2024-01-19 00:0
     "q21_orc_export": f"""SELECT * REPLACE (CAST(rpt_mst_date AS VARCHAR) AS rpt_mst_date) FROM (
 {_visit_map_sql(_ORDERS_FIXTURE, _IN_WINDOW_CUS, _STAMP)})""",
     "q22_conform_by_name": _visit_map_sql(_ORDERS_FIXTURE, _IN_WINDOW_CUS, _STAMP),
+    "q23_visit_map_sql_form": _visit_map_sql(_ORDERS_FIXTURE, _IN_WINDOW_CUS, _STAMP),
+    "q24_distinct_sql_helper": f"""{_ORDERS_FIXTURE}
+SELECT DISTINCT conversation_id, account_id, visitor_app_id AS app_id, conversation_source, visitor_device_type
+FROM msg""",
 }
 
 

@@ -137,3 +137,17 @@ def test_random_inputs_against_brute_force(spark, cus_rows, msg_rows, both):
     lo, hi = datetime(2024, 1, 9), datetime(2024, 1, 12)
     assert _as_set(out) == brute.visit_map(cus_rows, msg_rows, lo, hi, both)
     assert out.count() == len(_as_set(out))
+
+
+def test_sql_form_equals_dataframe_form(spark):
+    from pyspark.testing import assertDataFrameEqual, assertSchemaEqual
+
+    from visitmap.plans import build_visit_map_sql
+
+    cus, msg = load_inputs(spark, SF)
+    a = build_visit_map(cus, msg, W, build_ts="2024-02-01")
+    b = build_visit_map_sql(spark, cus, msg, W, build_ts="2024-02-01")
+    assertSchemaEqual(a.schema, b.schema)
+    assertDataFrameEqual(a, b)
+    # Auto-named views are not left behind in the session.
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("visitmap_") and t.isTemporary]

@@ -5,7 +5,8 @@ from visitmap.functions.timefns import (
     build_stamp_literal,
     mst_now,
     report_date,
+    run_labels,
 )
 from visitmap.functions.window import DateWindow
 
-__all__ = ["DateWindow", "build_stamp_literal", "contact_key", "mst_now", "report_date"]
+__all__ = ["DateWindow", "build_stamp_literal", "contact_key", "mst_now", "report_date", "run_labels"]

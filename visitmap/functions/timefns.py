@@ -13,11 +13,14 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Fixed values: "MST" is a fixed UTC-07:00 offset all year (no daylight saving),
-# and build-stamp text keeps millisecond precision.
+# Fixed values: "MST" is a fixed UTC-07:00 offset all year (no daylight saving);
+# build-stamp text keeps millisecond precision; the run also carries a compact
+# start label and its calendar day.
 MST_OFFSET_HOURS = -7
 STAMP_FORMAT = "%Y-%m-%d %H:%M:%S.%f"
 STAMP_DIGITS_CUT = 3
+RUN_LABEL_FORMAT = "%Y%m%d%H%M%S"
+RUN_DAY_FORMAT = "%Y-%m-%d"
 
 MST = timezone(timedelta(hours=MST_OFFSET_HOURS))
 _OFFSET_SECONDS = MST_OFFSET_HOURS * 3600
@@ -71,6 +74,18 @@ def stamp_text(build_ts: datetime | date | str) -> str:
     return stamp_wall_clock(build_ts).strftime(STAMP_FORMAT)[:-STAMP_DIGITS_CUT]
 
 
+def run_labels(start: datetime | None = None) -> dict[str, str]:
+    """Driver-side strings for a run started at ``start`` (UTC now by default):
+    ``label`` (compact), ``stamp`` (ms precision) and ``day``.
+    """
+    start = start or datetime.now(timezone.utc).replace(tzinfo=None)
+    return {
+        "label": start.strftime(RUN_LABEL_FORMAT),
+        "stamp": start.strftime(STAMP_FORMAT)[:-STAMP_DIGITS_CUT],
+        "day": start.strftime(RUN_DAY_FORMAT),
+    }
+
+
 def build_stamp_literal(build_ts: datetime | date | str | None, data_type: T.DataType) -> Column:
     """One literal per run: the build time as TIMESTAMP_NTZ (MST wall clock)
     or as TIMESTAMP (the instant). Being a constant it cannot change a dedupe.

@@ -1,6 +1,6 @@
 """DataFrame -> DataFrame steps of the visit map."""
 
-from visitmap.operators.dedupe import dedupe, distinct_sql, group_by_all_sql
+from visitmap.operators.dedupe import dedupe, distinct_sql, group_by_all_sql, register_view
 from visitmap.operators.explode import explode_visit_guids
 from visitmap.operators.link import link, link_on, rename_app_id
 from visitmap.operators.project import conform, select_final_columns
@@ -17,6 +17,7 @@ __all__ = [
     "link",
     "link_on",
     "overwrite_with_build_time",
+    "register_view",
     "rename_app_id",
     "select_final_columns",
 ]

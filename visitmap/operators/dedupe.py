@@ -40,7 +40,14 @@ def register_view(df: DataFrame, name: str | None = None) -> str:
 
 
 def group_by_all_sql(spark: SparkSession, df: DataFrame, view: str | None = None) -> DataFrame:
-    """``SELECT * FROM <view> GROUP BY <every column>`` through a temp view."""
+    """``SELECT * FROM <view> GROUP BY <every column>`` through a temp view.
+
+    A named ``view`` stays registered; an auto-named one is dropped once the
+    statement is analysed (the result already holds the resolved plan).
+    """
     name = register_view(df, view)
     cols = ", ".join(_quoted(c) for c in df.columns)
-    return spark.sql(f"SELECT * FROM IDENTIFIER(:view) GROUP BY {cols}", args={"view": name})
+    out = spark.sql(f"SELECT * FROM IDENTIFIER(:view) GROUP BY {cols}", args={"view": name})
+    if view is None:
+        spark.catalog.dropTempView(name)
+    return out

@@ -2,5 +2,6 @@
 
 from visitmap.plans.rerun import run_window, rolling_run
 from visitmap.plans.visit_map import build_visit_map
+from visitmap.plans.visit_map_sql import build_visit_map_sql, link_distinct_sql
 
-__all__ = ["build_visit_map", "rolling_run", "run_window"]
+__all__ = ["build_visit_map", "build_visit_map_sql", "link_distinct_sql", "rolling_run", "run_window"]
