@@ -38,10 +38,9 @@ from visitmap.operators import (  # noqa: E402
 )
 from visitmap.plans.rerun import run_window  # noqa: E402
 from visitmap.plans.visit_map_sql import build_visit_map_sql, link_distinct_sql  # noqa: E402
-from visitmap.schemas import OUTPUT_COLS  # noqa: E402
 from visitmap.session import scratch_path  # noqa: E402
 from visitmap.sinks import create_target_table, export_orc, insert_overwrite_by_name  # noqa: E402
-from visitmap.sources import load_inputs, read_table, scan_customer, scan_messaging  # noqa: E402
+from visitmap.sources import load_inputs, read_table, read_target, scan_customer, scan_messaging  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
@@ -190,7 +189,7 @@ def q24_distinct_sql_helper(spark, sf_dir):
 # ---- sinks ------------------------------------------------------------------------
 
 def _read_target(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).select(*OUTPUT_COLS)
+    return read_target(spark, path, T.TimestampNTZType())
 
 
 def q19_partition_overwrite(spark, sf_dir):

@@ -127,3 +127,20 @@ def test_conform_by_name(spark):
 def test_unsafe_location_refused(spark):
     with pytest.raises(ValueError):
         create_target_table(spark, "t_bad", "/tmp/x' OPTIONS ('a' 'b")
+
+
+def test_read_target_keeps_date_without_inference(spark):
+    from visitmap.sources import read_target
+
+    path = scratch_path(spark, "t-read")
+    overwrite_partitions(_rows(spark, date(2024, 1, 1), 2, "a"), path)
+    old = spark.conf.get("spark.sql.sources.partitionColumnTypeInference.enabled")
+    spark.conf.set("spark.sql.sources.partitionColumnTypeInference.enabled", "false")
+    try:
+        back = read_target(spark, path, NTZ)
+        assert back.columns == OUTPUT_COLS
+        assert back.schema["rpt_mst_date"].dataType == T.DateType()
+        plan = back.where(F.col("rpt_mst_date") == date(2024, 1, 1))._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: [isnotnull(rpt_mst_date" in plan
+    finally:
+        spark.conf.set("spark.sql.sources.partitionColumnTypeInference.enabled", old)

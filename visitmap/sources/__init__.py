@@ -8,7 +8,7 @@ from visitmap.sources.fixtures import (
     messaging_from_lineitem,
     read_table,
 )
-from visitmap.sources.tables import resolve, scan_customer, scan_messaging
+from visitmap.sources.tables import read_target, resolve, scan_customer, scan_messaging
 
 __all__ = [
     "customer_messaging_from_events",
@@ -17,6 +17,7 @@ __all__ = [
     "messaging_from_events",
     "messaging_from_lineitem",
     "read_table",
+    "read_target",
     "resolve",
     "scan_customer",
     "scan_messaging",

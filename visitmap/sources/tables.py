@@ -8,9 +8,10 @@ scan (PushedFilters / ReadSchema), through any derived-column projection.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from visitmap.functions.window import DateWindow
-from visitmap.schemas import CUSTOMER_COLS, MESSAGING_COLS
+from visitmap.schemas import CUSTOMER_COLS, MESSAGING_COLS, output_schema
 
 WINDOW_COL = "conversation_end_utc_date"
 
@@ -39,3 +40,13 @@ def scan_messaging(source: DataFrame | str, window: DateWindow | None = None,
     if window is not None:
         df = window.apply(df, WINDOW_COL)
     return df.select(*MESSAGING_COLS)
+
+
+def read_target(spark: SparkSession, path: str, time_type: T.DataType = T.TimestampType(),
+                fmt: str = "parquet") -> DataFrame:
+    """The partitioned target, read with its declared schema.
+
+    The report date comes back as DATE whatever the session's partition-type
+    inference says, and a filter on it prunes partitions.
+    """
+    return spark.read.schema(output_schema(time_type)).format(fmt).load(path)
