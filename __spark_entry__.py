@@ -36,6 +36,9 @@ from visitmap.operators import (  # noqa: E402
     overwrite_with_build_time,
     rename_app_id,
 )
+from visitmap.job import parse_args as job_args  # noqa: E402
+from visitmap.job import run as run_job  # noqa: E402
+from visitmap.operators.dedupe import register_view  # noqa: E402
 from visitmap.plans.rerun import run_window  # noqa: E402
 from visitmap.plans.visit_map_sql import build_visit_map_sql, link_distinct_sql  # noqa: E402
 from visitmap.session import scratch_path  # noqa: E402
@@ -159,6 +162,16 @@ def q15_backfill_window(spark, sf_dir):
     return DateWindow.backfill(BACKFILL_AS_OF).apply(events, "ts")
 
 
+def q25_whole_day_window(spark, sf_dir):
+    events = read_table(spark, sf_dir, "events").select("event_id", "ts")
+    return DateWindow.rolling(EVENTS_AS_OF, mode="whole_days").apply(events, "ts")
+
+
+def q26_report_day_window(spark, sf_dir):
+    events = read_table(spark, sf_dir, "events").select("event_id", "ts")
+    return add_report_date(DateWindow.rolling(EVENTS_AS_OF, mode="report_days").apply(events, "ts"), "ts")
+
+
 # ---- whole job ------------------------------------------------------------------
 
 def q16_final_projection(spark, sf_dir):
@@ -223,6 +236,19 @@ def q22_conform_by_name(spark, sf_dir):
     return spark.table(table)
 
 
+def q27_scheduled_job(spark, sf_dir):
+    """The command-line job: rolling report days as of a fixed day, inputs by name."""
+    cus, msg = _inputs(spark, sf_dir, "events")
+    path = scratch_path(spark, "q27")
+    views = [register_view(cus), register_view(msg)]
+    args = job_args(["--customer", views[0], "--messaging", views[1],
+                     "--target-path", path, "--as-of", EVENTS_AS_OF.isoformat(), "--build-ts", BUILD_TS])
+    run_job(spark, args)
+    for v in views:
+        spark.catalog.dropTempView(v)
+    return _read_target(spark, path)
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -232,7 +258,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         q13_build_stamp, q14_rolling_window, q15_backfill_window, q16_final_projection,
         q17_visit_map_left_window, q18_visit_map_both_windows, q19_partition_overwrite,
         q20_overlapping_reruns, q21_orc_export, q22_conform_by_name, q23_visit_map_sql_form,
-        q24_distinct_sql_helper,
+        q24_distinct_sql_helper, q25_whole_day_window, q26_report_day_window, q27_scheduled_job,
     )
 }
 
@@ -407,6 +433,17 @@ WHERE ts >= TIMESTAMP '2016-01-01 00:00:00' AND ts <= TIMESTAMP '2024-01-19 00:0
 {_visit_map_sql(_ORDERS_FIXTURE, _IN_WINDOW_CUS, _STAMP)})""",
     "q22_conform_by_name": _visit_map_sql(_ORDERS_FIXTURE, _IN_WINDOW_CUS, _STAMP),
     "q23_visit_map_sql_form": _visit_map_sql(_ORDERS_FIXTURE, _IN_WINDOW_CUS, _STAMP),
+    "q25_whole_day_window": """
+SELECT event_id, ts FROM events
+WHERE ts >= TIMESTAMP '2024-01-04 00:00:00' AND ts < TIMESTAMP '2024-01-15 00:00:00'""",
+    "q26_report_day_window": """
+SELECT event_id, ts, CAST(ts - INTERVAL 7 HOUR AS DATE) AS rpt_mst_date FROM events
+WHERE ts >= TIMESTAMP '2024-01-04 07:00:00' AND ts < TIMESTAMP '2024-01-15 07:00:00'""",
+    "q27_scheduled_job": _visit_map_sql(
+        _EVENTS_FIXTURE,
+        "c.conversation_end_utc_date >= TIMESTAMP '2024-01-04 07:00:00' "
+        "AND c.conversation_end_utc_date < TIMESTAMP '2024-01-15 07:00:00'",
+        _STAMP),
     "q24_distinct_sql_helper": f"""{_ORDERS_FIXTURE}
 SELECT DISTINCT conversation_id, account_id, visitor_app_id AS app_id, conversation_source, visitor_device_type
 FROM msg""",
