@@ -13,6 +13,15 @@ from pyspark.sql import SparkSession
 # into a broadcast only when the measured side is small; static broadcasts
 # from file-size estimates are off, since compressed file sizes do not bound
 # the in-memory size of a filtered, projected side.
+#
+# The runtime bloom filter (windowed customer keys -> messaging scan) is only
+# injected when the creation side's *estimated* size is under
+# creationSideThreshold (10 MB by default). Without column statistics a
+# filtered scan is estimated at its whole table's size, so the default
+# silently skips the filter on large tables. The filter itself stays bounded
+# by spark.sql.optimizer.runtime.bloomFilter.maxNumBits (8 MB) whatever the
+# creation side's size; a larger creation side only costs one more pass over
+# the windowed customer rows to build it.
 RECOMMENDED_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -21,6 +30,7 @@ RECOMMENDED_CONF = {
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32m",
     "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "8g",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.files.maxPartitionBytes": "256m",
 }
