@@ -29,7 +29,7 @@ from visitmap.operators import (  # noqa: E402
     add_report_date,
     dedupe,
     distinct_sql,
-    explode_visit_guids,
+    explode_ids,
     group_by_all_sql,
     link,
     link_on,
@@ -123,13 +123,13 @@ def q08_distinct_group_by(spark, sf_dir):
 
 def q09_group_by_all(spark, sf_dir):
     cus, msg = _inputs(spark, sf_dir)
-    exploded = explode_visit_guids(link(scan_customer(cus), scan_messaging(msg)))
+    exploded = explode_ids(link(scan_customer(cus), scan_messaging(msg)))
     return group_by_all_sql(spark, exploded)
 
 
 def q10_explode_outer(spark, sf_dir):
     cus, _ = _inputs(spark, sf_dir)
-    return explode_visit_guids(scan_customer(cus)).select(
+    return explode_ids(scan_customer(cus)).select(
         "conversation_id", "conversation_end_utc_date", "visit_guid")
 
 

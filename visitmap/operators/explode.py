@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def explode_visit_guids(df: DataFrame, array_col: str = "visit_guids", out_col: str = "visit_guid") -> DataFrame:
+def explode_ids(df: DataFrame, array_col: str = "visit_guids", out_col: str = "visit_guid") -> DataFrame:
     """Replace the array column by one row per element, in place.
 
     ``explode_outer`` keeps conversations without ids: a NULL or empty array

@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from visitmap.schemas import OUTPUT_COLS
 
 
-def select_final_columns(df: DataFrame) -> DataFrame:
+def project_contract(df: DataFrame) -> DataFrame:
     """The 10 output columns in contract order."""
     return df.select(*OUTPUT_COLS)
 

@@ -46,9 +46,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from visitmap.functions.window import DateWindow
 from visitmap.operators.dedupe import dedupe
-from visitmap.operators.explode import explode_visit_guids
+from visitmap.operators.explode import explode_ids
 from visitmap.operators.link import link
-from visitmap.operators.project import select_final_columns
+from visitmap.operators.project import project_contract
 from visitmap.operators.stamp import add_build_stamp, add_report_date
 from visitmap.sources.tables import scan_customer, scan_messaging
 
@@ -87,9 +87,9 @@ def build_visit_map(
         m = dedupe(m)
     return (
         link(c, m)
-        .transform(explode_visit_guids)
+        .transform(explode_ids)
         .transform(dedupe)
         .transform(add_report_date)
         .transform(lambda df: add_build_stamp(df, build_ts))
-        .transform(select_final_columns)
+        .transform(project_contract)
     )

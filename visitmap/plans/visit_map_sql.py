@@ -14,28 +14,24 @@ from pyspark.sql import DataFrame, SparkSession
 
 from visitmap.functions.window import DateWindow
 from visitmap.operators.dedupe import group_by_all_sql
-from visitmap.operators.explode import explode_visit_guids
-from visitmap.operators.project import select_final_columns
+from visitmap.operators.explode import explode_ids
+from visitmap.operators.project import project_contract
 from visitmap.operators.stamp import add_build_stamp, add_report_date
 from visitmap.sources.tables import scan_customer, scan_messaging
 
 _LINK_DISTINCT = """
-SELECT DISTINCT concat(CAST(l2.account_id AS STRING), '-', l.conversation_id) AS parent_contact_id,
-       l.conversation_start_utc_ts AS conversation_start_utc_ts,
-       l.conversation_end_utc_ts AS conversation_end_utc_ts,
-       l.conversation_end_utc_date AS conversation_end_utc_date,
-       l.visit_guids AS visit_guids,
-       l2.visitor_app_id AS app_id,
-       l2.visitor_device_type AS visitor_device_type,
-       l2.conversation_source AS conversation_source
-FROM {cus} l
-INNER JOIN {msg} l2 ON l.conversation_id = l2.conversation_id
-GROUP BY 1, 2, 3, 4, 5, 6, 7, 8
+SELECT DISTINCT
+    concat(CAST(m.account_id AS STRING), '-', c.conversation_id) AS parent_contact_id,
+    c.conversation_start_utc_ts, c.conversation_end_utc_ts, c.conversation_end_utc_date, c.visit_guids,
+    m.visitor_app_id AS app_id, m.visitor_device_type, m.conversation_source
+FROM {cus} AS c
+JOIN {msg} AS m ON m.conversation_id = c.conversation_id
+GROUP BY ALL
 """
 
 
 def link_distinct_sql(spark: SparkSession, cus: DataFrame, msg: DataFrame) -> DataFrame:
-    """Join (ON form), contact key and DISTINCT over GROUP BY, in one SQL statement.
+    """Join (ON form), contact key and DISTINCT over GROUP BY ALL, in one SQL statement.
 
     Catalyst merges the DISTINCT and the GROUP BY into one aggregate.
     """
@@ -58,5 +54,5 @@ def build_visit_map_sql(
     redundant, and is the one to run at scale.
     """
     linked = link_distinct_sql(spark, scan_customer(cus, window, spark), scan_messaging(msg, None, spark))
-    rows = group_by_all_sql(spark, explode_visit_guids(linked))
-    return select_final_columns(add_build_stamp(add_report_date(rows), build_ts))
+    rows = group_by_all_sql(spark, explode_ids(linked))
+    return project_contract(add_build_stamp(add_report_date(rows), build_ts))
