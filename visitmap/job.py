@@ -1,4 +1,4 @@
-"""The scheduled job: ``spark-submit -m visitmap.job ...`` or ``python -m visitmap``.
+"""The scheduled visit-map job (``spark-submit visitmap/job.py ...`` or ``python -m visitmap ...``).
 
 Everything the original job looked up at import time (environment, dates,
 table names) is an argument here. One run:
