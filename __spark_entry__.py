@@ -42,7 +42,13 @@ from visitmap.operators.dedupe import register_view  # noqa: E402
 from visitmap.plans.rerun import run_window  # noqa: E402
 from visitmap.plans.visit_map_sql import build_visit_map_sql, link_distinct_sql  # noqa: E402
 from visitmap.session import scratch_path  # noqa: E402
-from visitmap.sinks import create_target_table, export_orc, insert_overwrite_by_name  # noqa: E402
+from visitmap.sinks import (  # noqa: E402
+    create_export_table,
+    create_target_table,
+    export_orc,
+    insert_overwrite_by_name,
+    replace_export_table,
+)
 from visitmap.sources import load_inputs, read_table, read_target, scan_customer, scan_messaging  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -256,6 +262,14 @@ def q27_scheduled_job(spark, sf_dir):
     return _read_target(spark, path)
 
 
+def q29_export_table(spark, sf_dir):
+    """The ORC export as a catalog table: dropped, defined, refreshed by name."""
+    table = f"visitmap_export_{uuid.uuid4().hex}"
+    create_export_table(spark, table, scratch_path(spark, "q29"), time_type=T.TimestampNTZType())
+    replace_export_table(spark, q17_visit_map_left_window(spark, sf_dir), table)
+    return spark.table(table)
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -266,7 +280,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         q17_visit_map_left_window, q18_visit_map_both_windows, q19_partition_overwrite,
         q20_overlapping_reruns, q21_orc_export, q22_conform_by_name, q23_visit_map_sql_form,
         q24_distinct_sql_helper, q25_whole_day_window, q26_report_day_window, q27_scheduled_job,
-        q28_query_time_clock,
+        q28_query_time_clock, q29_export_table,
     )
 }
 
@@ -452,6 +466,8 @@ WHERE ts >= TIMESTAMP '2024-01-04 07:00:00' AND ts < TIMESTAMP '2024-01-15 07:00
         "c.conversation_end_utc_date >= TIMESTAMP '2024-01-04 07:00:00' "
         "AND c.conversation_end_utc_date < TIMESTAMP '2024-01-15 07:00:00'",
         _STAMP),
+    "q29_export_table": f"""SELECT * REPLACE (CAST(rpt_mst_date AS VARCHAR) AS rpt_mst_date) FROM (
+{_visit_map_sql(_ORDERS_FIXTURE, _IN_WINDOW_CUS, _STAMP)})""",
     "q24_distinct_sql_helper": f"""{_ORDERS_FIXTURE}
 SELECT DISTINCT conversation_id, account_id, visitor_app_id AS app_id, conversation_source, visitor_device_type
 FROM msg""",
