@@ -49,7 +49,7 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("--history-start", type=date.fromisoformat, default=HISTORY_START)
     p.add_argument("--sides", choices=("left", "both"), default="left",
                    help="window the customer side only (scheduled job) or both inputs")
-    p.add_argument("--prededupe", choices=("messaging", "both", "none"), default="messaging")
+    p.add_argument("--prededupe", choices=("auto", "messaging", "both", "none"), default="auto")
     p.add_argument("--build-ts", help="build stamp (MST wall clock); default: now")
     args = p.parse_args(argv)
     if bool(args.target_path) == bool(args.target_table):

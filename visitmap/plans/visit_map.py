@@ -1,6 +1,6 @@
 """The visit map job as one lazy plan.
 
-Physical shape (see ``.explain("formatted")``)::
+Physical shape of the scheduled run (customer-side window; see ``docs/PLANS.md``)::
 
     scan cus (window pushed, 5 cols) --------------------------------------\
                                                                             join on conversation_id
@@ -20,17 +20,21 @@ Design points, all for the large-cluster case:
   shuffled, and a key whose rows are copies (say a third of a table) meets
   the other side once per distinct row, not once per copy.
 
-  The default, ``"messaging"``, dedupes the messaging side only. The customer
-  side is left as a plain filtered scan on purpose: it is the side Spark
-  builds its runtime bloom filter from, and an aggregate there stops
-  Spark from injecting it. With the filter, the scheduled run (11 days of
-  customers against all messaging history) drops messaging rows of other
-  conversations inside the scan, before any shuffle. Customer copies of
-  a hot key then meet already-distinct messaging rows, so the join stays
-  linear; AQE splits the hot partition and the partial dedupe after the
-  join collapses the copies map-side. ``"both"`` also dedupes the customer
-  side: it bounds the join even when one key is hot with copies on one side
-  and many distinct rows on the other, at the price of the runtime filter.
+  ``"both"`` dedupes both inputs: the join then never meets a copy, so even a
+  key that is hot on both sides produces only distinct output pairs.
+  ``"messaging"`` leaves the customer side as a plain filtered scan on
+  purpose: that is the side Spark builds its runtime bloom filter from, and
+  an aggregate there stops Spark from injecting it. With the filter, the
+  scheduled run (11 days of customers against all messaging history) drops
+  messaging rows of other conversations inside the scan, before any
+  shuffle. Customer copies of a hot key then meet already-distinct messaging
+  rows, so the work stays linear unless the same key also has many distinct
+  messaging rows; AQE splits the hot partition and the partial dedupe after
+  the join collapses the copies map-side.
+
+  The default, ``"auto"``, picks ``"messaging"`` exactly when that filter can
+  apply (a customer-side window with ``sides="left"``) and ``"both"``
+  otherwise (no window, or both sides windowed).
 * No fixed partition count and no broadcast hint: AQE sizes shuffle partitions
   from measured bytes, converts the join to a broadcast only below its
   runtime threshold, and splits skewed join partitions.
@@ -53,7 +57,7 @@ from visitmap.operators.stamp import add_build_stamp, add_report_date
 from visitmap.sources.tables import scan_customer, scan_messaging
 
 SIDES = ("left", "both")
-PREDEDUPE = ("messaging", "both", "none")
+PREDEDUPE = ("auto", "messaging", "both", "none")
 
 
 def build_visit_map(
@@ -63,7 +67,7 @@ def build_visit_map(
     *,
     sides: str = "left",
     build_ts: datetime | date | str | None = None,
-    prededupe: str | bool = "messaging",
+    prededupe: str | bool = "auto",
     spark: SparkSession | None = None,
 ) -> DataFrame:
     """The 10-column visit map for conversations ending in ``window``.
@@ -79,6 +83,8 @@ def build_visit_map(
         prededupe = "both" if prededupe else "none"
     if prededupe not in PREDEDUPE:
         raise ValueError(f"prededupe must be one of {PREDEDUPE}, not {prededupe!r}")
+    if prededupe == "auto":
+        prededupe = "messaging" if (window is not None and sides == "left") else "both"
     c = scan_customer(cus, window, spark)
     m = scan_messaging(msg, window if sides == "both" else None, spark)
     if prededupe == "both":
