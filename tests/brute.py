@@ -3,14 +3,16 @@
 from datetime import timedelta
 
 
-def visit_map(cus, msg, lo=None, hi=None, both=False):
+def visit_map(cus, msg, lo=None, hi=None, both=False, hi_closed=True):
     """cus: (cid, start, end, day, guids); msg: (cid, account, app, source, device, day).
 
-    Window: closed [lo, hi] on the end day (datetime). Returns a set of the 8
-    dedupe columns + report date.
+    Window on the end day (datetime): [lo, hi] when ``hi_closed``, else [lo, hi).
+    Returns a set of the 8 dedupe columns + report date.
     """
     def inside(d):
-        return lo is None or (d is not None and lo <= d <= hi)
+        if lo is None:
+            return True
+        return d is not None and lo <= d and (d <= hi if hi_closed else d < hi)
 
     out = set()
     for cid, start, end, day, guids in cus:

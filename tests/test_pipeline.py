@@ -118,24 +118,36 @@ def test_window_sides_against_brute_force(spark):
 
 _ids = st.sampled_from(["c1", "c2", "c3", None])
 _guid = st.sampled_from(["a", "b", " a", None])
-_day = st.sampled_from([datetime(2024, 1, 9, 6, 59), datetime(2024, 1, 9, 7), datetime(2024, 1, 11, 23),
-                        datetime(2024, 1, 12), datetime(2024, 1, 12, 10), None])
+_day = st.sampled_from([datetime(2024, 1, 8, 23), datetime(2024, 1, 9), datetime(2024, 1, 9, 6, 59),
+                        datetime(2024, 1, 9, 7), datetime(2024, 1, 11, 23), datetime(2024, 1, 12),
+                        datetime(2024, 1, 12, 10), datetime(2024, 1, 13, 6, 59), datetime(2024, 1, 13, 7),
+                        None])
 _cus_row = st.tuples(_ids, st.just(datetime(2024, 1, 1)), st.just(datetime(2024, 1, 2)), _day,
                      st.one_of(st.none(), st.lists(_guid, max_size=3)))
 _msg_row = st.tuples(_ids, st.sampled_from([1, 22, None]), st.sampled_from(["app", "web"]),
                      st.just("SMS"), st.sampled_from(["Desktop", None]), _day)
 
 
-@settings(max_examples=25, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+# (mode, low bound, high bound, high inclusive) of the window 2024-01-09 .. 2024-01-12
+_MODES = {
+    "closed": (datetime(2024, 1, 9), datetime(2024, 1, 12), True),
+    "whole_days": (datetime(2024, 1, 9), datetime(2024, 1, 13), False),
+    "report_days": (datetime(2024, 1, 9, 7), datetime(2024, 1, 13, 7), False),
+}
+
+
+@settings(max_examples=30, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(cus_rows=st.lists(_cus_row, max_size=8), msg_rows=st.lists(_msg_row, max_size=8),
-       both=st.booleans())
-def test_random_inputs_against_brute_force(spark, cus_rows, msg_rows, both):
+       both=st.booleans(), mode=st.sampled_from(sorted(_MODES)),
+       prededupe=st.sampled_from(["auto", "messaging", "both", "none"]))
+def test_random_inputs_against_brute_force(spark, cus_rows, msg_rows, both, mode, prededupe):
     cus = spark.createDataFrame(cus_rows, CUS)
     msg = spark.createDataFrame(msg_rows, MSG)
-    w = DateWindow("2024-01-09", "2024-01-12")
-    out = build_visit_map(cus, msg, w, sides="both" if both else "left", build_ts="2024-02-01")
-    lo, hi = datetime(2024, 1, 9), datetime(2024, 1, 12)
-    assert _as_set(out) == brute.visit_map(cus_rows, msg_rows, lo, hi, both)
+    w = DateWindow("2024-01-09", "2024-01-12", mode)
+    out = build_visit_map(cus, msg, w, sides="both" if both else "left", build_ts="2024-02-01",
+                          prededupe=prededupe)
+    lo, hi, hi_closed = _MODES[mode]
+    assert _as_set(out) == brute.visit_map(cus_rows, msg_rows, lo, hi, both, hi_closed)
     assert out.count() == len(_as_set(out))
 
 
