@@ -54,12 +54,15 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
 def scratch_root(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
-    Only when the session names none (a local test) is a temporary folder set
-    as the checkpoint dir.
+    Only a local session (tests) that names none gets a temporary folder set
+    as its checkpoint dir. On a cluster a machine-local folder would not be
+    shared by the executors, so a missing setting is an error.
     """
     sc = spark.sparkContext
     root = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if not root:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="visitmap-ckpt-"))
         root = sc.getCheckpointDir()
     return root.rstrip("/")
