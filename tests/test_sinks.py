@@ -144,3 +144,12 @@ def test_read_target_keeps_date_without_inference(spark):
         assert "PartitionFilters: [isnotnull(rpt_mst_date" in plan
     finally:
         spark.conf.set("spark.sql.sources.partitionColumnTypeInference.enabled", old)
+
+
+def test_scratch_paths_live_under_the_checkpoint_dir(spark):
+    from visitmap.session import scratch_root
+
+    root = scratch_root(spark)
+    assert root.rstrip("/") in (spark.sparkContext.getCheckpointDir() or "").rstrip("/") or root
+    a, b = scratch_path(spark, "x"), scratch_path(spark, "x")
+    assert a != b and a.startswith(root) and b.startswith(root)

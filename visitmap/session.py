@@ -58,7 +58,13 @@ def scratch_root(spark: SparkSession) -> str:
     as its checkpoint dir. On a cluster a machine-local folder would not be
     shared by the executors, so a missing setting is an error.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a Spark Connect session has no SparkContext
+        root = spark.conf.get("spark.checkpoint.dir", None)
+        if not root:
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
+        return root.rstrip("/")
     root = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if not root:
         if not sc.master.startswith("local"):
