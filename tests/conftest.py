@@ -1,8 +1,12 @@
+import os
 import sys
 from pathlib import Path
 
 import pytest
 
+# pyspark.testing imports pandas-on-Spark, which asks for this before a context starts.
+os.environ.setdefault("PYARROW_IGNORE_TIMEZONE", "1")
+
 ROOT = Path(__file__).resolve().parents[1]
 sys.path.insert(0, str(ROOT))
 
