@@ -50,3 +50,41 @@ def test_hot_conversation_is_split_by_aqe(spark):
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)
+
+
+def test_hot_report_date_is_split_across_files(spark):
+    """A report date holding most rows is written by several tasks, not one."""
+    import os
+    from datetime import date
+
+    from pyspark.sql import types as T
+
+    from visitmap.schemas import output_schema
+    from visitmap.session import scratch_path
+    from visitmap.sinks import overwrite_partitions
+
+    conf = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+            "spark.sql.adaptive.coalescePartitions.enabled": "true"}
+    old = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        t = F.lit(datetime(2024, 1, 10, 12)).cast("timestamp_ntz")
+        hot = F.when(F.col("id") % 3 != 0, F.lit(date(2024, 1, 10))).otherwise(
+            F.date_add(F.lit(date(2024, 1, 1)), (F.col("id") % 9).cast("int")))
+        df = spark.range(200000).select(
+            F.concat(F.lit("k"), F.col("id").cast("string")).alias("parent_contact_id"),
+            t.alias("conversation_start_utc_ts"), t.alias("conversation_end_utc_ts"),
+            t.alias("conversation_end_utc_date"), F.lit("app").alias("app_id"),
+            F.lit("SMS").alias("conversation_source"), F.lit(None).cast("string").alias("visitor_device_type"),
+            F.col("id").cast("string").alias("visit_guid"), t.alias("etl_build_mst_ts"), hot.alias("rpt_mst_date"))
+        assert df.columns == output_schema(T.TimestampNTZType()).names
+        path = scratch_path(spark, "t-hot-date")
+        overwrite_partitions(df, path)
+        local = path.replace("file:", "")
+        files = [f for f in os.listdir(os.path.join(local, "rpt_mst_date=2024-01-10")) if f.endswith(".parquet")]
+        assert len(files) > 1
+        assert spark.read.parquet(path).count() == 200000
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
