@@ -29,11 +29,13 @@ DESKTOP_MIN_QTY = 25
 GUID_PREFIX = "v"
 DEVICE_DESKTOP = "Desktop"
 # Events mapping: 'error' events carry no visit ids; visit ids are the event
-# type and 'u' + user_id % 3; the source is the constant 'web'.
+# type and 'u' + user_id % 3; account_id = user_id % 5; the source is the
+# constant 'web'; device 'Desktop' when value > 25.
 EVENTS_NO_GUIDS_TYPE = "error"
 EVENTS_USER_GUID_MOD = 3
 EVENTS_USER_PREFIX = "u"
 EVENTS_SOURCE = "web"
+EVENTS_DESKTOP_MIN_VALUE = 25
 
 
 
@@ -100,7 +102,7 @@ def messaging_from_events(events: DataFrame) -> DataFrame:
         (F.col("user_id") % ACCOUNT_MOD).alias("account_id"),
         F.col("event_type").alias("visitor_app_id"),
         F.lit(EVENTS_SOURCE).alias("conversation_source"),
-        F.when(F.col("value") > DESKTOP_MIN_QTY, F.lit(DEVICE_DESKTOP)).alias("visitor_device_type"),
+        F.when(F.col("value") > EVENTS_DESKTOP_MIN_VALUE, F.lit(DEVICE_DESKTOP)).alias("visitor_device_type"),
         F.col("ts").alias("conversation_end_utc_date"),
     )
 
