@@ -40,3 +40,8 @@ def test_job_to_catalog_table(spark):
 def test_job_needs_one_target():
     with pytest.raises(SystemExit):
         parse_args(["--customer", "a", "--messaging", "b"])
+
+
+def test_job_shuffle_width_flag(spark):
+    args = parse_args(["--customer", "a", "--messaging", "b", "--target-path", "/x", "--shuffle-partitions", "4000"])
+    assert args.shuffle_partitions == 4000

@@ -51,6 +51,9 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
                    help="window the customer side only (scheduled job) or both inputs")
     p.add_argument("--prededupe", choices=("auto", "messaging", "both", "none"), default="auto")
     p.add_argument("--build-ts", help="build stamp (MST wall clock); default: now")
+    p.add_argument("--shuffle-partitions", type=int,
+                   help="initial shuffle width (about largest stage input / 128 MB); AQE coalesces "
+                        "from there. Default: the session's setting")
     args = p.parse_args(argv)
     if bool(args.target_path) == bool(args.target_table):
         p.error("give exactly one of --target-path and --target-table")
@@ -58,6 +61,10 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
 
 
 def run(spark: SparkSession, args: argparse.Namespace) -> DateWindow:
+    if args.shuffle_partitions:
+        # AQE can merge small partitions and split skewed ones, but not split a
+        # uniformly oversized one: start wide enough for the data.
+        spark.conf.set("spark.sql.shuffle.partitions", str(args.shuffle_partitions))
     if args.backfill:
         window = DateWindow.backfill(args.as_of, args.history_start, mode="report_days")
     else:
