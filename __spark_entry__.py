@@ -63,6 +63,7 @@ RUN_A = DateWindow("1997-01-01", "1998-06-30", "report_days")
 RUN_B = DateWindow("1998-01-01", "1998-12-31", "report_days")
 EVENT_RUN_A = DateWindow("2024-01-03", "2024-01-12", "report_days")
 EVENT_RUN_B = DateWindow("2024-01-08", "2024-01-20", "report_days")
+SCHEDULED_AS_OF = date(1997, 6, 12)         # rolling window 1997-06-01 .. 1997-06-11
 
 
 def _array_text(df: DataFrame, col: str = "visit_guids") -> DataFrame:
@@ -202,6 +203,12 @@ def q18_visit_map_both_windows(spark, sf_dir):
     return build_visit_map(cus, msg, WINDOW, sides="both", build_ts=BUILD_TS)
 
 
+def q30_scheduled_window(spark, sf_dir):
+    """The scheduled run's shape: 11-day rolling window on the customer side only."""
+    cus, msg = _inputs(spark, sf_dir)
+    return build_visit_map(cus, msg, DateWindow.rolling(SCHEDULED_AS_OF), sides="left", build_ts=BUILD_TS)
+
+
 def q23_visit_map_sql_form(spark, sf_dir):
     cus, msg = _inputs(spark, sf_dir)
     return build_visit_map_sql(spark, cus, msg, WINDOW, build_ts=BUILD_TS)
@@ -280,7 +287,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         q17_visit_map_left_window, q18_visit_map_both_windows, q19_partition_overwrite,
         q20_overlapping_reruns, q21_orc_export, q22_conform_by_name, q23_visit_map_sql_form,
         q24_distinct_sql_helper, q25_whole_day_window, q26_report_day_window, q27_scheduled_job,
-        q28_query_time_clock, q29_export_table,
+        q28_query_time_clock, q29_export_table, q30_scheduled_window,
     )
 }
 
@@ -468,6 +475,11 @@ WHERE ts >= TIMESTAMP '2024-01-04 07:00:00' AND ts < TIMESTAMP '2024-01-15 07:00
         _STAMP),
     "q29_export_table": f"""SELECT * REPLACE (CAST(rpt_mst_date AS VARCHAR) AS rpt_mst_date) FROM (
 {_visit_map_sql(_ORDERS_FIXTURE, _IN_WINDOW_CUS, _STAMP)})""",
+    "q30_scheduled_window": _visit_map_sql(
+        _ORDERS_FIXTURE,
+        "c.conversation_end_utc_date >= TIMESTAMP '1997-06-01 00:00:00' "
+        "AND c.conversation_end_utc_date <= TIMESTAMP '1997-06-11 00:00:00'",
+        _STAMP),
     "q24_distinct_sql_helper": f"""{_ORDERS_FIXTURE}
 SELECT DISTINCT conversation_id, account_id, visitor_app_id AS app_id, conversation_source, visitor_device_type
 FROM msg""",

@@ -21,7 +21,10 @@ from pyspark.sql import SparkSession
 # silently skips the filter on large tables. The filter itself stays bounded
 # by spark.sql.optimizer.runtime.bloomFilter.maxNumBits (8 MB) whatever the
 # creation side's size; a larger creation side only costs one more pass over
-# the windowed customer rows to build it.
+# the windowed customer rows to build it. The application-side gate (10 GB
+# scanned by default) is lowered too: on the scheduled run's shape (11 days
+# of customers) the filter made the job 2.2x faster even at sf0.1, and on
+# wide windows it cost nothing measurable; large scans pass the gate anyway.
 RECOMMENDED_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -31,6 +34,7 @@ RECOMMENDED_CONF = {
     "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
     "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "8g",
+    "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "1m",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.files.maxPartitionBytes": "256m",
 }
