@@ -4,8 +4,8 @@ Every query reads the driver's tables (or a Spark projection of them, see
 ``visitmap.sources.fixtures``) whole. Windows are the job's own date windows,
 not sampling. Arrays leave a query as text plus size, and every time value is
 TIMESTAMP_NTZ or DATE, so results do not depend on the session time zone.
-Queries q19-q22 write to fresh folders under the session's checkpoint dir
-and return what they read back.
+Queries q19-q22, q27 and q29 write to fresh folders under the session's
+checkpoint dir and return what they read back.
 """
 
 from __future__ import annotations
