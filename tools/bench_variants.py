@@ -4,7 +4,9 @@
 
 * pre-dedupe none / messaging (default) / both, one- and two-sided window;
 * the SQL form, which also dedupes before the explode;
-* the partitioned write with and without ``rebalance``.
+* the partitioned write with and without ``rebalance``;
+* the scheduled run's shape (11-day customer window) with and without the
+  runtime bloom filter.
 
 Each variant is warmed up once, then timed ``runs`` times, interleaved; the
 median is printed as one JSON line per variant.
@@ -52,6 +54,18 @@ def main(argv):
             lambda r=rb: overwrite_partitions(build_visit_map(*inputs(), report_days, build_ts="2024-02-01"),
                                               scratch_path(spark, "variants"), rebalance=r))
 
+    scheduled = DateWindow.rolling("1997-06-12")
+
+    def with_bloom(on):
+        spark.conf.set("spark.sql.optimizer.runtime.bloomFilter.enabled", "true" if on else "false")
+        try:
+            noop(build_visit_map(*inputs(), scheduled, build_ts="2024-02-01"))
+        finally:
+            spark.conf.set("spark.sql.optimizer.runtime.bloomFilter.enabled", "true")
+
+    for on in (True, False):
+        variants[f"scheduled_11_days/bloom_filter={on}"] = lambda o=on: with_bloom(o)
+
     for fn in variants.values():
         fn()
     samples = {k: [] for k in variants}
