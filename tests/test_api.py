@@ -51,3 +51,33 @@ def test_rolling_run_writes_the_lookback_report_days(spark):
     assert got == set(window.report_dates())
     expected = build_visit_map(cus, msg, DateWindow("2024-01-16", "2024-01-19", "report_days"), build_ts="2024-02-01")
     assert back.exceptAll(expected).count() == 0 and expected.exceptAll(back).count() == 0
+
+
+def test_bloom_filter_sizing():
+    from visitmap.session import bloom_filter_conf
+
+    conf = bloom_filter_conf(10_000_000)
+    bits = int(conf["spark.sql.optimizer.runtime.bloomFilter.numBits"])
+    assert 7.2 * 10_000_000 < bits < 7.4 * 10_000_000          # about 7.3 bits per key at 3%
+    assert conf["spark.sql.optimizer.runtime.bloomFilter.expectedNumItems"] == "10000000"
+    capped = bloom_filter_conf(10**10)
+    assert int(capped["spark.sql.optimizer.runtime.bloomFilter.maxNumBits"]) == 64 * 2**20 * 8
+
+
+def test_sized_bloom_filter_in_plan(spark):
+    from visitmap.session import bloom_filter_conf
+
+    cus, msg = load_inputs(spark, "/root/testdata/sf0.001")
+    conf = {**bloom_filter_conf(2_000_000),
+            "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "1k"}
+    old = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        plan = build_visit_map(cus, msg, DateWindow("1997-01-01", "1997-01-11"))._jdf.queryExecution() \
+            .optimizedPlan().toString()
+        assert "might_contain" in plan
+        assert conf["spark.sql.optimizer.runtime.bloomFilter.numBits"] in plan
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)

@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from visitmap.functions.timefns import mst_now, stamp_text
 from visitmap.functions.window import DEFAULT_LOOKBACK_DAYS, HISTORY_START, DateWindow
 from visitmap.plans.visit_map import build_visit_map
+from visitmap.session import bloom_filter_conf
 from visitmap.sinks.files import export_orc, overwrite_partitions
 from visitmap.sinks.tables import create_target_table, insert_overwrite_by_name
 
@@ -51,6 +52,9 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
                    help="window the customer side only (scheduled job) or both inputs")
     p.add_argument("--prededupe", choices=("auto", "messaging", "both", "none"), default="auto")
     p.add_argument("--build-ts", help="build stamp (MST wall clock); default: now")
+    p.add_argument("--window-conversations", type=int,
+                   help="expected distinct conversations in the window; sizes the runtime bloom "
+                        "filter (3%% false positives, at most 64 MB) so it keeps pruning at scale")
     p.add_argument("--shuffle-partitions", type=int,
                    help="initial shuffle width (about largest stage input / 128 MB); AQE coalesces "
                         "from there. Default: the session's setting")
@@ -65,6 +69,9 @@ def run(spark: SparkSession, args: argparse.Namespace) -> DateWindow:
         # AQE can merge small partitions and split skewed ones, but not split a
         # uniformly oversized one: start wide enough for the data.
         spark.conf.set("spark.sql.shuffle.partitions", str(args.shuffle_partitions))
+    if args.window_conversations:
+        for k, v in bloom_filter_conf(args.window_conversations).items():
+            spark.conf.set(k, v)
     if args.backfill:
         window = DateWindow.backfill(args.as_of, args.history_start, mode="report_days")
     else:

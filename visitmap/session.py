@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import os
 import tempfile
 import uuid
@@ -40,6 +41,23 @@ RECOMMENDED_CONF = {
 }
 
 
+def bloom_filter_conf(expected_keys: int, fpp: float = 0.03, max_bytes: int = 64 << 20) -> dict[str, str]:
+    """Runtime-filter sizing for ``expected_keys`` distinct customer keys in a window.
+
+    Without statistics Spark sizes the filter for 1M keys (1 MiB), so it
+    saturates on a large window and stops pruning. This sizes it for the
+    expected keys at false-positive rate ``fpp`` (m = -n ln p / ln^2 2 bits),
+    capped at ``max_bytes``: the filter is what gets broadcast, and its size
+    stays this bound whatever the data.
+    """
+    n = max(1, int(expected_keys))
+    bits = math.ceil(-n * math.log(fpp) / (math.log(2) ** 2))
+    bits = min(bits, max_bytes * 8)
+    prefix = "spark.sql.optimizer.runtime.bloomFilter."
+    return {prefix + "expectedNumItems": str(n), prefix + "maxNumItems": str(n),
+            prefix + "numBits": str(bits), prefix + "maxNumBits": str(bits)}
+
+
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str = "visitmap",
                   extra: dict | None = None) -> SparkSession:
     """A local session for tests and the benchmark (UI off)."""
