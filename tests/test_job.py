@@ -45,3 +45,24 @@ def test_job_needs_one_target():
 def test_job_shuffle_width_flag(spark):
     args = parse_args(["--customer", "a", "--messaging", "b", "--target-path", "/x", "--shuffle-partitions", "4000"])
     assert args.shuffle_partitions == 4000
+
+
+def test_job_measures_the_window_for_the_filter(spark):
+    cus, msg = load_inputs(spark, SF, "events")
+    cus.createOrReplaceTempView("job_ev_cus")
+    msg.createOrReplaceTempView("job_ev_msg")
+    key = "spark.sql.optimizer.runtime.bloomFilter.expectedNumItems"
+    old = spark.conf.get(key)
+    try:
+        args = parse_args(["--customer", "job_ev_cus", "--messaging", "job_ev_msg",
+                           "--target-path", scratch_path(spark, "job-measure"), "--as-of", "2024-01-15",
+                           "--measure-window", "--build-ts", "2024-01-15 01:00:00"])
+        run(spark, args)
+        n = int(spark.conf.get(key))
+        exact = cus.where("conversation_end_utc_date >= '2024-01-04 07:00:00' AND "
+                          "conversation_end_utc_date < '2024-01-15 07:00:00'").select("conversation_id").distinct().count()
+        assert abs(n - exact) <= max(10, exact * 0.1)
+    finally:
+        for k in ("expectedNumItems", "maxNumItems", "numBits", "maxNumBits"):
+            spark.conf.unset(f"spark.sql.optimizer.runtime.bloomFilter.{k}")
+        spark.conf.set(key, old)

@@ -18,11 +18,13 @@ import logging
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from visitmap.functions.timefns import mst_now, stamp_text
 from visitmap.functions.window import DEFAULT_LOOKBACK_DAYS, HISTORY_START, DateWindow
 from visitmap.plans.visit_map import build_visit_map
 from visitmap.session import bloom_filter_conf
+from visitmap.sources.tables import scan_customer
 from visitmap.sinks.files import export_orc, overwrite_partitions
 from visitmap.sinks.tables import create_target_table, insert_overwrite_by_name
 
@@ -55,6 +57,9 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("--window-conversations", type=int,
                    help="expected distinct conversations in the window; sizes the runtime bloom "
                         "filter (3%% false positives, at most 64 MB) so it keeps pruning at scale")
+    p.add_argument("--measure-window", action="store_true",
+                   help="count the window's distinct conversations first (one approximate "
+                        "aggregate over the windowed customer rows) and size the filter from it")
     p.add_argument("--shuffle-partitions", type=int,
                    help="initial shuffle width (about largest stage input / 128 MB); AQE coalesces "
                         "from there. Default: the session's setting")
@@ -69,16 +74,22 @@ def run(spark: SparkSession, args: argparse.Namespace) -> DateWindow:
         # AQE can merge small partitions and split skewed ones, but not split a
         # uniformly oversized one: start wide enough for the data.
         spark.conf.set("spark.sql.shuffle.partitions", str(args.shuffle_partitions))
-    if args.window_conversations:
-        for k, v in bloom_filter_conf(args.window_conversations).items():
-            spark.conf.set(k, v)
     if args.backfill:
         window = DateWindow.backfill(args.as_of, args.history_start, mode="report_days")
     else:
         window = DateWindow.rolling(args.as_of, args.lookback_days, mode="report_days")
+    cus = _source(spark, args.customer)
+    expected = args.window_conversations
+    if args.measure_window and not expected:
+        # One number back to the driver: an approximate distinct count of the window's keys.
+        expected = scan_customer(cus, window).agg(
+            F.approx_count_distinct("conversation_id").alias("n")).first()["n"]
+    if expected:
+        for k, v in bloom_filter_conf(expected).items():
+            spark.conf.set(k, v)
     build_ts = args.build_ts or mst_now()          # one clock read per run
     log.info("visit map for report days %s..%s, build %s", window.start, window.end, stamp_text(build_ts))
-    df = build_visit_map(_source(spark, args.customer), _source(spark, args.messaging), window,
+    df = build_visit_map(cus, _source(spark, args.messaging), window,
                          sides=args.sides, build_ts=build_ts, prededupe=args.prededupe, spark=spark)
     if args.target_path:
         overwrite_partitions(df, args.target_path)
