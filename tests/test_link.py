@@ -47,7 +47,7 @@ def test_on_form_keeps_both_keys(spark):
     rows = out.collect()
     assert len(rows) == 4
     assert all(r.cus_conversation_id == r.msg_conversation_id for r in rows)
-    using = link(cus, msg).drop()
+    using = link(cus, msg)
     assert sorted(out.drop("cus_conversation_id", "msg_conversation_id").collect()) == sorted(using.collect())
 
 
