@@ -99,6 +99,11 @@ def run(spark: SparkSession, args: argparse.Namespace) -> DateWindow:
                 raise SystemExit("--target-location is needed to create --target-table")
             create_target_table(spark, args.target_table, args.target_location,
                                 time_type=df.schema["etl_build_mst_ts"].dataType)
+        have = spark.table(args.target_table).schema["etl_build_mst_ts"].dataType
+        if have != df.schema["etl_build_mst_ts"].dataType:
+            log.warning("target %s stores %s but the inputs carry %s; times are cast through the "
+                        "session time zone", args.target_table, have.simpleString(),
+                        df.schema["etl_build_mst_ts"].dataType.simpleString())
         insert_overwrite_by_name(spark, df, args.target_table)
     if args.export_path:
         export_orc(df, args.export_path)

@@ -18,7 +18,10 @@ def conform(df: DataFrame, target: T.StructType | list[str]) -> DataFrame:
     """Columns of ``df`` in the target's order, matched by name (never position).
 
     With a StructType target, a column whose type differs is cast to the
-    target type; a missing column is an error, not a silent NULL.
+    target type; a missing column is an error, not a silent NULL. A cast
+    between TIMESTAMP_NTZ and TIMESTAMP goes through the session time zone,
+    so keep the inputs' and the target's time types equal (the job creates
+    its target with the inputs' type).
     """
     names = target.names if isinstance(target, T.StructType) else list(target)
     missing = [n for n in names if n not in df.columns]
