@@ -81,3 +81,21 @@ def test_sized_bloom_filter_in_plan(spark):
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)
+
+
+def test_backfill_run_keeps_dates_outside_its_range(spark):
+    from pyspark.sql import functions as F
+    from pyspark.sql import types as T
+
+    from visitmap.plans import backfill_run
+
+    cus, msg = load_inputs(spark, "/root/testdata/sf0.001", "events")
+    path = scratch_path(spark, "t-backfill")
+    rolling_run(cus, msg, path, as_of="2024-01-25", lookback_days=2, build_ts="2024-02-01 00:00:00")
+    window = backfill_run(cus, msg, path, as_of="2024-01-10", start="2024-01-01", build_ts="2024-02-02 00:00:00")
+    assert (window.start, window.end) == (date(2024, 1, 1), date(2024, 1, 9))
+    back = read_target(spark, path, T.TimestampNTZType())
+    stamps = {r.rpt_mst_date: r.s for r in back.groupBy("rpt_mst_date").agg(F.max("etl_build_mst_ts").alias("s")).collect()}
+    assert {d for d, s in stamps.items() if s == datetime(2024, 2, 2)} == set(window.report_dates()) & set(stamps)
+    assert {d for d, s in stamps.items() if s == datetime(2024, 2, 1)} == {date(2024, 1, 22), date(2024, 1, 23),
+                                                                            date(2024, 1, 24)}

@@ -15,7 +15,7 @@ from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
-from visitmap.functions.window import DEFAULT_LOOKBACK_DAYS, DateWindow
+from visitmap.functions.window import DEFAULT_LOOKBACK_DAYS, HISTORY_START, DateWindow
 from visitmap.plans.visit_map import build_visit_map
 from visitmap.sinks.files import overwrite_partitions
 
@@ -50,3 +50,21 @@ def rolling_run(
     window = DateWindow.rolling(as_of, lookback_days, mode="report_days")
     run_window(cus, msg, window, target_path, **kwargs)
     return window
+
+
+def backfill_run(
+    cus: DataFrame | str,
+    msg: DataFrame | str,
+    target_path: str,
+    *,
+    as_of: date | str | None = None,
+    start: date | str = HISTORY_START,
+    **kwargs,
+) -> DateWindow:
+    """The history run: report days ``start`` .. yesterday (MST), in one job.
+
+    Every report date in the range is rewritten; dates outside it are kept.
+    """
+    window = DateWindow.backfill(as_of, start, mode="report_days")
+    run_window(cus, msg, window, target_path, **kwargs)
+    return window
