@@ -51,3 +51,15 @@ def test_no_python_in_the_job(spark):
     cus, msg = load_inputs(spark, SF)
     plan = _initial_plan(build_visit_map(cus, msg, W, build_ts="2024-02-01"))
     assert "Python" not in plan and "ArrowEval" not in plan and "BatchEval" not in plan
+
+
+def test_sql_form_has_the_same_shuffles(spark):
+    from visitmap.plans import build_visit_map_sql
+
+    cus, msg = load_inputs(spark, SF)
+    df_plan = _initial_plan(build_visit_map(cus, msg, W, build_ts="2024-02-01"))
+    sql_plan = _initial_plan(build_visit_map_sql(spark, cus, msg, W, build_ts="2024-02-01"))
+    def keysets(plan):
+        return sorted(tuple(sorted(e.split(", "))) for e in _exchanges(plan))
+
+    assert keysets(sql_plan) == keysets(df_plan)

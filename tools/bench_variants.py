@@ -3,7 +3,8 @@
     python tools/bench_variants.py [sf_dir] [runs]
 
 * pre-dedupe none / messaging (default) / both, one- and two-sided window;
-* the SQL form, which also dedupes before the explode;
+* the script-shaped SQL, which also dedupes before the explode, and the
+  one-statement SQL form of the job;
 * the partitioned write with and without ``rebalance``;
 * the scheduled run's shape (11-day customer window) with and without the
   runtime bloom filter.
@@ -28,10 +29,12 @@ def main(argv):
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.1"
     runs = int(argv[2]) if len(argv) > 2 else 5
     from visitmap import DateWindow, build_visit_map
-    from visitmap.plans import build_visit_map_sql
+    from visitmap.operators import (add_build_stamp, add_report_date, explode_ids, group_by_all_sql,
+                                    project_contract)
+    from visitmap.plans import build_visit_map_sql, link_distinct_sql
     from visitmap.session import local_session, scratch_path
     from visitmap.sinks import overwrite_partitions
-    from visitmap.sources import load_inputs
+    from visitmap.sources import load_inputs, scan_customer, scan_messaging
 
     spark = local_session(8, shuffle_partitions=16, app="visitmap-variants")
     w = DateWindow("1997-01-01", "1998-12-31")
@@ -47,7 +50,14 @@ def main(argv):
         for mode in ("none", "messaging", "both"):
             variants[f"{sides}/prededupe={mode}"] = (
                 lambda s=sides, m=mode: noop(build_visit_map(*inputs(), w, sides=s, prededupe=m, build_ts="2024-02-01")))
-    variants["left/sql_form_two_dedupes"] = lambda: noop(build_visit_map_sql(spark, *inputs(), w, build_ts="2024-02-01"))
+    def script_shape():
+        cus, msg = inputs()
+        linked = link_distinct_sql(spark, scan_customer(cus, w), scan_messaging(msg))
+        noop(project_contract(add_build_stamp(add_report_date(group_by_all_sql(spark, explode_ids(linked))),
+                                              "2024-02-01")))
+
+    variants["left/sql_script_shape_two_dedupes"] = script_shape
+    variants["left/sql_one_statement"] = lambda: noop(build_visit_map_sql(spark, *inputs(), w, build_ts="2024-02-01"))
     report_days = DateWindow("1998-01-01", "1998-03-31", "report_days")
     for rb in (True, False):
         variants[f"write_90_days/rebalance={rb}"] = (

@@ -13,8 +13,6 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame, SparkSession
 
 from visitmap.functions.window import DateWindow
-from visitmap.operators.dedupe import group_by_all_sql
-from visitmap.operators.explode import explode_ids
 from visitmap.operators.project import project_contract
 from visitmap.operators.stamp import add_build_stamp, add_report_date
 from visitmap.sources.tables import scan_customer, scan_messaging
@@ -38,6 +36,25 @@ def link_distinct_sql(spark: SparkSession, cus: DataFrame, msg: DataFrame) -> Da
     return spark.sql(_LINK_DISTINCT, cus=cus, msg=msg)
 
 
+_VISIT_ROWS = """
+WITH m AS (
+    SELECT DISTINCT conversation_id, account_id, visitor_app_id, conversation_source, visitor_device_type
+    FROM {msg}
+),
+linked AS (
+    SELECT concat(CAST(m.account_id AS STRING), '-', c.conversation_id) AS parent_contact_id,
+           c.conversation_start_utc_ts, c.conversation_end_utc_ts, c.conversation_end_utc_date, c.visit_guids,
+           m.visitor_app_id AS app_id, m.conversation_source, m.visitor_device_type
+    FROM {cus} AS c
+    JOIN m ON m.conversation_id = c.conversation_id
+)
+SELECT parent_contact_id, conversation_start_utc_ts, conversation_end_utc_ts, conversation_end_utc_date,
+       app_id, conversation_source, visitor_device_type, visit_guid
+FROM linked LATERAL VIEW OUTER explode(visit_guids) ids AS visit_guid
+GROUP BY ALL
+"""
+
+
 def build_visit_map_sql(
     spark: SparkSession,
     cus: DataFrame | str,
@@ -46,13 +63,13 @@ def build_visit_map_sql(
     *,
     build_ts: datetime | date | str | None = None,
 ) -> DataFrame:
-    """The scheduled job (customer-side window) in the SQL style.
+    """The scheduled job (customer-side window) as one SQL statement.
 
-    It keeps the statement shape of a SQL user: distinct rows, explode, then
-    a GROUP BY over every column through a temp view. The DataFrame plan
-    (``build_visit_map``) drops the first distinct, which the second one makes
-    redundant, and is the one to run at scale.
+    The same plan as ``build_visit_map``: messaging deduped before the join
+    (the DISTINCT subquery), explode keeping conversations without ids, and
+    a single GROUP BY over every output column after the explode. The
+    statement shape of the original script (DISTINCT before the explode too)
+    is available as ``link_distinct_sql`` + ``group_by_all_sql``.
     """
-    linked = link_distinct_sql(spark, scan_customer(cus, window, spark), scan_messaging(msg, None, spark))
-    rows = group_by_all_sql(spark, explode_ids(linked))
+    rows = spark.sql(_VISIT_ROWS, cus=scan_customer(cus, window, spark), msg=scan_messaging(msg, None, spark))
     return project_contract(add_build_stamp(add_report_date(rows), build_ts))
