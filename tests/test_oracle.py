@@ -46,3 +46,11 @@ def test_entry_runs(spark):
     df = E.entry(spark)
     assert df.columns[0] == "parent_contact_id"
     assert df.count() > 0
+
+
+@pytest.mark.parametrize("name", ["q17_visit_map_left_window", "q30_scheduled_window"])
+def test_flagship_matches_oracle_at_gate_scale(spark, name):
+    """The driver's correctness gate runs at sf0.01; check the flagship there too."""
+    sf = "/root/testdata/sf0.01"
+    r = compare(spark, duck(sf), name, E.queries()[name], E.oracle_sql()[name], sf)
+    assert r["cols"] and r["values"] and r["rows"] == r["oracle_rows"] > 0
