@@ -99,3 +99,11 @@ def test_backfill_run_keeps_dates_outside_its_range(spark):
     assert {d for d, s in stamps.items() if s == datetime(2024, 2, 2)} == set(window.report_dates()) & set(stamps)
     assert {d for d, s in stamps.items() if s == datetime(2024, 2, 1)} == {date(2024, 1, 22), date(2024, 1, 23),
                                                                             date(2024, 1, 24)}
+
+
+def test_recommended_settings_are_real_spark_settings(spark):
+    """Spark ignores a misspelled key silently; every recommended key must be one it knows."""
+    from visitmap.session import RECOMMENDED_CONF, bloom_filter_conf
+
+    for key in {**RECOMMENDED_CONF, **bloom_filter_conf(1000)}:
+        assert spark.conf.isModifiable(key), key
