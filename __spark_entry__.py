@@ -297,8 +297,28 @@ def entry(spark: SparkSession) -> DataFrame:
     return q17_visit_map_left_window(spark, SMOKE_DIR)
 
 
+# The corpus operators are an optional subpackage; without it the job's own queries remain.
+try:
+    from visitmap.llm.queries import ORACLES as _CORPUS_ORACLES
+    from visitmap.llm.queries import QUERIES as _CORPUS_QUERIES
+except ModuleNotFoundError as error:
+    if not (error.name or "").startswith("visitmap.llm"):
+        raise
+    _CORPUS_QUERIES, _CORPUS_ORACLES = {}, {}
+
+try:
+    import corpus_pipeline as _corpus_pipeline
+except ModuleNotFoundError as error:
+    if error.name != "corpus_pipeline" and not (error.name or "").startswith("visitmap.llm"):
+        raise
+    _corpus_pipeline = None
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(_QUERIES)
+    found = {**_QUERIES, **_CORPUS_QUERIES}
+    if _corpus_pipeline is not None:
+        found["pipeline"] = _corpus_pipeline.run
+    return found
 
 
 # ---- DuckDB oracles ---------------------------------------------------------------
@@ -491,4 +511,7 @@ NO_ORACLE = {"q28_query_time_clock": "its value is the clock at plan time"}
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(_ORACLES)
+    found = {**_ORACLES, **_CORPUS_ORACLES}
+    if _corpus_pipeline is not None and _corpus_pipeline.ORACLE_SQL:
+        found["pipeline"] = _corpus_pipeline.ORACLE_SQL
+    return found
