@@ -100,7 +100,7 @@ def unpack_block(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndar
 def bucket_count(blocks: DataFrame, bucket_bytes: int) -> int:
     """A power of two that grows with the data, so that a bucket's share doesn't."""
     total = blocks.agg(F.sum("size")).first()[0] or 0
-    return 1 << max(4, int(max(1, total // bucket_bytes) - 1).bit_length())
+    return 1 << max(6, int(max(1, total // bucket_bytes) - 1).bit_length())
 
 
 def with_messages(blocks: DataFrame, messages: DataFrame, names: list[str], to: str = "messages") -> DataFrame:

@@ -151,7 +151,7 @@ def block_bytes_as_symbols(body: np.ndarray, offs: np.ndarray) -> tuple[np.ndarr
 
 
 def dedup_by_merged_transforms(spark: SparkSession, docs: DataFrame, length: int = 50, gram: int = 20, key: str = "doc_id",
-                               text: str = "text", hot_blocks: int = 256, block_bytes: int = 4 << 20, bucket_bytes: int = 4 << 20) -> DataFrame:
+                               text: str = "text", hot_contexts: int = 256, block_bytes: int = 4 << 20, bucket_bytes: int = 1 << 20) -> DataFrame:
     """Remove the bytes of every ``length``-byte string that a document with a smaller id has too.
 
     Texts are UTF-8 bytes and strings never cross documents; the kept bytes may
@@ -161,6 +161,6 @@ def dedup_by_merged_transforms(spark: SparkSession, docs: DataFrame, length: int
     strings; a text under ``length`` bytes is kept; an empty table gives no row.
     Other columns, whatever their names, are not read.
     """
-    plan = Plan(length, gram, True, block_bytes_as_symbols, merge_contexts(length), hot_blocks)
+    plan = Plan(length, gram, True, block_bytes_as_symbols, merge_contexts(length), hot_contexts)
     blocks = write_blocks(spark, docs, "bwt-blocks", key, text, block_bytes=block_bytes)
     return find_repeats(spark, blocks, plan, "bwt-status", bucket_bytes).mapInArrow(remove_bytes(length), SCHEMA)

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from visitmap.llm import mixing, quality_rules
 from visitmap.llm.bwt_dedup import dedup_by_merged_transforms
+from visitmap.llm.chunk_bpe import decode_corpus, encode_corpus
 from visitmap.llm.rlz_dedup import dedup_by_parsing
 
 
@@ -13,16 +15,40 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def word_bpe() -> str:
+    """The public tokenizer's file, where the package that has it is installed."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op1_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mix = mixing.Mix(spark, table(spark, sf_dir, "documents"))
+    return mix.taken().select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op2_rlz_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = dedup_by_parsing(spark, table(spark, sf_dir, "documents"), length=35)
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op4_chunk_reuse_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = word_bpe()
+    out = decode_corpus(spark, encode_corpus(spark, table(spark, sf_dir, "documents"), path), path)
+    return out.select("doc_id", F.expr("octet_length(ids) div 4").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+                      F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op5_bwt_merge_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = dedup_by_merged_transforms(spark, table(spark, sf_dir, "documents"), length=50)
     return out.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op2_rlz_substring_dedup, op5_bwt_merge_dedup)}
+def op10_adaptive_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = quality_rules.judge_documents(spark, table(spark, sf_dir, "documents"), keep_columns=["doc_id"])
+    return out.select("doc_id", *[F.col("counts")[c].alias(c) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")], "base_failed", "kept")
+
+
+QUERIES = {f.__name__: f for f in (op1_source_mixing, op2_rlz_substring_dedup, op4_chunk_reuse_bpe, op5_bwt_merge_dedup, op10_adaptive_quality_rules)}
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op1_source_mixing": mixing.ORACLE}

@@ -15,8 +15,9 @@ of packed arrays and not of rows:
    bucket, by the operator's own method;
 4. the answers go back to the blocks.
 
-A hot anchor (in more than ``hot_blocks`` blocks) is not kept together: its
-windows go out one by one, by their own hash, each once a block.
+A hot anchor (one with more than ``hot_contexts`` contexts, counted a block) is
+not kept together: its windows go out one by one, by their own hash, each once a
+block.
 """
 
 from __future__ import annotations
@@ -47,7 +48,7 @@ class Plan:
     earlier: bool
     symbols: Callable
     compare: Callable
-    hot_blocks: int = 256
+    hot_contexts: int = 256
 
 
 def rows_of(batches) -> Iterator[dict]:
@@ -78,7 +79,7 @@ def _arrow(schema: str) -> list[tuple[str, pa.DataType]]:
     return [(x.split()[0], kinds[x.split()[1]]) for x in schema.split(", ")]
 
 
-ANCHORS = "bucket long, block long, keys binary, twice binary"
+ANCHORS = "bucket long, block long, keys binary, contexts binary"
 FLAGS = "block long, bucket long, flags binary"
 ENTRIES = "bucket long, block long, a binary, c binary, l binary, r binary, w binary, lo binary, n binary, own_lo binary, own_n binary"
 STATUS = "block long, bucket long, gone_lo binary, gone_n binary, ask_a binary, ask_lo binary, ask_n binary, ask_w binary"
@@ -87,14 +88,22 @@ MASKS = "block long, lo binary, mask binary"
 
 
 def anchor_messages(plan: Plan, bits: int):
+    """Each anchor once, with its number of different contexts (0: it stands here once; 255: or more)."""
     def send(batches):
         for row in rows_of(batches):
             ids, known, offs, body = unpack_block(row)
             symbols, offs = plan.symbols(body, offs)
-            runs = anchor_runs(symbols, offs, plan.length, plan.gram, contexts=False)
-            key, count = np.unique(runs.anchor >> _U(32 - bits), return_counts=True)
+            runs = anchor_runs(symbols, offs, plan.length, plan.gram)
+            order = np.lexsort((runs.context, runs.anchor >> _U(32 - bits)))
+            key, context = (runs.anchor >> _U(32 - bits))[order], runs.context[order]
+            new, fresh = np.ones(len(key), dtype=bool), np.ones(len(key), dtype=bool)
+            new[1:] = key[1:] != key[:-1]
+            fresh[1:] = new[1:] | (context[1:] != context[:-1])
+            group, key = np.cumsum(new) - 1, key[new]
+            count, kinds = np.bincount(group, minlength=len(key)), np.bincount(group, weights=fresh, minlength=len(key))
+            kinds = np.where(count == 1, 0, np.minimum(kinds, 255)).astype(np.uint8)
             buckets, low = (key >> _U(32)).astype(np.int64), key.astype(np.uint32)
-            yield batch(_arrow(ANCHORS), [(b, row["block"], pack_ints(np.diff(low[i:j], prepend=np.uint32(0))), np.packbits(count[i:j] > 1).tobytes())
+            yield batch(_arrow(ANCHORS), [(b, row["block"], pack_ints(np.diff(low[i:j], prepend=np.uint32(0))), kinds[i:j].tobytes())
                                           for b, i, j in bucket_slices(buckets)])
     return send
 
@@ -103,10 +112,11 @@ def flag_anchors(plan: Plan):
     """For every block's anchors: 0 alone, 1 repeated, 2 hot."""
     def reduce(key, rows: pd.DataFrame) -> pd.DataFrame:
         keys = [np.cumsum(unpack_ints(x, np.uint32), dtype=np.uint32) for x in rows["keys"]]
-        twice = np.concatenate([np.unpackbits(np.frombuffer(t, np.uint8), count=len(k)) for t, k in zip(rows["twice"], keys)])
-        _, at, count = np.unique(np.concatenate(keys), return_inverse=True, return_counts=True)
-        more = np.bincount(at, weights=twice) + count
-        flags = ((more >= 2).astype(np.uint8) + (count > plan.hot_blocks))[at]
+        kinds = np.concatenate([np.frombuffer(x, np.uint8) for x in rows["contexts"]])
+        _, at, blocks = np.unique(np.concatenate(keys), return_inverse=True, return_counts=True)
+        repeated = (blocks > 1) | (np.bincount(at, weights=kinds) > 0)
+        contexts = np.bincount(at, weights=np.maximum(kinds, 1))
+        flags = (repeated.astype(np.uint8) + (repeated & (contexts > plan.hot_contexts)))[at].astype(np.uint8)
         ends = np.cumsum([len(k) for k in keys])
         return pd.DataFrame({"block": rows["block"], "bucket": key[0], "flags": [f.tobytes() for f in np.split(flags, ends[:-1])]})
     return reduce
@@ -280,7 +290,7 @@ def covered(size: int, length: int, status: list, masks: list) -> np.ndarray:
     return np.cumsum(edge[:-1]) > 0
 
 
-def find_repeats(spark: SparkSession, blocks: DataFrame, plan: Plan, name: str, bucket_bytes: int = 4 << 20) -> DataFrame:
+def find_repeats(spark: SparkSession, blocks: DataFrame, plan: Plan, name: str, bucket_bytes: int = 1 << 20) -> DataFrame:
     """The blocks with ``status`` and ``masks``, to be read by ``covered``."""
     n = bucket_count(blocks, bucket_bytes)
     bits = n.bit_length() - 1

@@ -127,7 +127,7 @@ def remove_words(length: int):
 
 
 def dedup_by_parsing(spark: SparkSession, docs: DataFrame, length: int = 35, gram: int = 8, key: str = "doc_id",
-                     text: str = "text", hot_blocks: int = 256, block_bytes: int = 4 << 20, bucket_bytes: int = 4 << 20) -> DataFrame:
+                     text: str = "text", hot_contexts: int = 256, block_bytes: int = 4 << 20, bucket_bytes: int = 1 << 20) -> DataFrame:
     """Remove the words of every ``length``-word window that stands anywhere else too.
 
     Words are ``[^\\x20\\x09-\\x0D]+``, unchanged. All copies go, the first one too,
@@ -137,6 +137,6 @@ def dedup_by_parsing(spark: SparkSession, docs: DataFrame, length: int = 35, gra
     text under ``length`` words is kept; an empty table gives no row. Other
     columns, whatever their names, are not read.
     """
-    plan = Plan(length, gram, False, block_words, parse_contexts(length), hot_blocks)
+    plan = Plan(length, gram, False, block_words, parse_contexts(length), hot_contexts)
     blocks = write_blocks(spark, docs, "rlz-blocks", key, text, words=True, block_bytes=block_bytes)
     return find_repeats(spark, blocks, plan, "rlz-status", bucket_bytes).mapInArrow(remove_words(length), SCHEMA)

@@ -160,7 +160,7 @@ class Runs:
         return len(self.lo)
 
 
-def anchor_runs(symbols: np.ndarray, offs: np.ndarray, length: int, gram: int, contexts: bool = True, step: int = 1 << 16) -> Runs:
+def anchor_runs(symbols: np.ndarray, offs: np.ndarray, length: int, gram: int, step: int = 1 << 16) -> Runs:
     """Windows of ``length`` symbols grouped by the anchor that owns them.
 
     A window's anchor is its ``gram``-symbol run of smallest hash, the first on a
@@ -205,15 +205,12 @@ def anchor_runs(symbols: np.ndarray, offs: np.ndarray, length: int, gram: int, c
         hi = where[np.concatenate((turn, [len(best)])) - 1]
         pos = best[np.concatenate(([0], turn))]
         out = {"anchor": h[pos], "lo": lo + at, "hi": hi + at}
-        if contexts:
-            part = lambda s, e: mix((total[e] - total[s]) * q[s] + (e - s).astype(np.uint64) * _MULT)
-            out["context"] = part(lo, hi + length)
-            has = pos - lo >= side
-            out["left"] = np.where(has, part(np.maximum(pos - side, 0), pos + gram) | _U(1), _U(0))
-            has = hi + length - pos - gram >= side
-            out["right"] = np.where(has, part(pos, np.minimum(pos + gram + side, size)) | _U(1), _U(0))
-        else:
-            out["context"] = out["left"] = out["right"] = out["anchor"]
+        part = lambda s, e: mix((total[e] - total[s]) * q[s] + (e - s).astype(np.uint64) * _MULT)
+        out["context"] = part(lo, hi + length)
+        has = pos - lo >= side
+        out["left"] = np.where(has, part(np.maximum(pos - side, 0), pos + gram) | _U(1), _U(0))
+        has = hi + length - pos - gram >= side
+        out["right"] = np.where(has, part(pos, np.minimum(pos + gram + side, size)) | _U(1), _U(0))
         found.append(out)
     if not found:
         kinds = (np.uint64, np.int64, np.int64, np.uint64, np.uint64, np.uint64)
