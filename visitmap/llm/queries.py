@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from visitmap.llm import mixing, quality_rules
+from visitmap.llm import mixing, pii_crf, quality_rules
 from visitmap.llm.bwt_dedup import dedup_by_merged_transforms
 from visitmap.llm.chunk_bpe import decode_corpus, encode_corpus
 from visitmap.llm.rlz_dedup import dedup_by_parsing
@@ -44,11 +44,19 @@ def op5_bwt_merge_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op6_semi_markov_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = pii_crf.find_personal_data(spark, table(spark, sf_dir, "documents"), carry=["doc_id"])
+    base = F.filter("spans", lambda s: s["base"])
+    count = lambda k: F.size(F.filter(base, lambda s: s["kind"] == k)).cast("long").alias(f"n_{k}")
+    return out.select("doc_id", *[count(k) for k in pii_crf.KINDS], F.sha2(pii_crf.span_text(base), 256).alias("base_sha256"),
+                      pii_crf.span_text(F.col("spans")).alias("spans"))
+
+
 def op10_adaptive_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = quality_rules.judge_documents(spark, table(spark, sf_dir, "documents"), keep_columns=["doc_id"])
     return out.select("doc_id", *[F.col("counts")[c].alias(c) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")], "base_failed", "kept")
 
 
-QUERIES = {f.__name__: f for f in (op1_source_mixing, op2_rlz_substring_dedup, op4_chunk_reuse_bpe, op5_bwt_merge_dedup, op10_adaptive_quality_rules)}
+QUERIES = {f.__name__: f for f in (op1_source_mixing, op2_rlz_substring_dedup, op4_chunk_reuse_bpe, op5_bwt_merge_dedup, op6_semi_markov_pii, op10_adaptive_quality_rules)}
 
 ORACLES: dict[str, str] = {"op1_source_mixing": mixing.ORACLE}

@@ -254,17 +254,33 @@ def context_messages(plan: Plan):
     return send
 
 
+#: Symbols that are compared at once: an anchor's contexts stand together, others don't meet.
+AT_ONCE = 1 << 19
+
+
 def compare_contexts(plan: Plan):
     def reduce(key, rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("block")
         kind = np.uint8 if plan.earlier else np.uint64
+        read = lambda name, t: np.concatenate([unpack_ints(x, t) for x in rows[name]])
         n = np.concatenate([np.frombuffer(x, np.uint8) for x in rows["n"]]).astype(np.int64)
-        w = np.concatenate([unpack_ints(x, np.int64) for x in rows["w"]])
+        a, w = read("a", np.uint32), read("w", np.int64)
         symbols = np.concatenate([np.frombuffer(x, kind) for x in rows["body"]])
         sizes = np.array([len(x) for x in rows["n"]])
-        shard = np.repeat(np.arange(len(rows)), sizes)
-        masks = np.split(plan.compare(symbols, n, w, shard), np.cumsum(sizes)[:-1])
-        return pd.DataFrame({"block": rows["block"], "lo": rows["lo"], "mask": [pack_ints(m) for m in masks]})
+        block = np.repeat(rows["block"].to_numpy(), sizes)
+        begin = np.cumsum(n + plan.length) - (n + plan.length)
+        masks = np.zeros(len(n), dtype=np.uint64)
+        order = np.lexsort((block, a))
+        new = np.flatnonzero(np.concatenate(([True], a[order][1:] != a[order][:-1])))
+        before = np.concatenate(([0], np.cumsum((n + plan.length)[order])))
+        i = 0
+        while i < len(new):
+            j = max(i + 1, int(np.searchsorted(before[np.append(new, len(n))], before[new[i]] + AT_ONCE, side="right")) - 1)
+            some = order[new[i]: new[j] if j < len(new) else len(n)]
+            some = some[np.argsort(block[some], kind="stable")]
+            shard = np.unique(block[some], return_inverse=True)[1]
+            masks[some] = plan.compare(symbols[ranges(begin[some], n[some] + plan.length)], n[some], w[some], shard)
+            i = j
+        return pd.DataFrame({"block": rows["block"], "lo": rows["lo"], "mask": [pack_ints(m) for m in np.split(masks, np.cumsum(sizes)[:-1])]})
     return reduce
 
 
