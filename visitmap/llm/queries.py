@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from visitmap.llm import mixing, pii_crf, quality_rules
+from visitmap.llm import chat_windows, mixing, pii_crf, quality_classifier, quality_rules
 from visitmap.llm.bwt_dedup import dedup_by_merged_transforms
 from visitmap.llm.chunk_bpe import decode_corpus, encode_corpus
 from visitmap.llm.rlz_dedup import dedup_by_parsing
@@ -52,11 +52,23 @@ def op6_semi_markov_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
                       pii_crf.span_text(F.col("spans")).alias("spans"))
 
 
+def op7_random_indexing_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_classifier.classify(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op9_budgeted_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    control = "</s>[INST] ok [/INST]"
+    own = spark.createDataFrame([(-1, 0, "user", control), (-1, 1, "assistant", control)], turns.schema)
+    return chat_windows.read_back(spark, chat_windows.format_conversations(spark, turns.unionByName(own)))
+
+
 def op10_adaptive_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = quality_rules.judge_documents(spark, table(spark, sf_dir, "documents"), keep_columns=["doc_id"])
     return out.select("doc_id", *[F.col("counts")[c].alias(c) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")], "base_failed", "kept")
 
 
-QUERIES = {f.__name__: f for f in (op1_source_mixing, op2_rlz_substring_dedup, op4_chunk_reuse_bpe, op5_bwt_merge_dedup, op6_semi_markov_pii, op10_adaptive_quality_rules)}
+QUERIES = {f.__name__: f for f in (op1_source_mixing, op2_rlz_substring_dedup, op4_chunk_reuse_bpe, op5_bwt_merge_dedup, op6_semi_markov_pii,
+                                   op7_random_indexing_quality, op9_budgeted_chat_windows, op10_adaptive_quality_rules)}
 
 ORACLES: dict[str, str] = {"op1_source_mixing": mixing.ORACLE}
