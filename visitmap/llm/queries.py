@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from visitmap.llm import chat_windows, mixing, pii_crf, quality_classifier, quality_rules
+from visitmap.llm import chat_windows, graph_ann, mixing, pii_crf, quality_classifier, quality_rules
 from visitmap.llm.bwt_dedup import dedup_by_merged_transforms
 from visitmap.llm.chunk_bpe import decode_corpus, encode_corpus
+from visitmap.llm.jaccard_join import JaccardJoin
 from visitmap.llm.rlz_dedup import dedup_by_parsing
 
 
@@ -32,6 +33,11 @@ def op2_rlz_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op3_pruned_graph_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return graph_ann.nearest(spark, vectors, vectors.where("vec_id % 100 = 0"))
+
+
 def op4_chunk_reuse_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = word_bpe()
     out = decode_corpus(spark, encode_corpus(spark, table(spark, sf_dir, "documents"), path), path)
@@ -56,6 +62,11 @@ def op7_random_indexing_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.classify(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op8_token_combination_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    members = JaccardJoin(spark, table(spark, sf_dir, "documents")).members()
+    return members.select(F.col("key").alias("doc_id"), F.col("n").alias("n_shingles"), "component_id")
+
+
 def op9_budgeted_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     control = "</s>[INST] ok [/INST]"
@@ -68,7 +79,8 @@ def op10_adaptive_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", *[F.col("counts")[c].alias(c) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")], "base_failed", "kept")
 
 
-QUERIES = {f.__name__: f for f in (op1_source_mixing, op2_rlz_substring_dedup, op4_chunk_reuse_bpe, op5_bwt_merge_dedup, op6_semi_markov_pii,
-                                   op7_random_indexing_quality, op9_budgeted_chat_windows, op10_adaptive_quality_rules)}
+QUERIES = {f.__name__: f for f in (
+    op1_source_mixing, op2_rlz_substring_dedup, op3_pruned_graph_neighbours, op4_chunk_reuse_bpe, op5_bwt_merge_dedup, op6_semi_markov_pii,
+    op7_random_indexing_quality, op8_token_combination_jaccard, op9_budgeted_chat_windows, op10_adaptive_quality_rules)}
 
 ORACLES: dict[str, str] = {"op1_source_mixing": mixing.ORACLE}
