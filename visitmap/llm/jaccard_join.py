@@ -295,3 +295,20 @@ class JaccardJoin:
         whole = named.join(least, "comp").select("n", "s1", "s2", "component_id")
         linked = self.rows.where("n > 0").join(whole, ["n", "s1", "s2"]).select("node", "key", "n", "component_id")
         return linked.unionByName(self.rows.where("n = 0").select("node", "key", "n", F.col("key").alias("component_id")))
+
+
+def keep_one_of_each(spark: SparkSession, docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = 5, percent: int = 80, **more) -> DataFrame:
+    """One document of each group of linked ones, that with the smallest key (null last), with its own columns.
+
+    Documents without words are linked with nothing and all stay. See ``JaccardJoin`` for odd input.
+    """
+    # The rows get a number of their own, fixed by writing them: keys may be null or repeated.
+    path = scratch_path(spark, "jaccard-rows")
+    docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(key).cast("long").alias("key"), F.col(text).alias("text"),
+                F.monotonically_increasing_id().alias("id")).write.parquet(path)
+    rows = spark.read.parquet(path)
+    members = JaccardJoin(spark, rows.select("id", "text"), "id", "text", size, percent, **more).members()
+    named = members.select(F.col("key").alias("id"), "component_id").join(rows.select("id", "key"), "id")
+    first = F.min(F.struct(F.col("key").isNull().alias("none"), "key", "id"))
+    kept = named.groupBy("component_id").agg(first.alias("first")).select(F.col("first.id").alias("id"))
+    return rows.join(kept, "id", "left_semi").select(*[F.col("row")[c].alias(c) for c in docs.columns])

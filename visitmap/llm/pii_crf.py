@@ -321,28 +321,17 @@ def added_spans(text: str, weights: np.ndarray, base: list[tuple[str, int, int]]
     return out
 
 
-def find_personal_data(spark: SparkSession, docs: DataFrame, text: str = "text", carry: list[str] | None = None,
-                       weights: np.ndarray | None = None, least: float = 2.0) -> DataFrame:
-    """``carry`` columns (default: all) and ``spans``: kind, start and end in code points, and
-    whether a base pattern found it; by kind as listed, then start.
-
-    Null or empty text: no spans. Null values, repeated rows: a row each. Texts are
-    searched whole; the time grows with their length. Empty table: no rows. An
-    input column called ``spans`` can't be carried and is an error.
-    """
-    names = docs.columns if carry is None else carry
-    if "spans" in names:
-        raise ValueError("a carried column is called spans")
+def searched_rows(spark: SparkSession, docs: DataFrame, text: str, names: list[str], weights: np.ndarray | None, least: float) -> DataFrame:
+    """``row`` (a struct of ``names``), ``text`` and ``spans`` of every document."""
     weights = learn(spark, docs, text) if weights is None else weights
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), F.col(text).alias("text"))
+    rows = docs.select(F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`") for c in names]).alias("row"), F.col(text).alias("text"))
     kinds = pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("base", pa.bool_())])
 
     def search(batches):
         for batch in batches:
-            rows_ = batch.column(0)
             for i in range(0, batch.num_rows, 512):
-                out = []
-                for x in batch.column(1).slice(i, 512):
+                part, out = batch.slice(i, 512), []
+                for x in part.column(1):
                     t = x.as_py() or ""
                     base = base_spans(t)
                     spans = [(k, s, e, True) for k, s, e in base]
@@ -350,10 +339,37 @@ def find_personal_data(spark: SparkSession, docs: DataFrame, text: str = "text",
                         spans += [(k, s, e, False) for k, s, e in added_spans(t, weights, base, least)]
                     spans.sort(key=lambda x: (KINDS.index(x[0]), x[1]))
                     out.append([dict(zip(("kind", "start", "end", "base"), s)) for s in spans])
-                yield pa.RecordBatch.from_arrays([rows_.slice(i, 512), pa.array(out, pa.list_(kinds))], names=["row", "spans"])
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(out, pa.list_(kinds))], names=["row", "text", "spans"])
+
+    schema = T.StructType([*rows.schema.fields, *spark.createDataFrame([], f"spans array<{SPAN}>").schema.fields])
+    return rows.mapInArrow(search, schema)
 
-    schema = T.StructType([rows.schema["row"], *spark.createDataFrame([], f"spans array<{SPAN}>").schema.fields])
-    return rows.mapInArrow(search, schema).select(*[F.col("row")[c].alias(c) for c in names], "spans")
+
+def find_personal_data(spark: SparkSession, docs: DataFrame, text: str = "text", carry: list[str] | None = None,
+                       weights: np.ndarray | None = None, least: float = 2.0) -> DataFrame:
+    """``carry`` columns (default: all) and ``spans``: kind, start and end in code points, and
+    whether a base pattern found it; by kind as listed, then start.
+
+    Null or empty text: no spans. Null values, repeated rows: a row each. Texts are
+    searched whole; the time grows with their length. Empty table: no rows. An
+    input column called ``spans`` gives way to the new one.
+    """
+    names = [c for c in (docs.columns if carry is None else carry) if c != "spans"]
+    return searched_rows(spark, docs, text, names, weights, least).select(*[F.col("row")[c].alias(c) for c in names], "spans")
+
+
+def mask_documents(spark: SparkSession, docs: DataFrame, text: str = "text", weights: np.ndarray | None = None, least: float = 2.0) -> DataFrame:
+    """The documents with every span replaced by its kind; an ``n_chars`` column follows. Null text stays null."""
+    rows = searched_rows(spark, docs, text, docs.columns, weights, least).select("row", mask_text(F.col("text"), F.col("spans")).alias("new"), F.size("spans").alias("n"))
+    out = []
+    for c in docs.columns:
+        value = F.col("row")[c]
+        if c == text:
+            value = F.col("new")
+        elif c == "n_chars":
+            value = F.when(F.col("n") > 0, F.length("new").cast(docs.schema[c].dataType)).otherwise(value)
+        out.append(value.alias(c))
+    return rows.select(*out)
 
 
 def span_text(spans: Column) -> Column:

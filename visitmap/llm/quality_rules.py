@@ -135,20 +135,32 @@ def judge(counted: DataFrame, thresholds: DataFrame, lang: str = "lang", source:
     return rows.withColumn("base_failed", base_failed()).withColumn("kept", ~base_failed() & inside).drop(*thresholds.columns)
 
 
-def judge_documents(spark: SparkSession, docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source",
-                    keep_columns: list[str] | None = None) -> DataFrame:
-    """Counts and verdict of every document: ``keep_columns``, ``counts``, ``base_failed``, ``kept``.
+def judged_rows(spark: SparkSession, docs: DataFrame, text: str, lang: str, source: str, names: list[str]) -> DataFrame:
+    """``row`` (a struct of ``names``), ``counts``, ``base_failed`` and ``kept`` of every document.
 
-    Null text: no words, so it fails the base rules. Null language or source: a
-    group like another. Repeated rows: each judged, all alike. Empty table: no
-    rows. Columns of ``docs`` called like internal ones can't clash: the kept ones
-    travel inside a struct. The counted rows are written once, with the kept
-    columns, and read for the thresholds and again for the verdict.
+    The counted rows are written once and read for the thresholds and again for the verdict.
     """
-    names = docs.columns if keep_columns is None else keep_columns
-    row = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row") if names else F.lit(None).alias("row"),
+    row = docs.select(F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`") for c in names]).alias("row"),
                       F.col(text).alias("text"), F.col(lang).alias("lang"), F.col(source).alias("source"))
     path = scratch_path(spark, "quality-counts")
     add_counts(row).drop("text").write.parquet(path)
     counted = spark.read.parquet(path)
-    return judge(counted, learn_thresholds(spark, counted)).select(*[F.col("row")[c].alias(c) for c in names], "counts", "base_failed", "kept")
+    return judge(counted, learn_thresholds(spark, counted))
+
+
+def judge_documents(spark: SparkSession, docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source",
+                    keep_columns: list[str] | None = None) -> DataFrame:
+    """Counts and verdict of every document: ``keep_columns`` (default: all), ``counts``, ``base_failed``, ``kept``.
+
+    Null text: no words, so it fails the base rules. Null language or source: a
+    group like another. Repeated rows: each judged, all alike. Empty table: no
+    rows. Long texts are counted whole. An input column called like one of the three new ones gives way to it.
+    """
+    new = ("counts", "base_failed", "kept")
+    names = [c for c in (docs.columns if keep_columns is None else keep_columns) if c not in new]
+    return judged_rows(spark, docs, text, lang, source, names).select(*[F.col("row")[c].alias(c) for c in names], *new)
+
+
+def keep_documents(spark: SparkSession, docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
+    """The documents that the rules keep, with their own columns, whatever these are called."""
+    return judged_rows(spark, docs, text, lang, source, docs.columns).where("kept").select(*[F.col("row")[c].alias(c) for c in docs.columns])
