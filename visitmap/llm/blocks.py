@@ -48,7 +48,7 @@ def write_blocks(spark: SparkSession, docs: DataFrame, name: str, key: str = "do
         from pyspark import TaskContext
 
         part, seq = TaskContext.get().partitionId(), 0
-        squash = zstandard.ZstdCompressor(level=1)
+        squash = zstandard.ZstdCompressor(level=3)
         held, size = [], 0
 
         def block():

@@ -151,7 +151,7 @@ def block_bytes_as_symbols(body: np.ndarray, offs: np.ndarray) -> tuple[np.ndarr
 
 
 def dedup_by_merged_transforms(spark: SparkSession, docs: DataFrame, length: int = 50, gram: int = 20, key: str = "doc_id",
-                               text: str = "text", hot_contexts: int = 256, block_bytes: int = 4 << 20, bucket_bytes: int = 1 << 20) -> DataFrame:
+                               text: str = "text", hot_contexts: int = 1024, block_bytes: int = 4 << 20, bucket_bytes: int = 1 << 20) -> DataFrame:
     """Remove the bytes of every ``length``-byte string that a document with a smaller id has too.
 
     Texts are UTF-8 bytes and strings never cross documents; the kept bytes may

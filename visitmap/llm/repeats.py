@@ -48,7 +48,11 @@ class Plan:
     earlier: bool
     symbols: Callable
     compare: Callable
-    hot_contexts: int = 256
+    hot_contexts: int = 1024
+
+
+#: Contexts are compared by their anchor's hash and so many bytes of their own.
+CONTEXT_BYTES = 6
 
 
 def rows_of(batches) -> Iterator[dict]:
@@ -166,8 +170,8 @@ def entry_messages(plan: Plan, bits: int):
                 h = head[i:j]
                 x, y = own_cut.get(b, (0, 0))
                 o = own_at[x:y]
-                rows.append((b, row["block"], pack_ints(low[h]), context[h].tobytes(), pack_ints(left[h].astype(np.uint32)),
-                             pack_ints(right[h].astype(np.uint32)), pack_ints(weight[i:j]), pack_ints(lo[h].astype(np.uint32)),
+                rows.append((b, row["block"], pack_ints(np.diff(low[h], prepend=np.uint32(0))), pack_ints(context[h], CONTEXT_BYTES), pack_ints(left[h].astype(np.uint16)),
+                             pack_ints(right[h].astype(np.uint16)), pack_ints(weight[i:j]), pack_ints(lo[h].astype(np.uint32)),
                              (hi - lo)[h].astype(np.uint8).tobytes(), pack_ints(lo[o].astype(np.uint32)), (hi - lo)[o].astype(np.uint8).tobytes()))
             yield batch(_arrow(ENTRIES), rows)
     return send
@@ -207,13 +211,14 @@ def settle_entries(plan: Plan):
     """Equal contexts are settled together; one copy of each that needs comparing is asked for."""
     def reduce(key, rows: pd.DataFrame) -> pd.DataFrame:
         read = lambda name, kind: np.concatenate([unpack_ints(x, kind) for x in rows[name]])
-        a, l, r, w, lo = read("a", np.uint32), read("l", np.uint32), read("r", np.uint32), read("w", np.int64), read("lo", np.uint32)
-        c = np.concatenate([np.frombuffer(x, np.uint64) for x in rows["c"]])
+        l, r, w, lo = read("l", np.uint16), read("r", np.uint16), read("w", np.int64), read("lo", np.uint32)
+        a = np.concatenate([np.cumsum(unpack_ints(x, np.uint32), dtype=np.uint32) for x in rows["a"]])
+        c = np.concatenate([unpack_ints(x, np.uint64, CONTEXT_BYTES) for x in rows["c"]])
         n = np.concatenate([np.frombuffer(x, np.uint8) for x in rows["n"]])
         sizes = np.array([len(x) for x in rows["n"]])
-        order = np.lexsort((w, c))
+        order = np.lexsort((w, c, a))
         new = np.ones(len(c), dtype=bool)
-        new[1:] = c[order][1:] != c[order][:-1]
+        new[1:] = (c[order][1:] != c[order][:-1]) | (a[order][1:] != a[order][:-1])
         group = np.empty(len(c), dtype=np.int64)
         group[order] = np.cumsum(new) - 1
         first = order[np.flatnonzero(new)]

@@ -127,7 +127,7 @@ def remove_words(length: int):
 
 
 def dedup_by_parsing(spark: SparkSession, docs: DataFrame, length: int = 35, gram: int = 8, key: str = "doc_id",
-                     text: str = "text", hot_contexts: int = 256, block_bytes: int = 4 << 20, bucket_bytes: int = 1 << 20) -> DataFrame:
+                     text: str = "text", hot_contexts: int = 1024, block_bytes: int = 4 << 20, bucket_bytes: int = 1 << 20) -> DataFrame:
     """Remove the words of every ``length``-word window that stands anywhere else too.
 
     Words are ``[^\\x20\\x09-\\x0D]+``, unchanged. All copies go, the first one too,

@@ -208,7 +208,7 @@ def anchor_runs(symbols: np.ndarray, offs: np.ndarray, length: int, gram: int, s
         part = lambda s, e: mix((total[e] - total[s]) * q[s] + (e - s).astype(np.uint64) * _MULT)
         out["context"] = part(lo, hi + length)
         has = pos - lo >= side
-        out["left"] = np.where(has, part(np.maximum(pos - side, 0), pos + gram) | _U(1), _U(0))
+        out["left"] = np.where(has, part(np.maximum(pos - side, 0), pos + gram) | _U(1), _U(0))  # never 0 in its low bytes
         has = hi + length - pos - gram >= side
         out["right"] = np.where(has, part(pos, np.minimum(pos + gram + side, size)) | _U(1), _U(0))
         found.append(out)
@@ -218,17 +218,23 @@ def anchor_runs(symbols: np.ndarray, offs: np.ndarray, length: int, gram: int, s
     return Runs(**{k: np.concatenate([x[k] for x in found]) for k in Runs.names})
 
 
-def pack_ints(x: np.ndarray) -> bytes:
-    """An integer array by byte planes: equal high bytes stand together and compress."""
-    return np.ascontiguousarray(np.ascontiguousarray(x).view(np.uint8).reshape(len(x), x.dtype.itemsize).T).tobytes()
+def pack_ints(x: np.ndarray, keep: int | None = None) -> bytes:
+    """An integer array by byte planes: equal high bytes stand together and compress.
+
+    ``keep``: only so many bytes of each, the lowest.
+    """
+    planes = np.ascontiguousarray(x).view(np.uint8).reshape(len(x), x.dtype.itemsize).T
+    return np.ascontiguousarray(planes[:keep]).tobytes()
 
 
-def unpack_ints(data: bytes, kind) -> np.ndarray:
+def unpack_ints(data: bytes, kind, keep: int | None = None) -> np.ndarray:
     size = np.dtype(kind).itemsize
     if not data:
         return np.zeros(0, dtype=kind)
-    planes = np.frombuffer(data, dtype=np.uint8).reshape(size, -1)
-    return np.ascontiguousarray(planes.T).reshape(-1).view(kind)
+    planes = np.frombuffer(data, dtype=np.uint8).reshape(keep or size, -1)
+    out = np.zeros((planes.shape[1], size), dtype=np.uint8)
+    out[:, : keep or size] = planes.T
+    return out.reshape(-1).view(kind)
 
 
 def ranges(lo: np.ndarray, length: np.ndarray) -> np.ndarray:
