@@ -26,7 +26,7 @@ from visitmap.session import scratch_path
 SPAN = 24
 CHUNK_BYTES = 1024
 MOST_BYTES = 1 << 16
-CACHED = 200_000
+CACHED = 60_000
 NO_KEY = -(1 << 63)
 
 
@@ -94,10 +94,8 @@ class Encoder:
         while True:
             a, b = left[-size:], right[:size]
             stretch = b" ".join([*a, *([middle] if middle else []), *b])
-            self.learn([stretch])
-            whole = self.tokens[stretch]
+            whole = np.array(self.tokenizer.encode(stretch.decode("utf-8", "replace"), add_special_tokens=False).ids, dtype="<u4").tobytes()
             before, after = self.words(b" ".join(a)), self.words(b" ".join(b))
-            self.learn([stretch])
             inner = whole[len(before): len(whole) - len(after)]
             if whole.startswith(before) and whole.endswith(after) and len(before) + len(after) <= len(whole):
                 return inner
@@ -193,17 +191,20 @@ def encode_corpus(spark: SparkSession, docs: DataFrame, tokenizer: str, key: str
             small = pa.array([z.compress(x.as_py()) for x in batch.column(at)], pa.binary())
             yield batch.set_column(at, "z", small)
 
-    # One exchange of the texts by key serves both joins.
+    # One exchange of the texts by key serves both joins: they take the same columns.
     packed = rows.mapInArrow(squash, rows.schema)
 
     def documents(batch):
-        names = batch.schema.names
-        unz = zstandard.ZstdDecompressor()
-        texts = [unz.decompress(x.as_py()) for x in batch.column(names.index("z"))]
-        sizes = np.cumsum([0, *map(len, texts)])
-        for i, j in slices(sizes, 1 << 20):
-            body = np.frombuffer(b"".join(texts[i:j]), dtype=np.uint8)
-            yield i, texts[i:j], sizes[i: j + 1] - sizes[i], Layout(body, sizes[i: j + 1] - sizes[i], average)
+        """First row, texts, their offsets and layout of some documents at a time."""
+        z, unz = batch.column(batch.schema.names.index("z")), zstandard.ZstdDecompressor()
+        texts, size, first = [], 0, 0
+        for i in range(batch.num_rows):
+            texts.append(unz.decompress(z[i].as_py()))
+            size += len(texts[-1])
+            if size >= 1 << 20 or i == batch.num_rows - 1:
+                at = np.cumsum([0, *map(len, texts)])
+                yield first, texts, at, Layout(np.frombuffer(b"".join(texts), dtype=np.uint8), at, average)
+                texts, size, first = [], 0, i + 1
 
     def encode_shared(batches):
         enc = encoder(vocabulary.value)
@@ -219,7 +220,7 @@ def encode_corpus(spark: SparkSession, docs: DataFrame, tokenizer: str, key: str
                             found[h] = enc.words(text[layout.head[c] - at[d]: layout.tail[c] - at[d]])
                 yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int64()), pa.array(list(found.values()), pa.binary())], names=["h", "ids"])
 
-    tokens = packed.select("k", "z").join(asked, "k").mapInArrow(encode_shared, "h long, ids binary").groupBy("h").agg(F.first("ids").alias("ids"))
+    tokens = packed.join(asked, "k").mapInArrow(encode_shared, "h long, ids binary").groupBy("h").agg(F.first("ids").alias("ids"))
     ready = chunks.join(tokens, "h").groupBy("k").agg(F.collect_list(F.struct("h", "ids")).alias("ready"))
 
     def assemble(batches):
