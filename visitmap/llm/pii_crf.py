@@ -23,6 +23,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from visitmap.llm.sampling import smallest_hashes
+
 KINDS = ("email", "ip", "card", "phone")
 MOST_TOKENS = 24
 REGION_CHARS = 48
@@ -294,8 +296,8 @@ def learn(spark: SparkSession, docs: DataFrame, text: str = "text", sample: int
     hold a digit or an at sign, those with the smallest hash of their text, and
     ``made`` made-up sentences (with an empty corpus, from these alone)."""
     t = F.col(text)
-    rows = (docs.select(t.alias("text"), F.xxhash64(t).alias("h")).where((F.length("text") <= most_chars) & F.col("text").rlike("[0-9@]"))
-            .orderBy("h", "text").limit(sample).collect())
+    some = docs.select(t.alias("text"), F.xxhash64(t).alias("h")).where((F.length("text") <= most_chars) & F.col("text").rlike("[0-9@]"))
+    rows = smallest_hashes(some, "h", sample).collect()
     found = [x for r in rows for x in labelled_regions(r["text"], base_spans(r["text"]))]
     found += [x for t_, spans in made_up(made) for x in labelled_regions(t_, spans)]
     return fit(found)

@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from visitmap.llm.sampling import smallest_hashes
 from visitmap.llm.textnum import _U, IS_SPACE, mix, slices, string_column, word_bounds, word_hashes
 from visitmap.session import scratch_path
 
@@ -186,8 +187,7 @@ def classify(spark: SparkSession, docs: DataFrame, labels: DataFrame, key: str =
     pooled_rows = spark.read.schema(schema).parquet(path)
     held = F.coalesce(F.crc32(F.col("key").cast("string")) % 3 == 1, F.lit(False))
     marks = labels.select(F.col(key).cast("long").alias("key"), F.col(label).cast("int").alias("y")).where("y in (0, 1)")
-    rows = (pooled_rows.where(~held).join(marks, "key").withColumn("h", F.xxhash64("key")).orderBy("h", "key", "y", "vector").limit(sample)
-            .select("vector", "y").collect())
+    rows = smallest_hashes(pooled_rows.where(~held).join(marks, "key").select("key", "y", "vector", F.xxhash64("key").alias("h")), "h", sample).collect()
     x = np.array([np.frombuffer(r["vector"], np.float32) for r in rows], dtype=np.float64).reshape(len(rows), 2 * DIM)
     network = Network(x, np.array([r["y"] for r in rows], dtype=np.float64))
 
