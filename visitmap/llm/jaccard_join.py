@@ -13,7 +13,8 @@ Documents with equal sets are one node. Tokens in one document only can't be com
 so a document with too many of them has no link and drops out before any
 set is moved. In each key every set is first verified against the key's smallest
 node, not against all; pairs that these links leave in different components are
-verified in a second step.
+verified afterwards. Parity sketches, whose difference never exceeds that of the
+sets, keep pairs that can't link from being made at all.
 """
 
 from __future__ import annotations
@@ -36,7 +37,8 @@ NODES = "node long, key long, n long, s1 long, s2 long"
 COUNTS = "bucket long, block long, keys binary, docs binary"
 CLASSES = "block long, bucket long, classes binary"
 SETS = "block long, size long, nodes binary, offs binary, tokens binary, alone binary"
-LIVE = "node long, n int, common int, tokens binary, keys array<long>"
+LIVE = "node long, n int, common int, tokens binary, keys array<long>, parity array<long>"
+PARITY_WORDS = 16
 TOKEN_BITS = 48
 SAMPLE = 4  # a quarter of the tokens, by hash, tells most unlinked documents
 
@@ -139,6 +141,16 @@ def index_keys(tokens: np.ndarray, classes: np.ndarray, percent: int) -> np.ndar
     return np.concatenate(out)
 
 
+def parity_sketch(tokens: np.ndarray) -> np.ndarray:
+    """A bit a hash bucket: whether an odd number of the set's tokens fall into it.
+
+    Two sets' sketches differ in at most as many bits as the sets do in tokens.
+    """
+    at = mix(tokens + _U(7)) % _U(64 * PARITY_WORDS)
+    odd = np.bincount(at.astype(np.int64), minlength=64 * PARITY_WORDS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def links(percent: int) -> Callable:
     """Keep the pairs whose sets overlap enough: percent of the union, in integers."""
     def verify(batches):
@@ -242,8 +254,8 @@ class JaccardJoin:
                 for node, i, j in zip(nodes, at[:-1], at[1:]):
                     common = int((classes[i:j] > 0).sum())
                     if common >= needed(j - i, percent):
-                        out.append((int(node), int(j - i), common, pack_set(tokens[i:j]), index_keys(tokens[i:j], classes[i:j], percent).view(np.int64)))
-                kinds = [pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.list_(pa.int64())]
+                        out.append((int(node), int(j - i), common, pack_set(tokens[i:j]), index_keys(tokens[i:j], classes[i:j], percent).view(np.int64), parity_sketch(tokens[i:j])))
+                kinds = [pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64())]
                 yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], t) for k, t in enumerate(kinds)], names=[x.split()[0] for x in LIVE.split(", ")])
 
         slim = sets.select("block", "nodes", "offs", "tokens")
@@ -264,27 +276,38 @@ class JaccardJoin:
         return self._written(two.select("a", "b", "tokens_a", "tokens_b").mapInArrow(links(self.percent), "a long, b long"), name, "a long, b long")
 
     def _possible(self, p: str, q: str):
-        """Sizes, and tokens that may be common, allow a link of two rows' sets."""
+        """Sizes, tokens that may be common, and sketches allow a link of two rows' sets.
+
+        A link leaves at most (100 - percent) / (100 + percent) of both sizes as tokens of one set only.
+        """
         n, m, c, d = F.col(f"{p}.n"), F.col(f"{q}.n"), F.col(f"{p}.common"), F.col(f"{q}.common")
-        return (100 * F.least(n, m) >= self.percent * F.greatest(n, m)) & ((100 + self.percent) * F.least(c, d) >= self.percent * (n + m))
+        sizes = (100 * F.least(n, m) >= self.percent * F.greatest(n, m)) & ((100 + self.percent) * F.least(c, d) >= self.percent * (n + m))
+        apart = sum((F.bit_count(F.col(f"{p}.parity")[i].bitwiseXOR(F.col(f"{q}.parity")[i])) for i in range(PARITY_WORDS)), F.lit(0))
+        return sizes & ((100 + self.percent) * apart <= (100 - self.percent) * (n + m))
 
     def _link(self) -> DataFrame:
-        keys = self.live.select(F.explode(F.array_distinct("keys")).alias("key"), "node", "n", "common")
+        keys = self.live.select(F.explode(F.array_distinct("keys")).alias("key"), "node", "n", "common", "parity")
         # Keys of one set only join nothing.
-        first = keys.groupBy("key").agg(F.min(F.struct("node", "n", "common")).alias("first"), F.count("*").alias("sets")).where("sets > 1").select("key", "first.*")
+        first = keys.groupBy("key").agg(F.min(F.struct("node", "n", "common", "parity")).alias("first"), F.count("*").alias("sets")).where("sets > 1").select("key", "first.*")
         met = keys.alias("x").join(first.alias("y"), "key").where((F.col("x.node") != F.col("y.node")) & self._possible("x", "y"))
         found = self._verified(met.select(F.col("y.node").alias("a"), F.col("x.node").alias("b")).distinct(), "jaccard-links")
+        found = found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        # Pairs that this leaves apart: first by a few keys of each set, the smallest, which sets
+        # that link mostly share; then, when those have joined most components, by all keys.
+        few = self.live.select(F.explode(F.slice(F.array_sort(F.array_distinct("keys")), 1, 3)).alias("key"), "node", "n", "common", "parity")
+        pairs = self._apart(few, found)
+        found = found.unionByName(self._verified(pairs, "jaccard-links"))
+        late = self._apart(keys, found).join(pairs, ["a", "b"], "left_anti")
+        return found.unionByName(self._verified(late, "jaccard-links"))
+
+    def _apart(self, keys: DataFrame, found: DataFrame) -> DataFrame:
+        """Pairs in one key and different components that may link, each once, written."""
         parts = components(self.spark, found)
-        # What the first links leave apart in a key.
-        named = keys.join(parts, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-        named = self._written(named, "jaccard-named")
+        named = self._written(keys.join(parts, "node", "left").withColumn("comp", F.coalesce("comp", "node")), "jaccard-named")
         apart = named.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("key")
         rest = named.join(apart, "key", "left_semi")
         met = rest.alias("x").join(rest.alias("y"), "key").where((F.col("x.comp") < F.col("y.comp")) & self._possible("x", "y"))
-        pairs = met.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
-        done = found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        late = self._verified(pairs, "jaccard-links")
-        return done.unionByName(late)
+        return self._written(met.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct(), "jaccard-pairs")
 
     def members(self) -> DataFrame:
         """Every input row's node, key, n and ``component_id``: the smallest key it is linked to, itself included."""
