@@ -1,4 +1,4 @@
-"""Small API contracts: argument checks, run labels, SQL join form, rolling run."""
+"""Small API contracts: argument checks, SQL dedupe of the join, rolling run."""
 
 from datetime import date, datetime
 
@@ -6,19 +6,12 @@ import pytest
 
 from tests.cases import CUS_ROWS, CUS_SCHEMA, MSG_ROWS, MSG_SCHEMA
 from visitmap import DateWindow, build_visit_map
-from visitmap.functions import run_labels
-from visitmap.operators import dedupe, link
-from visitmap.plans import link_distinct_sql, rolling_run
+from visitmap.operators import dedupe, distinct_sql, link
+from visitmap.plans import rolling_run
 from visitmap.session import scratch_path
 from visitmap.sources import load_inputs, read_target
 
 
-def test_run_labels():
-    labels = run_labels(datetime(2024, 2, 1, 9, 8, 7, 654321))
-    assert labels == {"label": "20240201090807", "stamp": "2024-02-01 09:08:07.654", "day": "2024-02-01"}
-    assert set(run_labels()) == {"label", "stamp", "day"}
-
-
 def test_bad_arguments(spark):
     cus = spark.createDataFrame(CUS_ROWS, CUS_SCHEMA)
     msg = spark.createDataFrame(MSG_ROWS, MSG_SCHEMA)
@@ -28,10 +21,10 @@ def test_bad_arguments(spark):
         build_visit_map(cus, msg, None, prededupe="sometimes")
 
 
-def test_sql_join_form_equals_dedupe_of_link(spark):
+def test_sql_dedupe_of_the_join_equals_dedupe_of_link(spark):
     cus = spark.createDataFrame(CUS_ROWS + CUS_ROWS[:2], CUS_SCHEMA)
     msg = spark.createDataFrame(MSG_ROWS + MSG_ROWS[:1], MSG_SCHEMA)
-    a = link_distinct_sql(spark, cus, msg)
+    a = distinct_sql(spark, link(cus, msg))
     b = dedupe(link(cus, msg))
     assert a.columns == b.columns
     assert sorted(a.collect(), key=str) == sorted(b.collect(), key=str)

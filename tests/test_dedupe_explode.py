@@ -1,18 +1,19 @@
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tests.cases import LINKED_ROWS, LINKED_SCHEMA, fields
+from pyspark.testing import assertSchemaEqual
+
+from tests.cases import LINKED_ROWS, LINKED_SCHEMA
 from visitmap.operators import dedupe, distinct_sql, explode_ids, group_by_all_sql
 
 ARR = T.StructType([T.StructField("id", T.StringType()), T.StructField("visit_guids", T.ArrayType(T.StringType()))])
 
 
 def test_dedupe_with_arrays_and_nulls(spark):
-    rows = [LINKED_ROWS[0]] + LINKED_ROWS
-    df = spark.createDataFrame(rows, LINKED_SCHEMA)
+    df = spark.createDataFrame(LINKED_ROWS[::-1] + LINKED_ROWS, LINKED_SCHEMA)
     out = dedupe(df)
-    assert fields(out) == fields(df)
-    assert sorted(out.collect()) == sorted(spark.createDataFrame(LINKED_ROWS, LINKED_SCHEMA).collect())
+    assertSchemaEqual(out.schema, df.schema)
+    assert sorted(out.collect(), key=str) == sorted(spark.createDataFrame(LINKED_ROWS, LINKED_SCHEMA).collect(), key=str)
 
 
 def test_nulls_equal_and_array_order_matters(spark):
@@ -23,10 +24,10 @@ def test_nulls_equal_and_array_order_matters(spark):
 
 
 def test_sql_forms_equal_dataframe_form(spark):
-    df = spark.createDataFrame([LINKED_ROWS[0]] + LINKED_ROWS, LINKED_SCHEMA)
-    a = sorted(dedupe(df).collect())
-    assert sorted(distinct_sql(spark, df).collect()) == a
-    assert sorted(group_by_all_sql(spark, df).collect()) == a
+    df = spark.createDataFrame(LINKED_ROWS[2:] + LINKED_ROWS, LINKED_SCHEMA)
+    a = sorted(dedupe(df).collect(), key=str)
+    assert sorted(distinct_sql(spark, df).collect(), key=str) == a
+    assert sorted(group_by_all_sql(spark, df).collect(), key=str) == a
 
 
 def test_explode_null_empty_and_repeats(spark):

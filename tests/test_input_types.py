@@ -5,25 +5,27 @@ from datetime import date, datetime, timezone
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tests.cases import CUS_ROWS, CUS_SCHEMA, DAY, MSG_ROWS, MSG_SCHEMA
+from pyspark.testing import assertSchemaEqual
+
+from tests.cases import CUS_ROWS, CUS_SCHEMA, DAY, LINKED_ROWS, MSG_ROWS, MSG_SCHEMA
 from visitmap import DateWindow, build_visit_map
-from visitmap.schemas import OUTPUT_COLS, customer_schema, messaging_schema
+from visitmap.schemas import OUTPUT_COLS, customer_schema, messaging_schema, output_schema
 
 
 def test_text_inputs_like_the_original_tests(spark):
     cus = spark.createDataFrame(CUS_ROWS, CUS_SCHEMA)
     msg = spark.createDataFrame(MSG_ROWS, MSG_SCHEMA).withColumn("conversation_end_utc_date", F.lit(DAY))
-    out = build_visit_map(cus, msg, DateWindow(DAY, DAY), build_ts="2020-03-07 01:02:03.456")
+    out = build_visit_map(cus, msg, DateWindow(DAY, DAY), build_ts="2021-11-08 01:02:03.456")
     assert out.columns == OUTPUT_COLS
     rows = out.collect()
-    got = sorted((r.parent_contact_id, r.visit_guid) for r in rows)
-    assert got == sorted([("100-c-01", "v-1"), ("100-c-01", " v-2"), ("100-c-02", "v-3"),
-                          ("100-c-03", "v-4"), ("100-c-04", None)], key=str)
-    assert {r.rpt_mst_date for r in rows} == {date(2020, 3, 5)}
+    got = sorted({(r.parent_contact_id, r.visit_guid) for r in rows}, key=str)
+    assert got == sorted({(r[0], g) for r in LINKED_ROWS for g in r[4] or [None]}, key=str)
+    assert {r.rpt_mst_date for r in rows} == {date(2021, 11, 6)}
+    assertSchemaEqual(out.schema, output_schema(T.TimestampType()))
     # Text in, no time type to follow: the stamp is a TIMESTAMP instant.
     assert out.schema["etl_build_mst_ts"].dataType == T.TimestampType()
     assert len({r.etl_build_mst_ts for r in rows}) == 1
-    both = build_visit_map(cus, msg, DateWindow(DAY, DAY), sides="both", build_ts="2020-03-07")
+    both = build_visit_map(cus, msg, DateWindow(DAY, DAY), sides="both", build_ts="2021-11-08")
     assert both.count() == len(rows)
 
 

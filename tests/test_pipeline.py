@@ -63,8 +63,7 @@ def test_prededupe_is_exact(spark):
 def test_runtime_bloom_filter_prunes_messaging_scan(spark):
     """Default plan: the windowed customer keys filter the messaging scan."""
     cus, msg = load_inputs(spark, SF)
-    conf = {"spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "1k",
-            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    conf = {"spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
     old = {k: spark.conf.get(k) for k in conf}
     try:
         for k, v in conf.items():
@@ -79,6 +78,37 @@ def test_runtime_bloom_filter_prunes_messaging_scan(spark):
             spark.conf.set(k, v)
 
 
+def test_slice_run_filters_whatever_the_customer_tables_size_estimate(spark):
+    """The scheduled run over its slice plans the filter with the gate far under the table's estimate."""
+    from visitmap.plans import scheduled_visit_map
+    from visitmap.session import apply
+
+    cus, msg = load_inputs(spark, SF)
+    df, sized = scheduled_visit_map(spark, cus, msg, DateWindow("1997-01-01", "1997-01-11"), build_ts="2024-02-01")
+    gate = {"spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "30k"}
+    table = cus._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    assert int(str(table)) > 30 * 1024
+    with apply(spark, {**sized, **gate}):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert "might_contain" in plan
+    n = df.where("parent_contact_id is not null").count()
+    assert n and int(sized["spark.sql.optimizer.runtime.bloomFilter.expectedNumItems"]) < 400
+    other = build_visit_map(cus, msg, DateWindow("1997-01-01", "1997-01-11"), build_ts="2024-02-01")
+    assert df.exceptAll(other).count() == 0 and other.exceptAll(df).count() == 0
+
+
+def test_slice_run_with_many_copies_on_both_sides(spark):
+    """Copies times distinct rows of one conversation are never built: the slice has each row once."""
+    from visitmap.plans import scheduled_visit_map
+
+    t = datetime(2024, 1, 10, 12)
+    cus = spark.createDataFrame([("hot", t, t, t, ["a"])] * 400, CUS)
+    msg = spark.createDataFrame([("hot", i, "app", "SMS", None, t) for i in range(400)], MSG)
+    df, sized = scheduled_visit_map(spark, cus, msg, DateWindow("2024-01-01", "2024-01-31"), build_ts="2024-02-01")
+    assert sized["spark.sql.optimizer.runtime.bloomFilter.expectedNumItems"] == "1"
+    assert df.count() == 400
+
+
 def test_only_matched_conversations_appear(spark):
     cus, msg = load_inputs(spark, SF)
     out = build_visit_map(cus, msg, W, build_ts="2024-02-01")

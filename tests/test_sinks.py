@@ -115,11 +115,20 @@ def test_export_table_full_refresh(spark):
     assert [r.rpt_mst_date for r in spark.table(table).collect()] == ["2024-01-05"]
 
 
+def test_path_sink_refuses_missing_and_extra_columns(spark):
+    df = _rows(spark, date(2024, 1, 1), 1, "a")
+    for wrong in (df.drop("visit_guid"), df.withColumn("more", F.lit(1)), df.drop("etl_build_mst_ts")):
+        with pytest.raises(ValueError):
+            overwrite_partitions(wrong, scratch_path(spark, "t-refused"))
+
+
 def test_conform_by_name(spark):
     df = spark.createDataFrame([(1, "x")], "b int, a string")
     assert conform(df, ["a", "b"]).columns == ["a", "b"]
     target = T.StructType([T.StructField("a", T.StringType()), T.StructField("b", T.LongType())])
     assert conform(df, target).schema["b"].dataType == T.LongType()
+    with pytest.raises(ValueError):
+        conform(df.withColumn("c", F.lit(1)), target)
     with pytest.raises(ValueError):
         conform(df, ["a", "c"])
 

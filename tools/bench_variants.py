@@ -29,9 +29,9 @@ def main(argv):
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.1"
     runs = int(argv[2]) if len(argv) > 2 else 5
     from visitmap import DateWindow, build_visit_map
-    from visitmap.operators import (add_build_stamp, add_report_date, explode_ids, group_by_all_sql,
-                                    project_contract)
-    from visitmap.plans import build_visit_map_sql, link_distinct_sql
+    from visitmap.operators import (add_build_stamp, add_report_date, distinct_sql, explode_ids,
+                                    group_by_all_sql, link, project_contract)
+    from visitmap.plans import build_visit_map_sql
     from visitmap.session import local_session, scratch_path
     from visitmap.sinks import overwrite_partitions
     from visitmap.sources import load_inputs, scan_customer, scan_messaging
@@ -52,7 +52,7 @@ def main(argv):
                 lambda s=sides, m=mode: noop(build_visit_map(*inputs(), w, sides=s, prededupe=m, build_ts="2024-02-01")))
     def script_shape():
         cus, msg = inputs()
-        linked = link_distinct_sql(spark, scan_customer(cus, w), scan_messaging(msg))
+        linked = distinct_sql(spark, link(scan_customer(cus, w), scan_messaging(msg)))
         noop(project_contract(add_build_stamp(add_report_date(group_by_all_sql(spark, explode_ids(linked))),
                                               "2024-02-01")))
 

@@ -14,13 +14,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Fixed values: "MST" is a fixed UTC-07:00 offset all year (no daylight saving);
-# build-stamp text keeps millisecond precision; the run also carries a compact
-# start label and its calendar day.
+# build-stamp text keeps millisecond precision.
 MST_OFFSET_HOURS = -7
 STAMP_FORMAT = "%Y-%m-%d %H:%M:%S.%f"
 STAMP_DIGITS_CUT = 3
-RUN_LABEL_FORMAT = "%Y%m%d%H%M%S"
-RUN_DAY_FORMAT = "%Y-%m-%d"
 
 MST = timezone(timedelta(hours=MST_OFFSET_HOURS))
 _OFFSET_SECONDS = MST_OFFSET_HOURS * 3600
@@ -31,10 +28,52 @@ def _shift_interval() -> Column:
     return F.make_dt_interval(hours=F.lit(-MST_OFFSET_HOURS))
 
 
+# Text that names its own zone: Z, UTC, an offset, or a region at the end.
+_ZONED_TEXT = r"(Z|UTC|GMT|[+-][0-9]{1,2}:[0-9]{2}|[A-Za-z]+/[A-Za-z_/]+)\s*$"
+_EPOCH = "1970-01-01 00:00:00"
+
+
+def instant_wall_clock(col: Column, zone_hours: int = 0) -> Column:
+    """The wall clock (TIMESTAMP_NTZ) that an instant shows at a fixed offset, without the session zone."""
+    micros = F.unix_micros(col) + F.lit(zone_hours * 3600 * 1_000_000)
+    days = F.floor(micros / F.lit(_SECONDS_PER_DAY * 1_000_000)).cast("int")
+    rest = ((micros - days.cast("long") * F.lit(_SECONDS_PER_DAY * 1_000_000)).cast("decimal(18,0)") / F.lit(1_000_000)).cast("decimal(18,6)")
+    return F.lit(_EPOCH).cast("timestamp_ntz") + F.make_dt_interval(days, F.lit(0), F.lit(0), rest)
+
+
+def wall_clock_instant(col: Column, zone_hours: int = 0) -> Column:
+    """The instant at which a wall clock (TIMESTAMP_NTZ) at a fixed offset shows ``col``."""
+    part = lambda name: F.extract(F.lit(name), col)
+    zone = F.lit(f"{'-' if zone_hours < 0 else '+'}{abs(zone_hours):02d}:00")
+    return F.make_timestamp_ltz(part("YEAR"), part("MONTH"), part("DAY"), part("HOUR"), part("MINUTE"), part("SECOND"), zone)
+
+
+def utc_wall_clock(text: Column) -> Column:
+    """The UTC wall clock that a text means: as it stands, or converted from the zone that it names."""
+    zoned = text.rlike(_ZONED_TEXT)
+    return F.when(zoned, instant_wall_clock(F.when(zoned, text).cast("timestamp"))).otherwise(F.when(~zoned, text).cast("timestamp_ntz"))
+
+
+def convert_time(col: Column, have: T.DataType, want: T.DataType, zone_hours: int = 0) -> Column:
+    """``col`` as another type; between wall clocks (text too) and instants by the given offset."""
+    if isinstance(have, T.StringType) and isinstance(want, T.TimestampNTZType):
+        return utc_wall_clock(col)
+    if isinstance(have, T.StringType) and isinstance(want, T.TimestampType):
+        return wall_clock_instant(utc_wall_clock(col), zone_hours)
+    if isinstance(have, T.TimestampNTZType) and isinstance(want, T.TimestampType):
+        return wall_clock_instant(col, zone_hours)
+    if isinstance(have, T.TimestampType) and isinstance(want, T.TimestampNTZType):
+        return instant_wall_clock(col, zone_hours)
+    if isinstance(have, T.DateType) and isinstance(want, (T.TimestampType, T.TimestampNTZType)):
+        return convert_time(col.cast("timestamp_ntz"), T.TimestampNTZType(), want, zone_hours) if isinstance(want, T.TimestampType) else col.cast(want)
+    return col.cast(want)
+
+
 def report_date(col: Column, data_type: T.DataType) -> Column:
     """MST calendar date of a UTC time value, as DATE.
 
-    * TIMESTAMP_NTZ / text: the value is a UTC wall clock; subtract 7 hours.
+    * TIMESTAMP_NTZ / text: the value is a UTC wall clock; subtract 7 hours. Text
+      that names its own zone is converted to UTC first.
     * TIMESTAMP (an instant): floor((epoch seconds - 7h) / 1 day) as a day number.
     * DATE: midnight UTC, which is the previous MST day.
     """
@@ -44,7 +83,7 @@ def report_date(col: Column, data_type: T.DataType) -> Column:
         days = F.floor((F.unix_seconds(col) + F.lit(_OFFSET_SECONDS)) / F.lit(_SECONDS_PER_DAY))
         return F.date_from_unix_date(days.cast("int"))
     if isinstance(data_type, T.StringType):
-        return F.to_date(col.cast("timestamp_ntz") - _shift_interval())
+        return F.to_date(utc_wall_clock(col) - _shift_interval())
     if isinstance(data_type, T.DateType):
         return F.date_sub(col, 1)
     raise TypeError(f"report date needs a date, timestamp or text column, not {data_type}")
@@ -74,18 +113,6 @@ def stamp_text(build_ts: datetime | date | str) -> str:
     return stamp_wall_clock(build_ts).strftime(STAMP_FORMAT)[:-STAMP_DIGITS_CUT]
 
 
-def run_labels(start: datetime | None = None) -> dict[str, str]:
-    """Driver-side strings for a run started at ``start`` (UTC now by default):
-    ``label`` (compact), ``stamp`` (ms precision) and ``day``.
-    """
-    start = start or datetime.now(timezone.utc).replace(tzinfo=None)
-    return {
-        "label": start.strftime(RUN_LABEL_FORMAT),
-        "stamp": start.strftime(STAMP_FORMAT)[:-STAMP_DIGITS_CUT],
-        "day": start.strftime(RUN_DAY_FORMAT),
-    }
-
-
 def build_stamp_literal(build_ts: datetime | date | str | None, data_type: T.DataType) -> Column:
     """One literal per run: the build time as TIMESTAMP_NTZ (MST wall clock)
     or as TIMESTAMP (the instant). Being a constant it cannot change a dedupe.

@@ -4,11 +4,18 @@ Everything the original job looked up at import time (environment, dates,
 table names) is an argument here. One run:
 
 1. picks the window: rolling (yesterday MST and ``--lookback-days`` before) or
-   a history backfill, read as whole MST report days;
-2. builds the visit map from the two inputs (catalog tables or Parquet paths);
+   a history backfill, read as whole MST report days unless ``--window-mode`` says
+   otherwise (``closed`` reads DATE or midnight values as the original job does);
+2. builds the visit map from the two inputs (catalog tables or Parquet paths),
+   over a written slice of the window's customer rows;
 3. overwrites the report-date partitions it produced in the target (a
-   Parquet folder, or a catalog table created on first use);
-4. optionally refreshes the unpartitioned ORC export.
+   Parquet folder, or a catalog table created on first use) and empties those of
+   the window that no longer have rows;
+4. optionally refreshes the unpartitioned ORC export (a folder or a catalog
+   table) from what was just written.
+
+The run applies ``session.RECOMMENDED_CONF`` and restores the session's settings
+afterwards; ``--conf`` wins over it.
 """
 
 from __future__ import annotations
@@ -20,13 +27,15 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from visitmap import session
 from visitmap.functions.timefns import mst_now, stamp_text
 from visitmap.functions.window import DEFAULT_LOOKBACK_DAYS, HISTORY_START, DateWindow
-from visitmap.plans.visit_map import build_visit_map
-from visitmap.session import bloom_filter_conf
-from visitmap.sources.tables import scan_customer
+from visitmap.operators.project import conform
+from visitmap.plans.visit_map import scheduled_visit_map
+from visitmap.schemas import PARTITION_COL, output_schema
 from visitmap.sinks.files import export_orc, overwrite_partitions
-from visitmap.sinks.tables import create_target_table, insert_overwrite_by_name
+from visitmap.sinks.tables import create_export_table, create_target_table, insert_overwrite_by_name, replace_export_table
+from visitmap.sources.tables import read_target
 
 log = logging.getLogger("visitmap")
 
@@ -46,6 +55,12 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("--target-table", help="catalog table of the target (created if missing)")
     p.add_argument("--target-location", help="location for a new --target-table")
     p.add_argument("--export-path", help="ORC folder to refresh with this run's rows")
+    p.add_argument("--export-table", help="catalog table to refresh with this run's rows (dropped and defined)")
+    p.add_argument("--export-location", help="location of --export-table")
+    p.add_argument("--window-mode", choices=("report_days", "closed", "whole_days"), default="report_days",
+                   help="how the window's days are read on the end date; closed compares with both bounds at midnight UTC")
+    p.add_argument("--conf", action="append", default=[], metavar="KEY=VALUE", help="a Spark SQL setting for the run")
+    p.add_argument("--hive", action="store_true", help="use the Hive catalog")
     p.add_argument("--as-of", type=date.fromisoformat, help="run as if today (MST) were this day")
     p.add_argument("--lookback-days", type=int, default=DEFAULT_LOOKBACK_DAYS)
     p.add_argument("--backfill", action="store_true", help="history run from --history-start")
@@ -54,67 +69,75 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
                    help="window the customer side only (scheduled job) or both inputs")
     p.add_argument("--prededupe", choices=("auto", "messaging", "both", "none"), default="auto")
     p.add_argument("--build-ts", help="build stamp (MST wall clock); default: now")
-    p.add_argument("--window-conversations", type=int,
-                   help="expected distinct conversations in the window; sizes the runtime bloom "
-                        "filter (3%% false positives, at most 64 MB) so it keeps pruning at scale")
-    p.add_argument("--measure-window", action="store_true",
-                   help="count the window's distinct conversations first (one approximate "
-                        "aggregate over the windowed customer rows) and size the filter from it")
     p.add_argument("--shuffle-partitions", type=int,
                    help="initial shuffle width (about largest stage input / 128 MB); AQE coalesces "
                         "from there. Default: the session's setting")
     args = p.parse_args(argv)
     if bool(args.target_path) == bool(args.target_table):
         p.error("give exactly one of --target-path and --target-table")
+    if bool(args.export_table) != bool(args.export_location):
+        p.error("--export-table and --export-location go together")
+    if any("=" not in x for x in args.conf):
+        p.error("--conf takes KEY=VALUE")
     return args
 
 
-def run(spark: SparkSession, args: argparse.Namespace) -> DateWindow:
+def settings(args: argparse.Namespace) -> dict[str, str]:
+    """The run's settings: the recommended ones, the arguments', then the explicit ones."""
+    found = dict(session.RECOMMENDED_CONF)
     if args.shuffle_partitions:
         # AQE can merge small partitions and split skewed ones, but not split a
         # uniformly oversized one: start wide enough for the data.
-        spark.conf.set("spark.sql.shuffle.partitions", str(args.shuffle_partitions))
+        found["spark.sql.shuffle.partitions"] = str(args.shuffle_partitions)
+    return found | dict(x.split("=", 1) for x in args.conf)
+
+
+def run(spark: SparkSession, args: argparse.Namespace) -> DateWindow:
+    with session.apply(spark, settings(args)):
+        return _run(spark, args)
+
+
+def _run(spark: SparkSession, args: argparse.Namespace) -> DateWindow:
     if args.backfill:
-        window = DateWindow.backfill(args.as_of, args.history_start, mode="report_days")
+        window = DateWindow.backfill(args.as_of, args.history_start, mode=args.window_mode)
     else:
-        window = DateWindow.rolling(args.as_of, args.lookback_days, mode="report_days")
-    cus = _source(spark, args.customer)
-    expected = args.window_conversations
-    if args.measure_window and not expected:
-        # One number back to the driver: an approximate distinct count of the window's keys.
-        expected = scan_customer(cus, window).agg(
-            F.approx_count_distinct("conversation_id").alias("n")).first()["n"]
-    if expected:
-        for k, v in bloom_filter_conf(expected).items():
-            spark.conf.set(k, v)
+        window = DateWindow.rolling(args.as_of, args.lookback_days, mode=args.window_mode)
     build_ts = args.build_ts or mst_now()          # one clock read per run
-    log.info("visit map for report days %s..%s, build %s", window.start, window.end, stamp_text(build_ts))
-    df = build_visit_map(cus, _source(spark, args.messaging), window,
-                         sides=args.sides, build_ts=build_ts, prededupe=args.prededupe, spark=spark)
-    if args.target_path:
-        overwrite_partitions(df, args.target_path)
-    else:
-        if not spark.catalog.tableExists(args.target_table):
-            if not args.target_location:
-                raise SystemExit("--target-location is needed to create --target-table")
-            create_target_table(spark, args.target_table, args.target_location,
-                                time_type=df.schema["etl_build_mst_ts"].dataType)
-        have = spark.table(args.target_table).schema["etl_build_mst_ts"].dataType
-        if have != df.schema["etl_build_mst_ts"].dataType:
-            log.warning("target %s stores %s but the inputs carry %s; times are cast through the "
-                        "session time zone", args.target_table, have.simpleString(),
-                        df.schema["etl_build_mst_ts"].dataType.simpleString())
-        insert_overwrite_by_name(spark, df, args.target_table)
+    log.info("visit map for %s %s..%s, build %s", window.mode, window.start, window.end, stamp_text(build_ts))
+    df, sized = scheduled_visit_map(spark, _source(spark, args.customer), _source(spark, args.messaging), window,
+                                    sides=args.sides, build_ts=build_ts, prededupe=args.prededupe)
+    time_type = df.schema["etl_build_mst_ts"].dataType
+    # Only whole report days tell that a date has become empty.
+    complete = window.report_dates() if window.mode == "report_days" else None
+    with session.apply(spark, sized, keep=[x.split("=", 1)[0] for x in args.conf]):
+        if args.target_path:
+            dates = overwrite_partitions(df, args.target_path, complete=complete)
+            written = read_target(spark, args.target_path, time_type)
+        else:
+            if not spark.catalog.tableExists(args.target_table):
+                if not args.target_location:
+                    raise SystemExit("--target-location is needed to create --target-table")
+                create_target_table(spark, args.target_table, args.target_location, time_type=time_type)
+            dates = insert_overwrite_by_name(spark, df, args.target_table, complete=complete)
+            written = spark.table(args.target_table)
+    # The export is what was just written, so both are the same rows and the inputs are read once.
+    rows = written.where(F.col(PARTITION_COL).isin(dates)) if dates else written.limit(0)
     if args.export_path:
-        export_orc(df, args.export_path)
+        export_orc(rows, args.export_path)
+    if args.export_table:
+        kept = rows.schema["etl_build_mst_ts"].dataType
+        create_export_table(spark, args.export_table, args.export_location, time_type=kept)
+        replace_export_table(spark, conform(rows, output_schema(kept)), args.export_table)
     return window
 
 
 def main(argv: list[str] | None = None) -> None:
     logging.basicConfig(level=logging.INFO)
     args = parse_args(argv)
-    spark = SparkSession.builder.appName("visitmap").getOrCreate()
-    run(spark, args)
+    builder = SparkSession.builder.appName("visitmap")
+    if args.hive:
+        builder = builder.enableHiveSupport()
+    run(builder.getOrCreate(), args)
 
 
 if __name__ == "__main__":

@@ -4,10 +4,11 @@ from visitmap.operators.dedupe import dedupe, distinct_sql, group_by_all_sql, re
 from visitmap.operators.explode import explode_ids
 from visitmap.operators.link import link, link_on, rename_app_id
 from visitmap.operators.project import conform, project_contract
-from visitmap.operators.stamp import add_build_stamp, add_report_date, overwrite_with_build_time
+from visitmap.operators.stamp import add_build_stamp, add_query_clock, add_report_date, overwrite_with_build_time
 
 __all__ = [
     "add_build_stamp",
+    "add_query_clock",
     "add_report_date",
     "conform",
     "dedupe",

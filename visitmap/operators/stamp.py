@@ -36,6 +36,11 @@ def add_build_stamp(df: DataFrame, build_ts: datetime | date | str | None = None
     return df.withColumn(out_col, build_stamp_literal(build_ts, data_type or stamp_type(df)))
 
 
+def add_query_clock(df: DataFrame, out_col: str = "query_ts") -> DataFrame:
+    """Add the time at which the query runs, the same on every row; a plan run again reads the clock again."""
+    return df.withColumn(out_col, F.current_timestamp())
+
+
 def overwrite_with_build_time(df: DataFrame, column: str, build_ts: datetime | date | str | None = None
                               ) -> DataFrame:
     """Replace ``column`` by the build time, keeping its time type."""

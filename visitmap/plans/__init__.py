@@ -1,7 +1,8 @@
 """Whole-job plans: the visit map and its windowed reruns."""
 
 from visitmap.plans.rerun import backfill_run, run_window, rolling_run
-from visitmap.plans.visit_map import build_visit_map
-from visitmap.plans.visit_map_sql import build_visit_map_sql, link_distinct_sql
+from visitmap.plans.visit_map import build_visit_map, scheduled_visit_map
+from visitmap.plans.visit_map_sql import build_visit_map_sql
 
-__all__ = ["backfill_run", "build_visit_map", "build_visit_map_sql", "link_distinct_sql", "rolling_run", "run_window"]
+__all__ = ["backfill_run", "build_visit_map", "build_visit_map_sql", "rolling_run", "run_window",
+           "scheduled_visit_map"]

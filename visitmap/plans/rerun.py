@@ -5,8 +5,9 @@ conversation that lands up to ``lookback_days`` late is still picked up. A run
 overwrites exactly the report-date partitions it writes (dynamic overwrite).
 For that to lose nothing, each written report date must be complete, so the
 window is read in ``report_days`` mode: ``[start 07:00Z, end + 1 day 07:00Z)``
-on the raw UTC column, still a pushable range. Two overlapping runs then
-leave the same table as one run over both windows.
+on the raw UTC column, still a pushable range. Dates of the window that a run
+has no row for are emptied too. Two overlapping runs then leave the same table as
+one run over both windows, also when rows moved or went between them.
 """
 
 from __future__ import annotations
@@ -32,9 +33,9 @@ def run_window(
     spark: SparkSession | None = None,
 ) -> None:
     """Build the visit map for the report days of ``window`` and overwrite them."""
-    df = build_visit_map(cus, msg, window.with_mode("report_days"), sides=sides,
-                         build_ts=build_ts, spark=spark)
-    overwrite_partitions(df, target_path, rebalance=rebalance)
+    window = window.with_mode("report_days")
+    df = build_visit_map(cus, msg, window, sides=sides, build_ts=build_ts, spark=spark)
+    overwrite_partitions(df, target_path, rebalance=rebalance, complete=window.report_dates())
 
 
 def rolling_run(

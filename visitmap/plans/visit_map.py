@@ -54,6 +54,8 @@ from visitmap.operators.explode import explode_ids
 from visitmap.operators.link import link
 from visitmap.operators.project import project_contract
 from visitmap.operators.stamp import add_build_stamp, add_report_date
+from visitmap.plans.slice import write_slice
+from visitmap.session import bloom_filter_conf
 from visitmap.sources.tables import scan_customer, scan_messaging
 
 SIDES = ("left", "both")
@@ -99,3 +101,23 @@ def build_visit_map(
         .transform(lambda df: add_build_stamp(df, build_ts))
         .transform(project_contract)
     )
+
+
+def scheduled_visit_map(
+    spark: SparkSession,
+    cus: DataFrame | str,
+    msg: DataFrame | str,
+    window: DateWindow,
+    *,
+    sides: str = "left",
+    build_ts: datetime | date | str | None = None,
+    prededupe: str | bool = "auto",
+) -> tuple[DataFrame, dict[str, str]]:
+    """The visit map over a written slice of the window, and the settings to run it under.
+
+    The settings size the runtime filter for the slice's exact number of rows (one
+    a conversation, or a little more). They matter when the plan is made, so apply them
+    (``session.apply``) around the action.
+    """
+    rows, count = write_slice(spark, cus, window)
+    return build_visit_map(rows, msg, window, sides=sides, build_ts=build_ts, prededupe=prededupe, spark=spark), bloom_filter_conf(count)

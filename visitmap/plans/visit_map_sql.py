@@ -17,25 +17,6 @@ from visitmap.operators.project import project_contract
 from visitmap.operators.stamp import add_build_stamp, add_report_date
 from visitmap.sources.tables import scan_customer, scan_messaging
 
-_LINK_DISTINCT = """
-SELECT DISTINCT
-    concat(CAST(m.account_id AS STRING), '-', c.conversation_id) AS parent_contact_id,
-    c.conversation_start_utc_ts, c.conversation_end_utc_ts, c.conversation_end_utc_date, c.visit_guids,
-    m.visitor_app_id AS app_id, m.visitor_device_type, m.conversation_source
-FROM {cus} AS c
-JOIN {msg} AS m ON m.conversation_id = c.conversation_id
-GROUP BY ALL
-"""
-
-
-def link_distinct_sql(spark: SparkSession, cus: DataFrame, msg: DataFrame) -> DataFrame:
-    """Join (ON form), contact key and DISTINCT over GROUP BY ALL, in one SQL statement.
-
-    Catalyst merges the DISTINCT and the GROUP BY into one aggregate.
-    """
-    return spark.sql(_LINK_DISTINCT, cus=cus, msg=msg)
-
-
 _VISIT_ROWS = """
 WITH m AS (
     SELECT DISTINCT conversation_id, account_id, visitor_app_id, conversation_source, visitor_device_type
@@ -67,9 +48,7 @@ def build_visit_map_sql(
 
     The same plan as ``build_visit_map``: messaging deduped before the join
     (the DISTINCT subquery), explode keeping conversations without ids, and
-    a single GROUP BY over every output column after the explode. The
-    statement shape of the original script (DISTINCT before the explode too)
-    is available as ``link_distinct_sql`` + ``group_by_all_sql``.
+    a single GROUP BY over every output column after the explode.
     """
     rows = spark.sql(_VISIT_ROWS, cus=scan_customer(cus, window, spark), msg=scan_messaging(msg, None, spark))
     return project_contract(add_build_stamp(add_report_date(rows), build_ts))

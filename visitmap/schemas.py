@@ -1,5 +1,7 @@
 """Input shapes and the output contract of the visit map."""
 
+# The column names and their order below are the tables' contract.
+
 from pyspark.sql import types as T
 
 # Customer messaging (source 1): one row per conversation and its visit ids.
@@ -45,7 +47,8 @@ EXPLODED_COLS = [
 ]
 
 # Output contract, in order.
-OUTPUT_COLS = EXPLODED_COLS + ["etl_build_mst_ts", "rpt_mst_date"]
+STAMP_COL = "etl_build_mst_ts"
+OUTPUT_COLS = EXPLODED_COLS + [STAMP_COL, "rpt_mst_date"]
 
 PARTITION_COL = "rpt_mst_date"
 

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import logging
 import math
 import os
 import tempfile
 import uuid
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
+from pyspark.sql.utils import is_remote
 
 # Settings the job relies on at scale. AQE sizes shuffles from measured bytes
 # (start wide, coalesce down), splits skewed join partitions and turns a join
@@ -15,17 +19,13 @@ from pyspark.sql import SparkSession
 # from file-size estimates are off, since compressed file sizes do not bound
 # the in-memory size of a filtered, projected side.
 #
-# The runtime bloom filter (windowed customer keys -> messaging scan) is only
-# injected when the creation side's *estimated* size is under
-# creationSideThreshold (10 MB by default). Without column statistics a
-# filtered scan is estimated at its whole table's size, so the default
-# silently skips the filter on large tables. The filter itself stays bounded
-# by spark.sql.optimizer.runtime.bloomFilter.maxNumBits (8 MB) whatever the
-# creation side's size; a larger creation side only costs one more pass over
-# the windowed customer rows to build it. The application-side gate (10 GB
-# scanned by default) is lowered too: on the scheduled run's shape (11 days
-# of customers) the filter made the job 2.2x faster even at sf0.1, and on
-# wide windows it cost nothing measurable; large scans pass the gate anyway.
+# The runtime bloom filter (windowed customer keys -> messaging scan) has two
+# size gates in Spark: the creation side's *estimated* size (10 MB by default; a
+# filtered scan without statistics is estimated at its whole table) and the size
+# scanned on the application side (10 GB by default). Both would switch the
+# filter off silently at some table size, so both are opened: the filter's own
+# size is bounded, and the scheduled run builds it from a written slice of the
+# window with few files (``plans.slice``), which bounds what its merge reads.
 #
 # The stage after the join explodes rows and aggregates them, so it is
 # CPU-heavy for its shuffle input. AQE's 1 MB minimum partition size packs a
@@ -41,13 +41,32 @@ RECOMMENDED_CONF = {
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32m",
     "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
-    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "8g",
-    "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "1m",
+    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": str(2**63 - 1),
+    "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "1b",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.files.maxPartitionBytes": "256m",
 }
 
 
+_HASHES = 5  # hash functions of a filter at 3% false positives
+
+log = logging.getLogger("visitmap")
+
+
+@contextmanager
+def apply(spark: SparkSession, settings: dict[str, str], keep: Iterable[str] = ()) -> Iterator[None]:
+    """Run a block under ``settings`` (but for the keys in ``keep``), then restore what was there."""
+    mine = {k: v for k, v in settings.items() if k not in set(keep)}
+    old = {k: spark.conf.get(k, None) for k in mine}
+    try:
+        for k, v in mine.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def bloom_filter_conf(expected_keys: int, fpp: float = 0.03, max_bytes: int = 64 << 20) -> dict[str, str]:
     """Runtime-filter sizing for ``expected_keys`` distinct customer keys in a window.
 
@@ -59,7 +78,10 @@ def bloom_filter_conf(expected_keys: int, fpp: float = 0.03, max_bytes: int = 64
     """
     n = max(1, int(expected_keys))
     bits = math.ceil(-n * math.log(fpp) / (math.log(2) ** 2))
-    bits = min(bits, max_bytes * 8)
+    if bits > max_bytes * 8:
+        bits = max_bytes * 8
+        rate = (1 - math.exp(-n * _HASHES / bits)) ** _HASHES
+        log.warning("the runtime filter's bound of %d MB binds for %d keys: about %.0f%% of other rows pass it", max_bytes >> 20, n, 100 * rate)
     prefix = "spark.sql.optimizer.runtime.bloomFilter."
     return {prefix + "expectedNumItems": str(n), prefix + "maxNumItems": str(n),
             prefix + "numBits": str(bits), prefix + "maxNumBits": str(bits)}
@@ -87,13 +109,12 @@ def scratch_root(spark: SparkSession) -> str:
     as its checkpoint dir. On a cluster a machine-local folder would not be
     shared by the executors, so a missing setting is an error.
     """
-    try:
-        sc = spark.sparkContext
-    except Exception:  # a Spark Connect session has no SparkContext
+    if is_remote():  # a Spark Connect session has no SparkContext
         root = spark.conf.get("spark.checkpoint.dir", None)
         if not root:
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
         return root.rstrip("/")
+    sc = spark.sparkContext
     root = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if not root:
         if not sc.master.startswith("local"):

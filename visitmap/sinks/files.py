@@ -7,30 +7,51 @@ tasks, never leave a half-written partition.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from datetime import date
+
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from visitmap.operators.project import conform
-from visitmap.schemas import OUTPUT_COLS, PARTITION_COL
+from visitmap.schemas import OUTPUT_COLS, PARTITION_COL, STAMP_COL, output_schema
+
+
+def written_dates(df: DataFrame, partition_col: str = PARTITION_COL) -> tuple[DataFrame, Observation]:
+    """``df`` and an observation of the dates that pass when it is written."""
+    seen = Observation()
+    return df.observe(seen, F.collect_set(partition_col).alias("dates")), seen
 
 
 def overwrite_partitions(df: DataFrame, path: str, partition_col: str = PARTITION_COL,
-                         rebalance: bool = True, fmt: str = "parquet") -> None:
+                         rebalance: bool = True, fmt: str = "parquet", complete: list[date] | None = None) -> list[date]:
     """Replace the ``partition_col`` partitions that ``df`` contains; keep the rest.
 
+    ``complete`` lists the dates for which ``df`` is the whole truth: those that it has
+    no row for are emptied too. Returns the dates written. The columns must be the contract's, no more and no less.
     ``rebalance`` shuffles rows by the partition column before the write so
     each date gets few, large files; AQE splits a date that is too big for one
     task and merges small ones (the small-file merge of the original job).
     """
-    out = conform(df, [c for c in OUTPUT_COLS if c in df.columns] +
-                  [c for c in df.columns if c not in OUTPUT_COLS])
+    schema = output_schema(df.schema[STAMP_COL].dataType if STAMP_COL in df.columns else T.TimestampType())
+    out = conform(df, schema)
     if rebalance:
         out = out.hint("rebalance", partition_col)
+    out, seen = written_dates(out, partition_col)
     (out.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition_col)
         .format(fmt)
         .save(path))
+    dates = sorted(seen.get["dates"])
+    if complete:
+        spark = df.sparkSession
+        old = spark.read.schema(schema).format(fmt).load(path).where(F.col(partition_col).isin(complete)).select(partition_col).distinct()
+        # One write a date that has become empty: a bounded list, the window's days.
+        nothing = spark.createDataFrame([], T.StructType([f for f in schema.fields if f.name != partition_col]))
+        for day in sorted({r[0] for r in old.collect()} - set(dates)):
+            nothing.write.mode("overwrite").format(fmt).save(f"{path}/{partition_col}={day.isoformat()}")
+    return dates
 
 
 def export_orc(df: DataFrame, path: str) -> None:

@@ -7,12 +7,15 @@ location, which is checked to be a plain path first.
 from __future__ import annotations
 
 import re
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from visitmap.operators.project import conform
 from visitmap.schemas import PARTITION_COL, export_schema, output_schema
+from visitmap.sinks.files import written_dates
 
 _SAFE_LOCATION = re.compile(r"^[A-Za-z0-9_:/.\-=+@]+$")
 
@@ -43,14 +46,28 @@ def create_target_table(spark: SparkSession, table: str, location: str,
     )
 
 
-def insert_overwrite_by_name(spark: SparkSession, df: DataFrame, table: str, rebalance: bool = True) -> None:
-    """``INSERT OVERWRITE`` the dates in ``df``, matching columns by name."""
+def insert_overwrite_by_name(spark: SparkSession, df: DataFrame, table: str, rebalance: bool = True,
+                             complete: list[date] | None = None) -> list[date]:
+    """``INSERT OVERWRITE`` the dates in ``df``, matching columns by name.
+
+    ``complete`` lists the dates for which ``df`` is the whole truth: those that it
+    has no row for are emptied, by overwriting that one partition with nothing.
+    """
     target = spark.table(table).schema
     out = conform(df, target)
     if rebalance:
         out = out.hint("rebalance", PARTITION_COL)
+    out, seen = written_dates(out)
     spark.sql("INSERT OVERWRITE TABLE IDENTIFIER(:t) BY NAME SELECT * FROM {src}",
               args={"t": table}, src=out)
+    dates = sorted(seen.get["dates"])
+    if complete:
+        old = spark.table(table).where(F.col(PARTITION_COL).isin(complete)).select(PARTITION_COL).distinct()
+        nothing = spark.createDataFrame([], T.StructType([f for f in target.fields if f.name != PARTITION_COL]))
+        for day in sorted({r[0] for r in old.collect()} - set(dates)):
+            spark.sql(f"INSERT OVERWRITE TABLE IDENTIFIER(:t) PARTITION ({PARTITION_COL} = DATE '{day.isoformat()}') SELECT * FROM {{src}}",
+                      args={"t": table}, src=nothing)
+    return dates
 
 
 def create_export_table(spark: SparkSession, table: str, location: str,
