@@ -94,7 +94,7 @@ def word_vectors(spark: SparkSession, docs: DataFrame, text: str = "text") -> np
 
     # Two levels, so that no task reads the sums of all tasks.
     schema = "part int, sums binary"
-    part = docs.select(F.col(text).alias("text")).mapInArrow(count, schema).withColumn("group", F.spark_partition_id() % 64)
+    part = docs.select(F.col(text).alias("text")).mapInArrow(count, schema).withColumn("group", F.spark_partition_id() % 256)
     some = part.groupBy("part", "group").applyInPandas(add, schema)
     rows = some.groupBy("part").applyInPandas(add, schema).collect()
     total = np.zeros((SLICES, BUCKETS * DIM // SLICES))
