@@ -91,11 +91,11 @@ def measures(counts: str = "counts") -> dict[str, Column]:
 
 
 def learn_thresholds(spark: SparkSession, counted: DataFrame, lang: str = "lang", source: str = "source",
-                     width: float = 4.0, least_group: int = 50) -> DataFrame:
+                     width: float = 8.0, least_group: int = 50) -> DataFrame:
     """A row for each language and source: lowest and highest accepted value of each measure.
 
-    The band is ``width`` times the distance from the median to the 10th and 90th
-    percentiles, or the measure's least band if that is wider. Percentiles come
+    The band is ``width`` times the distance from the median to the two
+    quartiles, or the measure's least band if that is wider. Percentiles come
     from the group's sketch; with under ``least_group`` documents that pass the
     base rules, from the language's merged sketch, then from the whole corpus'.
     The table is written, so that every later reader sees the same thresholds.
@@ -114,7 +114,7 @@ def learn_thresholds(spark: SparkSession, counted: DataFrame, lang: str = "lang"
     out = [F.col("lang").alias("group_lang"), F.col("source").alias("group_source")]
     for k in MEASURES:
         sketch = F.when(F.col("n") >= least_group, F.col(k)).when(F.col("lang_n") >= least_group, F.col(f"lang_{k}")).otherwise(F.col(f"all_{k}"))
-        q = F.kll_sketch_get_quantile_double(sketch, F.array(F.lit(0.1), F.lit(0.5), F.lit(0.9)))
+        q = F.kll_sketch_get_quantile_double(sketch, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
         q = F.when(F.kll_sketch_get_n_double(sketch) > 0, q)
         low, mid, high = q[0], q[1], q[2]
         out += [(mid - F.greatest(width * (mid - low), F.lit(LEAST_BAND[k]))).alias(f"{k}_low"),
