@@ -90,6 +90,12 @@ def measures(counts: str = "counts") -> dict[str, Column]:
             "repeat_share": share("n_repeat_words", "n_words"), "chars_per_word": share("word_chars", "n_words")}
 
 
+def _quartiles(sketch: Column) -> Column:
+    """Lower quartile, median and upper quartile; null for an empty sketch."""
+    values = F.kll_sketch_get_quantile_double(sketch, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
+    return F.when(F.kll_sketch_get_n_double(sketch) > 0, values)
+
+
 def learn_thresholds(spark: SparkSession, counted: DataFrame, lang: str = "lang", source: str = "source",
                      width: float = 8.0, least_group: int = 50) -> DataFrame:
     """A row for each language and source: lowest and highest accepted value of each measure.
@@ -107,15 +113,14 @@ def learn_thresholds(spark: SparkSession, counted: DataFrame, lang: str = "lang"
     path = scratch_path(spark, "quality-sketches")
     groups.write.parquet(path)
     groups = spark.read.parquet(path)
-    merged = lambda name: [F.sum("n").alias(f"{name}_n"), *(F.kll_merge_agg_double(F.col(k)).alias(f"{name}_{k}") for k in MEASURES)]
-    langs = groups.groupBy(F.col("lang").alias("of_lang")).agg(*merged("lang"))
-    whole = groups.agg(*merged("all"))
-    rows = groups.join(langs, F.col("lang").eqNullSafe(F.col("of_lang"))).join(F.broadcast(whole), F.lit(True))  # one row
+    langs = groups.groupBy(F.col("lang").alias("of_lang")).agg(F.sum("n").alias("lang_n"), *(F.kll_merge_agg_double(F.col(k)).alias(f"lang_{k}") for k in MEASURES))
+    # The corpus' own quartiles are a few numbers.
+    whole = groups.agg(*(_quartiles(F.kll_merge_agg_double(F.col(k))).alias(k) for k in MEASURES)).first()
+    rows = groups.join(langs, F.col("lang").eqNullSafe(F.col("of_lang")))
     out = [F.col("lang").alias("group_lang"), F.col("source").alias("group_source")]
     for k in MEASURES:
-        sketch = F.when(F.col("n") >= least_group, F.col(k)).when(F.col("lang_n") >= least_group, F.col(f"lang_{k}")).otherwise(F.col(f"all_{k}"))
-        q = F.kll_sketch_get_quantile_double(sketch, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-        q = F.when(F.kll_sketch_get_n_double(sketch) > 0, q)
+        corpus = F.array(*map(F.lit, whole[k])) if whole[k] else F.lit(None).cast("array<double>")
+        q = F.when(F.col("n") >= least_group, _quartiles(F.col(k))).when(F.col("lang_n") >= least_group, _quartiles(F.col(f"lang_{k}"))).otherwise(corpus)
         low, mid, high = q[0], q[1], q[2]
         out += [(mid - F.greatest(width * (mid - low), F.lit(LEAST_BAND[k]))).alias(f"{k}_low"),
                 (mid + F.greatest(width * (high - mid), F.lit(LEAST_BAND[k]))).alias(f"{k}_high")]
