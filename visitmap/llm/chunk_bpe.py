@@ -13,6 +13,8 @@ and is encoded again, in the end with both chunks whole.
 
 from __future__ import annotations
 
+import struct
+
 import numpy as np
 import pyarrow as pa
 import zstandard
@@ -26,7 +28,7 @@ from visitmap.session import scratch_path
 SPAN = 24
 CHUNK_BYTES = 1024
 MOST_BYTES = 1 << 16
-CACHED = 60_000
+CACHED = 100_000
 NO_KEY = -(1 << 63)
 
 
@@ -57,6 +59,10 @@ def cut_chunks(body: np.ndarray, offs: np.ndarray, average: int = CHUNK_BYTES, m
     return ends, mix((total[ends] - total[starts]) * q[starts] + (ends - starts).astype(np.uint64) * _MULT)
 
 
+def little_endian(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class Encoder:
     """Tokens of byte strings without white space inside (cached) and of short stretches."""
 
@@ -70,18 +76,22 @@ class Encoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.tokens: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}  # of the words before those; the ones still in use move up
         table = [self.tokenizer.id_to_token(i) for i in range(self.tokenizer.get_vocab_size(with_added_tokens=True))]
         self.table = [(x or "").encode() for x in table]
 
     def learn(self, texts) -> None:
-        """Encode those of ``texts`` that aren't known yet."""
-        new = list({x for x in texts if x not in self.tokens})
+        """Have the tokens of all ``texts`` in ``tokens``; words long unused are forgotten."""
         if len(self.tokens) > CACHED:
-            self.tokens.clear()
-            new = list(set(texts))
+            self.tokens, self.older = {}, self.tokens
+        new = set(texts).difference(self.tokens)
+        again = [x for x in new if x in self.older]
+        for x in again:
+            self.tokens[x] = self.older[x]
+        new = list(new.difference(again))
         if new:
             for text, e in zip(new, self.tokenizer.encode_batch_fast([x.decode("utf-8", "replace") for x in new], add_special_tokens=False)):
-                self.tokens[text] = np.array(e.ids, dtype="<u4").tobytes()
+                self.tokens[text] = little_endian(e.ids)
 
     def words(self, text: bytes) -> bytes:
         words = text.split()
@@ -94,7 +104,7 @@ class Encoder:
         while True:
             a, b = left[-size:], right[:size]
             stretch = b" ".join([*a, *([middle] if middle else []), *b])
-            whole = np.array(self.tokenizer.encode(stretch.decode("utf-8", "replace"), add_special_tokens=False).ids, dtype="<u4").tobytes()
+            whole = little_endian(self.tokenizer.encode(stretch.decode("utf-8", "replace"), add_special_tokens=False).ids)
             before, after = self.words(b" ".join(a)), self.words(b" ".join(b))
             inner = whole[len(before): len(whole) - len(after)]
             if whole.startswith(before) and whole.endswith(after) and len(before) + len(after) <= len(whole):
