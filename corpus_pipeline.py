@@ -7,10 +7,12 @@ return the columns they were given.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from visitmap.llm import chunk_bpe, jaccard_join, mixing, pii_crf, quality_rules
+from visitmap.llm import chunk_bpe, jaccard_join, mixing, pii_crf, quality_rules, scratch
 from visitmap.llm.queries import word_bpe
 from visitmap.session import scratch_path
 
@@ -43,12 +45,36 @@ def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return out.withColumn("n_tokens", F.expr("octet_length(ids) div 4"))
 
 
+_left: list[str] = []  # what earlier stages wrote for themselves
+
+
+def after_the_one_before(stage):
+    """The stage, once the tables that the stages before it wrote for themselves are removed.
+
+    A stage gets the written result of the one before, so those have been read for the
+    last time; tables that ``docs`` itself still reads are left, and so are all that
+    other callers of the operators wrote.
+    """
+    @functools.wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        scratch.drop_unread(spark, _left, docs)
+        before = set(scratch.tables())
+        out = stage(spark, docs, sf_dir)
+        _left[:] = [p for p in scratch.tables() if p in _left or p not in before]
+        return out
+
+    return run_stage
+
+
 STAGES = [
-    ("quality_rules", quality_stage),
-    ("near_duplicates", near_duplicate_stage),
-    ("personal_data", personal_data_stage),
-    ("source_mixing", mixing_stage),
-    ("bpe", bpe_stage),
+    (name, after_the_one_before(stage))
+    for name, stage in (
+        ("quality_rules", quality_stage),
+        ("near_duplicates", near_duplicate_stage),
+        ("personal_data", personal_data_stage),
+        ("source_mixing", mixing_stage),
+        ("bpe", bpe_stage),
+    )
 ]
 
 #: Sketch thresholds, a trained field and BPE aren't SQL; the tests hold each stage against brute force.

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from visitmap.llm.textnum import pack_ints, slices, string_column, unpack_ints, word_bounds
-from visitmap.session import scratch_path
+from visitmap.llm.scratch import scratch_path
 
 BLOCK_BYTES = 4 << 20
 SCHEMA = "block long, size long, n_docs long, ids binary, known binary, offs binary, body binary"

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from visitmap.llm.textnum import _MULT, _U, BYTE_VALUES, IS_SPACE, mix, powers, slices, string_column
-from visitmap.session import scratch_path
+from visitmap.llm.scratch import scratch_path
 
 SPAN = 24
 CHUNK_BYTES = 1024

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from visitmap.session import scratch_path
+from visitmap.llm.scratch import scratch_path
 
 
 def _written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:

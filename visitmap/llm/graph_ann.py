@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from visitmap.llm.repeats import rows_of
-from visitmap.session import scratch_path
+from visitmap.llm.scratch import scratch_path
 
 INDEX = "dim int, shard long, vectors binary, ids binary, edges binary, start int"
 FOUND = "query_id long, vec_id long, score double"

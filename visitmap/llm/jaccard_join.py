@@ -31,7 +31,7 @@ from visitmap.llm.blocks import COLUMNS, bucket_count, unpack_block, with_messag
 from visitmap.llm.components import components
 from visitmap.llm.repeats import _arrow, batch, bucket_slices, rows_of
 from visitmap.llm.textnum import _MULT, _U, mix, pack_ints, ranges, unpack_ints, word_bounds, word_hashes
-from visitmap.session import scratch_path
+from visitmap.llm.scratch import drop_table, scratch_path
 
 NODES = "node long, key long, n long, s1 long, s2 long"
 COUNTS = "bucket long, block long, keys binary, docs binary"
@@ -189,7 +189,7 @@ class JaccardJoin:
         if not 60 <= percent <= 100:  # below, one-token sets could link to larger ones
             raise ValueError("percent is from 60 to 100")
         self.spark, self.percent = spark, percent
-        blocks = write_blocks(spark, docs, "jaccard-blocks", key, text, words=True, block_bytes=block_bytes)
+        blocks = written = write_blocks(spark, docs, "jaccard-blocks", key, text, words=True, block_bytes=block_bytes)
         bits = bucket_count(blocks, bucket_bytes).bit_length() - 1
         blocks = blocks.select(*COLUMNS)
         short = _U(64 - TOKEN_BITS)
@@ -239,6 +239,7 @@ class JaccardJoin:
 
         flags = blocks.mapInArrow(count_sample, COUNTS).groupBy("bucket").applyInPandas(classify_tokens(rare), CLASSES)
         sets = self._written(with_messages(blocks, flags, ["bucket", "classes"]).join(chosen, "block", "left").mapInArrow(keep_sets, SETS), "jaccard-sets", SETS)
+        drop_table(spark, written)
         bits = bucket_count(sets, bucket_bytes).bit_length() - 1
 
         def count_all(batches):
@@ -261,6 +262,7 @@ class JaccardJoin:
         slim = sets.select("block", "nodes", "offs", "tokens")
         counted = slim.mapInArrow(count_all, COUNTS).groupBy("bucket").applyInPandas(classify_tokens(rare), CLASSES)
         self.live = self._written(with_messages(slim, counted, ["bucket", "classes"]).mapInArrow(index, LIVE), "jaccard-index", LIVE)
+        drop_table(spark, sets)
         self.links = self._link()
 
     def _written(self, df: DataFrame, name: str, schema: str | None = None) -> DataFrame:

@@ -15,7 +15,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from visitmap.session import scratch_path
+from visitmap.llm.scratch import scratch_path
+
 
 # The words' separators, and the sources' weights in code point order.
 SPACES = " \t\n\x0b\f\r"

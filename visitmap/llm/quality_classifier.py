@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from visitmap.llm.sampling import smallest_hashes
 from visitmap.llm.textnum import _U, IS_SPACE, mix, slices, string_column, word_bounds, word_hashes
-from visitmap.session import scratch_path
+from visitmap.llm.scratch import scratch_path
 
 BUCKETS, SHAPES, DIM, NONZERO = 1 << 14, 1 << 10, 32, 4
 SLICES = 32

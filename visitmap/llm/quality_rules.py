@@ -13,7 +13,8 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from visitmap.session import scratch_path
+from visitmap.llm.scratch import scratch_path
+
 
 # The words' separators, and the characters that count as symbols.
 SPACES = " \t\n\x0b\f\r"

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from visitmap.llm.blocks import COLUMNS, bucket_count, unpack_block, with_messages
 from visitmap.llm.textnum import _U, anchor_runs, pack_ints, ranges, unpack_ints, window_hashes, BYTE_VALUES
-from visitmap.session import scratch_path
+from visitmap.llm.scratch import scratch_path
 
 LAST = np.iinfo(np.int64).max
 
