@@ -35,6 +35,19 @@ def test_thresholds_follow_the_group(spark):
     assert kept == {r[0] for r in plain + signs}
 
 
+def test_bounds_come_from_the_groups_own_spread(spark):
+    words = lambda i, m: [f"{chr(97 + i % 26)}{k:03d}" + "x" * ((i + k) % m) for k in range(200)]
+    rows = [(i, " ".join(words(i, 3)), "en", "s", 1, 2) for i in range(300)]
+    again = words(7, 3)
+    rows += [(1000, " ".join(again[:150] + again[:25]), "en", "s", 1, 2),  # a quarter of its words repeat, here none do
+             (1001, " ".join(w + "x" for w in words(8, 3)), "en", "s", 1, 2),  # a sign longer than the others, which vary by less
+             (1002, "\n".join([" ".join(words(9, 3)[:30]), "a", "a"]), "en", "s", 1, 2),  # a third of its lines
+             (1003, " ".join(words(10, 3)[:100]) + " & " + " ".join(words(10, 3)[100:]), "en", "s", 1, 2)]  # one symbol among 200 words
+    found = {r.doc_id: r for r in judge_documents(spark, spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert not any(r.base_failed for r in found.values())
+    assert {k for k, r in found.items() if not r.kept} == {1000, 1001, 1002}
+
+
 def test_empty_table(spark):
     assert judge_documents(spark, spark.createDataFrame([], SCHEMA)).count() == 0
 

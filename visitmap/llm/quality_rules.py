@@ -24,9 +24,12 @@ WINDOW = 8
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
 
-#: Each measure: its value, and the least width of the band around the median.
 MEASURES = ("symbols_per_word", "dup_line_share", "repeat_share", "chars_per_word")
-LEAST_BAND = {"symbols_per_word": 0.1, "dup_line_share": 0.5, "repeat_share": 0.3, "chars_per_word": 1.5}
+#: Repeats that a few ordinary documents have too: their bound is an upper quantile, and this much of its distance from the median more.
+TAILS = ("dup_line_share", "repeat_share")
+TAIL, TAIL_MARGIN = 0.99, 0.25
+#: Against bands without any width, for all measures.
+LEAST_BAND = 0.02
 SKETCH_K = 1024
 
 
@@ -91,9 +94,9 @@ def measures(counts: str = "counts") -> dict[str, Column]:
             "repeat_share": share("n_repeat_words", "n_words"), "chars_per_word": share("word_chars", "n_words")}
 
 
-def _quartiles(sketch: Column) -> Column:
-    """Lower quartile, median and upper quartile; null for an empty sketch."""
-    values = F.kll_sketch_get_quantile_double(sketch, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
+def _quantiles(sketch: Column) -> Column:
+    """Lower quartile, median, upper quartile and the upper tail's begin; null for an empty sketch."""
+    values = F.kll_sketch_get_quantile_double(sketch, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75), F.lit(TAIL)))
     return F.when(F.kll_sketch_get_n_double(sketch) > 0, values)
 
 
@@ -102,9 +105,10 @@ def learn_thresholds(spark: SparkSession, counted: DataFrame, lang: str = "lang"
     """A row for each language and source: lowest and highest accepted value of each measure.
 
     The band is ``width`` times the distance from the median to the two
-    quartiles, or the measure's least band if that is wider. Percentiles come
-    from the group's sketch; with under ``least_group`` documents that pass the
-    base rules, from the language's merged sketch, then from the whole corpus'.
+    quartiles; above, for ``TAILS``, the distance to the tail's begin and
+    ``TAIL_MARGIN`` of it more. ``LEAST_BAND`` only keeps it from having no width.
+    Percentiles come from the group's sketch; with under ``least_group`` documents that
+    pass the base rules, from the language's merged sketch, then from the whole corpus'.
     The table is written, so that every later reader sees the same thresholds.
     """
     values = measures()
@@ -115,16 +119,17 @@ def learn_thresholds(spark: SparkSession, counted: DataFrame, lang: str = "lang"
     groups.write.parquet(path)
     groups = spark.read.parquet(path)
     langs = groups.groupBy(F.col("lang").alias("of_lang")).agg(F.sum("n").alias("lang_n"), *(F.kll_merge_agg_double(F.col(k)).alias(f"lang_{k}") for k in MEASURES))
-    # The corpus' own quartiles are a few numbers.
-    whole = groups.agg(*(_quartiles(F.kll_merge_agg_double(F.col(k))).alias(k) for k in MEASURES)).first()
+    # The corpus' own quantiles are a few numbers.
+    whole = groups.agg(*(_quantiles(F.kll_merge_agg_double(F.col(k))).alias(k) for k in MEASURES)).first()
     rows = groups.join(langs, F.col("lang").eqNullSafe(F.col("of_lang")))
     out = [F.col("lang").alias("group_lang"), F.col("source").alias("group_source")]
     for k in MEASURES:
         corpus = F.array(*map(F.lit, whole[k])) if whole[k] else F.lit(None).cast("array<double>")
-        q = F.when(F.col("n") >= least_group, _quartiles(F.col(k))).when(F.col("lang_n") >= least_group, _quartiles(F.col(f"lang_{k}"))).otherwise(corpus)
-        low, mid, high = q[0], q[1], q[2]
-        out += [(mid - F.greatest(width * (mid - low), F.lit(LEAST_BAND[k]))).alias(f"{k}_low"),
-                (mid + F.greatest(width * (high - mid), F.lit(LEAST_BAND[k]))).alias(f"{k}_high")]
+        q = F.when(F.col("n") >= least_group, _quantiles(F.col(k))).when(F.col("lang_n") >= least_group, _quantiles(F.col(f"lang_{k}"))).otherwise(corpus)
+        low, mid, high, tail = q[0], q[1], q[2], q[3]
+        above = (1 + TAIL_MARGIN) * (tail - mid) if k in TAILS else width * (high - mid)
+        out += [(mid - F.greatest(width * (mid - low), F.lit(LEAST_BAND))).alias(f"{k}_low"),
+                (mid + F.greatest(above, F.lit(LEAST_BAND))).alias(f"{k}_high")]
     path = scratch_path(spark, "quality-thresholds")
     rows.select(*out).write.parquet(path)
     return spark.read.parquet(path)
