@@ -3,8 +3,10 @@ import random
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from visitmap.llm import scratch
 from visitmap.llm.chunk_bpe import cut_chunks, decode_corpus, encode_corpus
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -40,5 +42,18 @@ def test_shared_text_falls_into_the_same_chunks():
     assert np.isin(hashes[ends > len(a)], first).mean() > 0.8
 
 
+def test_null_and_repeated_keys_gather_one_documents_chunks(spark):
+    shared = " ".join(f"shared{i % 13} passage" for i in range(200))
+    rows = [(None if i % 2 else 7, f"own {i // 3} " + shared + f" end{i // 3}") for i in range(120)]
+    before = set(scratch.tables())
+    got = encode_corpus(spark, spark.createDataFrame(rows, "doc_id long, text string"), PATH, average=40, carry=["text"]).collect()
+    library = Tokenizer.from_file(PATH)
+    assert sorted(r.text for r in got) == sorted(t for _, t in rows)
+    assert all(np.frombuffer(bytes(r.ids), "<u4").tolist() == library.encode(r.text, add_special_tokens=False).ids for r in got)
+    path = next(p for p in scratch.tables() if p not in before and "bpe-chunks" in p)
+    by = spark.read.parquet(path).groupBy("k").agg(F.size(F.array_distinct(F.flatten(F.collect_list("h")))).alias("gathered"), F.max(F.size(F.array_distinct("h"))).alias("own"))
+    assert by.where("gathered > own").isEmpty() and by.count() == len(set(rows))
+
+
 def test_empty_table(spark):
     assert encode_corpus(spark, spark.createDataFrame([], "doc_id long, text string"), PATH).count() == 0

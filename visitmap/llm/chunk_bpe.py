@@ -2,8 +2,8 @@
 
 A rolling hash cuts every text where its content says so, so a passage that
 documents share falls into the same chunks in all of them. Chunks found in
-two or more places are encoded once, by the document with the smallest id that
-has them, and their tokens are sent to the others. A chunk may begin and end inside a
+two or more places are encoded once, by one document that has them (the one whose
+id and text hash smallest), and their tokens are sent to the others. A chunk may begin and end inside a
 word, so only its inner part (from its first white space to its last) is
 encoded with it. At every join the words across it are encoded again, with a
 word of each side: the join agrees when the result begins and ends with the
@@ -29,7 +29,6 @@ SPAN = 24
 CHUNK_BYTES = 1024
 MOST_BYTES = 1 << 16
 CACHED = 100_000
-NO_KEY = -(1 << 63)
 
 
 def cut_chunks(body: np.ndarray, offs: np.ndarray, average: int = CHUNK_BYTES, most: int = MOST_BYTES) -> tuple[np.ndarray, np.ndarray]:
@@ -172,10 +171,14 @@ def encode_corpus(spark: SparkSession, docs: DataFrame, tokenizer: str, key: str
     on the whole text, without special tokens added, truncation or padding. Null
     text: empty, no ids. Null or repeated keys and repeated rows: each row is
     encoded. Empty table: no rows. Long texts are cut into many chunks.
+
+    Rows go by a hash of key and text: only rows alike in both share it, and one of
+    them stands for their chunks, so nothing gathered for a row is larger than its
+    own text. Two other rows that share it by chance encode their chunks themselves.
     """
     vocabulary = spark.sparkContext.broadcast(open(tokenizer, encoding="utf-8").read())
-    rows = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(NO_KEY)).alias("k"), F.struct(*[F.col(f"`{c}`") for c in dict.fromkeys([key, *carry])]).alias("row"),
-                       F.encode(F.coalesce(F.col(text), F.lit("")), "utf-8").alias("z"))
+    z = F.encode(F.coalesce(F.col(text), F.lit("")), "utf-8")
+    rows = docs.select(F.xxhash64(F.col(key), z).alias("k"), F.struct(*[F.col(f"`{c}`") for c in dict.fromkeys([key, *carry])]).alias("row"), z.alias("z"))
     chunk_schema = "k long, h array<long>"
 
     def list_chunks(batches):
@@ -189,8 +192,10 @@ def encode_corpus(spark: SparkSession, docs: DataFrame, tokenizer: str, key: str
 
     path = scratch_path(spark, "bpe-chunks")
     rows.select("k", "z").mapInArrow(list_chunks, chunk_schema).write.parquet(path)
-    chunks = spark.read.schema(chunk_schema).parquet(path).select("k", F.explode(F.array_distinct("h")).alias("h"))
-    shared = chunks.groupBy("h").agg(F.count("*").alias("n"), F.min("k").alias("k")).where("n > 1")
+    listed = spark.read.schema(chunk_schema).parquet(path).where("size(h) > 0")
+    listed = listed.groupBy("k").agg(F.count("*").alias("alike"), F.first("h").alias("h"))
+    chunks = listed.select("k", "alike", F.explode(F.array_distinct("h")).alias("h"))
+    shared = chunks.groupBy("h").agg(F.sum("alike").alias("n"), F.min("k").alias("k")).where("n > 1")
     asked = shared.groupBy("k").agg(F.collect_list("h").alias("asked"))
 
     def squash(batches):
@@ -217,12 +222,15 @@ def encode_corpus(spark: SparkSession, docs: DataFrame, tokenizer: str, key: str
                 texts, size, first = [], 0, i + 1
 
     def encode_shared(batches):
-        enc = encoder(vocabulary.value)
+        enc, last = encoder(vocabulary.value), None
         for batch in batches:
-            wanted = batch.column(batch.schema.names.index("asked"))
+            wanted, keys = batch.column(batch.schema.names.index("asked")), batch.column(batch.schema.names.index("k"))
             for i, texts, at, layout in documents(batch):
                 found = {}
                 for d, text in enumerate(texts):
+                    if keys[i + d] == last:  # the join has rows alike next to each other
+                        continue
+                    last = keys[i + d]
                     ask = set(wanted[i + d].as_py())
                     for c in range(layout.first[d], layout.first[d + 1]):
                         h = int(layout.hash[c].view(np.int64))
