@@ -175,7 +175,11 @@ def unpack_set(data: bytes) -> np.ndarray:
 
 
 class JaccardJoin:
-    """The join's tables: ``documents`` (a row each: node, key, n) and ``links`` (pairs of nodes), ``members``.
+    """The join's tables: ``rows`` (one a document: node, key, n) and ``links`` (pairs of nodes), ``members``.
+
+    ``links`` are connecting pairs, each verified: enough of the linked pairs to give
+    every component, without those inside a component that others already connect.
+    They give no count of all linked pairs.
 
     Texts are lower-cased (A-Z), words are ``[^\\x20\\x09-\\x0D]+``, shingles ``size``
     consecutive words; a text with fewer words has its whole sequence as the one
