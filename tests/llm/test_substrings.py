@@ -41,3 +41,17 @@ def test_empty_table(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert dedup_by_parsing(spark, empty).count() == 0
     assert dedup_by_merged_transforms(spark, empty).count() == 0
+
+
+def test_windows_longer_than_an_anchors_mask(spark):
+    words = lambda name, n: " ".join(f"{name}{k}" for k in range(n))
+    rows = []
+    for i in range(12):  # copies with other ends; the first words and the last ones decide which windows repeat
+        shared = words(f"p{i}x", 450).split()
+        rows += [(4 * i + j, " ".join([words(f"own{i}y{j}z", 30), *shared[7 * j: 450 - 11 * j], words(f"end{i}y{j}z", 30)])) for j in range(4)]
+    docs = spark.createDataFrame([(*r, 1, "x") for r in rows], SCHEMA)
+    for length in (100, 400):
+        got = dedup_by_parsing(spark, docs, length=length, gram=8).collect()
+        assert sorted([(r.doc_id, r.n_words, r.n_removed, r.kept_text) for r in got], key=str) == sorted(brute.repeated_words(rows, length), key=str)
+    got = dedup_by_merged_transforms(spark, docs, length=400, gram=20).collect()
+    assert sorted([(r.doc_id, r.n_bytes, r.n_removed, len(r.spans), bytes(r.kept)) for r in got], key=str) == sorted(brute.repeated_bytes(rows, 400), key=str)

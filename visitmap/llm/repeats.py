@@ -41,7 +41,10 @@ LAST = np.iinfo(np.int64).max
 class Plan:
     """``symbols`` gives a block's symbols and document offsets; ``earlier`` says which
     windows go: those that a smaller document also has, or (False) all that repeat;
-    ``compare`` finds, in one bucket, the windows of its contexts that go."""
+    ``compare`` finds, in one bucket, the windows of its contexts that go.
+
+    An anchor's windows, ``length - gram + 1`` at most, have to fit a 64-bit mask:
+    for longer windows the anchors get longer."""
 
     length: int
     gram: int
@@ -50,6 +53,9 @@ class Plan:
     compare: Callable
     hot_contexts: int = 1024
 
+    def __post_init__(self):
+        object.__setattr__(self, "gram", max(self.gram, self.length - 63))
+
 
 #: Contexts are compared by their anchor's hash and so many bytes of their own.
 CONTEXT_BYTES = 6
