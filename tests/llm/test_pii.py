@@ -31,6 +31,19 @@ def test_field_adds_what_patterns_miss(weights):
         assert find(clean) == []
 
 
+def test_spelled_addresses_are_seen_in_any_case_and_whole(weights):
+    find = lambda t: [(k, s, e) for k, s, e in P.added_spans(t, weights, P.base_spans(t), 2.0)]
+    for lower in ("write to john at example dot com today", "write to john.smith at example dot com"):
+        assert P.regions(lower.upper()) == P.regions(lower) == [(0, len(lower))]
+        assert find(lower.upper()) == find(lower)
+    name, host = "n" * 60, "h" * 60
+    text = f"one {name} at {host} two " + "w " * 200 + f"1{'x' * 300}2 end"
+    assert [text[a:b] for a, b in P.regions(text)][0].startswith(name) and f" {host} " in [text[a:b] + " " for a, b in P.regions(text)][0]
+    for a, b in P.regions(text):
+        assert (a == 0 or text[a - 1].isspace()) and (b == len(text) or text[b].isspace())
+    assert P.regions("x" * 5000 + "1" + "x" * 5000 + "2") == [(0, 10_002)]
+
+
 def test_gradient_and_best_labelling():
     regions = [r for t, s in P.made_up(15) for r in P.labelled_regions(t, s)][:6]
     rng = np.random.default_rng(3)

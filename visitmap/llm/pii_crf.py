@@ -93,7 +93,8 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 # ---- tokens, regions, candidates ----------------------------------------------
 
 _TOKEN = re.compile(r"[0-9]{1,32}|[^\W\d_]{1,64}|\s+|.", re.S)
-_TRIGGER = re.compile(r"[0-9@]|\bat\b")
+_TRIGGER = re.compile(r"[0-9@]|\b[aA][tT]\b")
+_SPACE = re.compile(r"\s")
 # Token classes: letters, digits, space, then single signs, then the rest.
 SIGNS = ".@+-()_%"
 LETTER, DIGIT, SPACE, REST = 0, 1, 2, 3 + len(SIGNS)
@@ -104,13 +105,25 @@ def regions(text: str) -> list[tuple[int, int]]:
     """Parts of the text near a trigger, widened to white space."""
     out: list[list[int]] = []
     at = 0
+
+    def close() -> int:
+        """The last region's end, at white space or the text's end."""
+        if out and out[-1][1] < len(text) and not text[out[-1][1]].isspace():
+            m = _SPACE.search(text, out[-1][1])
+            out[-1][1] = m.start() if m else len(text)
+        return out[-1][1] if out else 0
+
     while m := _TRIGGER.search(text, at):
         lo, hi = max(0, m.start() - REGION_CHARS), min(len(text), m.end() + REGION_CHARS)
-        if out and lo <= out[-1][1]:
+        if out and (lo <= out[-1][1] or lo <= close()):
             out[-1][1] = max(out[-1][1], hi)
         else:
+            least = close()
+            while lo > least and not text[lo - 1].isspace():
+                lo -= 1
             out.append([lo, hi])
         at = m.end()
+    close()
     return [(a, b) for a, b in out]
 
 
