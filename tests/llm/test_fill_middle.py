@@ -1,0 +1,62 @@
+import hashlib
+import random
+import re
+
+import numpy as np
+import pytest
+
+from visitmap.llm import fill_middle
+from visitmap.llm.fill_middle import char_counts, cut_points, fill_in_middle, gather, moved, restore, scatter
+
+
+def brute(key, text, rate=100, spm=50, seed=7):
+    text = text or ""
+    units = re.findall(r"[^\n]*\n|[^\n]+", text)
+    digest = hashlib.sha256(f"{seed}:{'' if key is None else key}".encode()).hexdigest()
+    h = [int(digest[8 * i: 8 * i + 8], 16) for i in range(4)]
+    if not text or any(m in text for m in ("<P>", "<S>", "<M>")) or h[2] % 100 >= rate:
+        return len(units), "plain", None, None, text
+    a, b = sorted((h[0] % (len(units) + 1), h[1] % (len(units) + 1)))
+    pre, mid, suf = "".join(units[:a]), "".join(units[a:b]), "".join(units[b:])
+    if h[3] % 100 < spm:
+        return len(units), "spm", len(pre), len(mid), f"<S>{suf}<P>{pre}<M>{mid}"
+    return len(units), "psm", len(pre), len(mid), f"<P>{pre}<S>{suf}<M>{mid}"
+
+
+def texts(count=400):
+    rng = random.Random(5)
+    bits = ["a", "é\n", "<", "P>", "\n", "𝒳y", "S>", "<M", "\n\n", "word "]
+    return [(i, "".join(rng.choice(bits) for _ in range(rng.randint(0, 30)))) for i in range(count)]
+
+
+@pytest.mark.parametrize("rate, spm", [(100, 50), (60, 0), (0, 50)])
+def test_against_the_definition_and_back(spark, rate, spm):
+    rows = texts() + [(None, "x\ny"), (None, "x\ny"), (-3, None), (7, ""), (7, "one"), (1000, "w\n" * 200_000), (1001, "<" * 50_000)]
+    docs = spark.createDataFrame([(k, t, "f", 1) for k, t in rows], "doc_id long, text string, form string, row int")
+    out = fill_in_middle(docs, rate=rate, spm=spm, carry=["doc_id", "text", "form", "row"])
+    got = restore(out).collect()
+    mine = [(r.doc_id, r.n, r.form, r.prefix_chars, r.middle_chars, r.output) for r in got]
+    assert sorted(map(repr, mine)) == sorted(repr((k, *brute(k, t, rate, spm))) for k, t in rows)
+    assert all(r.restored == (r.text or "") and r.row == 1 for r in got)
+    assert fill_in_middle(docs.limit(0)).count() == 0
+
+
+def test_pieces_agree_with_the_whole(monkeypatch):
+    rows = texts(200)
+    body = np.frombuffer("".join(t for _, t in rows).encode(), np.uint8)
+    offs = np.concatenate(([0], np.cumsum([len(t.encode()) for _, t in rows])))
+    draw = np.random.default_rng(1).integers(0, 1 << 32, (len(rows), 4))
+    form, _, cuts = cut_points(body, offs, draw, 100, 50)
+    whole, where = scatter(body, form, cuts)
+    monkeypatch.setattr(fill_middle, "moved", lambda places, shifts, size: moved(places, shifts, size, piece=7))
+    small, again = scatter(body, form, cuts)
+    assert bytes(whole) == bytes(small) and (where == again).all()
+    back, offsets = gather(small, again, form)
+    assert bytes(back) == bytes(body) and (offsets == offs).all()
+    assert (char_counts(body, cuts.ravel(), 5) == char_counts(body, cuts.ravel())).all()
+    assert char_counts(body, offs)[-1] == sum(len(t) for _, t in rows)
+
+
+def test_restore_needs_output_and_form_alone(spark):
+    rows = spark.createDataFrame([("<S>b<P>a<M>", "spm"), ("<P>a<<S>b<M>c>", "psm"), ("plain", "plain"), (None, None)], "output string, form string")
+    assert sorted(r.restored for r in restore(rows).collect()) == ["", "a<c>b", "ab", "plain"]
