@@ -1,0 +1,99 @@
+import math
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from visitmap.llm.hard_negatives import HardNegatives, spanning_tree, window
+
+SCHEMA = "vec_id long, label int, embedding array<double>, rank string, score int"
+
+
+def brute(rows, scale=256, n_positives=5, n_negatives=10):
+    """(anchor, positive, rank, negative, positive score, negative score) by Python integers."""
+    known = {}
+    for key, label, v in rows:
+        if key is None or label is None or not v or any(x is None or not math.isfinite(x) for x in v):
+            continue
+        q = tuple(math.floor(scale * x) for x in v)
+        if sum(x * x for x in q) < 2 ** 62:
+            known[key] = min(known.get(key, (label, q)), (label, q))
+    out = []
+    for a, (label, q) in known.items():
+        if a % 100:
+            continue
+        scored = sorted((-sum(x * y for x, y in zip(q, r)), k, other) for k, (other, r) in known.items() if k != a and len(r) == len(q))
+        for ps, p, _ in [x for x in scored if x[2] == label][:n_positives]:
+            fit = [x for x in scored if x[2] != label and 30 * -ps <= 100 * -x[0] <= 90 * -ps][:n_negatives]
+            out += [(a, p, i + 1, k, -ps, -ns) for i, (ns, k, _) in enumerate(fit)]
+    return sorted(out)
+
+
+def mined(spark, rows, **options):
+    df = spark.createDataFrame([(*r, "x", 1) for r in rows], SCHEMA)
+    return HardNegatives(spark, df, **options)
+
+
+def listed(found):
+    return sorted((r.anchor_id, r.positive_id, r.rank, r.negative_id, r.positive_score, r.negative_score) for r in found.negatives().collect())
+
+
+def vectors(n=900, dim=8, seed=1, spread=1.0):
+    rng = np.random.default_rng(seed)
+    centres = rng.normal(size=(6, dim))
+    return [(int(i), int(rng.integers(0, 4)), (centres[i % 6] + spread * rng.normal(size=dim)).tolist()) for i in rng.permutation(n)]
+
+
+def test_against_brute_force_with_odd_rows_and_a_hot_vector(spark):
+    rows = vectors()
+    same = rows[0][2]
+    rows += [(2000 + i, i % 3, same) for i in range(700)]          # copies of one vector: ties
+    rows += [(100, 1, rows[5][2]), (100, 0, rows[6][2]), (100, 0, rows[6][2])]  # one key, several contents
+    rows += [(None, 1, same), (5000, None, same), (5001, 1, None), (5002, 1, [1.0, None] + same[2:]), (5003, 1, [math.nan] + same[1:]),
+             (5004, 1, [math.inf] + same[1:]), (5005, 1, []), (5006, 1, [1e300] * 8), (5100, 2, [3e6] * 8), (5101, 2, [2e6] * 8), (5102, 1, [1e6] * 8),
+             (5200, 1, [1.0, 2.0]), (5201, 1, [2.0, 2.0]), (5202, 2, [1.0, 1.0]), (5300, 1, [0.0] * 8), (-700, 3, same)]
+    for options in ({"block": 4, "chunk": 64}, {}):
+        assert listed(mined(spark, rows, **options)) == brute(rows)
+
+
+def test_positives_and_few_rows(spark):
+    rows = [(0, 1, [1.0, 0.0]), (1, 1, [1.0, 1.0]), (2, 1, [1.0, 1.0]), (3, 2, [0.5, 0.0]), (100, 9, [1.0, 1.0])]
+    found = mined(spark, rows)
+    got = sorted((r.anchor_id, r["rank"], r.vec_id, r.score) for r in found.positives().collect())
+    assert got == [(0, 1, 1, 65536), (0, 2, 2, 65536)]
+    assert listed(found) == brute(rows)
+    assert mined(spark, []).negatives().count() == 0
+    assert mined(spark, [(7, 1, [1.0])]).negatives().count() == 0
+
+
+def test_tree_is_a_minimum_spanning_tree():
+    x = np.random.default_rng(3).integers(-50, 50, (40, 3))
+    order, parent, edge = spanning_tree(x)
+    assert sorted(order) == list(range(40)) and parent[0] == -1 and all(parent[1:] < np.arange(1, 40))
+    d = np.linalg.norm(x[:, None] - x[None], axis=2)
+    assert np.allclose(edge[1:], [d[order[k], order[parent[k]]] for k in range(1, 40)])
+    group, total = list(range(40)), 0.0  # Kruskal
+    for w, i, j in sorted((d[i, j], i, j) for i in range(40) for j in range(i)):
+        if group[i] != group[j]:
+            total += w
+            group = [group[i] if g == group[j] else g for g in group]
+    assert np.isclose(edge.sum(), total)
+
+
+def test_bounds_spare_work_where_anchors_are_near_each_other(spark):
+    """Anchors close together: most candidates outside the windows are never scored at them."""
+    rng = np.random.default_rng(2)
+    dim, rows = 16, []
+    axes = np.eye(dim)
+    for i in range(3000):
+        axis = 0 if i % 100 == 0 else int(rng.integers(0, dim))
+        rows.append((i, axis % 5, (axes[axis] + 0.003 * rng.normal(size=dim)).tolist()))
+    found = mined(spark, rows)
+    assert listed(found) == brute(rows)
+    anchors = sum(1 for r in rows if r[0] % 100 == 0)
+    for scan in (found.positive_scan, found.negative_scan):
+        scored = scan.agg(F.sum("rescored")).first()[0]
+        assert scored < 0.5 * anchors * len(rows)
+
+
+def test_window():
+    assert window(10, 30, 90) == (3, 9) and window(-10, 30, 90) == (-3, -9) and window(0, 30, 90) == (0, 0) and window(7, 30, 90) == (3, 6)
