@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from visitmap.llm import chat_windows, fill_middle, graph_ann, hard_negatives, mixing, pii_crf, quality_classifier, quality_rules
+from visitmap.llm import chat_windows, fill_middle, graph_ann, hard_negatives, mixing, pii_crf, quality_classifier, quality_rules, toxic_spans
 from visitmap.llm.bwt_dedup import dedup_by_merged_transforms
 from visitmap.llm.chunk_bpe import decode_corpus, encode_corpus
 from visitmap.llm.jaccard_join import JaccardJoin
@@ -79,6 +79,12 @@ def op10_adaptive_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", *[F.col("counts")[c].alias(c) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")], "base_failed", "kept")
 
 
+def op11_chain_field_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = toxic_spans.ToxicSpans(spark, docs, labels, learn=~toxic_spans.held_out(F.col("key")))
+    return model.score(docs).select("doc_id", toxic_spans.held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 def op12_spanning_tree_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     return hard_negatives.HardNegatives(spark, table(spark, sf_dir, "embeddings").withColumn("label", label)).negatives()
@@ -91,7 +97,7 @@ def op13_displacement_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame
 
 QUERIES = {f.__name__: f for f in (
     op1_source_mixing, op2_rlz_substring_dedup, op3_pruned_graph_neighbours, op4_chunk_reuse_bpe, op5_bwt_merge_dedup, op6_semi_markov_pii,
-    op7_random_indexing_quality, op8_token_combination_jaccard, op9_budgeted_chat_windows, op10_adaptive_quality_rules, op12_spanning_tree_hard_negatives,
+    op7_random_indexing_quality, op8_token_combination_jaccard, op9_budgeted_chat_windows, op10_adaptive_quality_rules, op11_chain_field_toxicity, op12_spanning_tree_hard_negatives,
     op13_displacement_fill_middle)}
 
 ORACLES: dict[str, str] = {"op1_source_mixing": mixing.ORACLE, "op12_spanning_tree_hard_negatives": hard_negatives.ORACLE,
