@@ -51,7 +51,7 @@ def test_against_brute_force_with_odd_rows_and_a_hot_vector(spark):
     rows += [(None, 1, same), (5000, None, same), (5001, 1, None), (5002, 1, [1.0, None] + same[2:]), (5003, 1, [math.nan] + same[1:]),
              (5004, 1, [math.inf] + same[1:]), (5005, 1, []), (5006, 1, [1e300] * 8), (5100, 2, [3e6] * 8), (5101, 2, [2e6] * 8), (5102, 1, [1e6] * 8),
              (5200, 1, [1.0, 2.0]), (5201, 1, [2.0, 2.0]), (5202, 2, [1.0, 1.0]), (5300, 1, [0.0] * 8), (-700, 3, same)]
-    for options in ({"block": 4, "chunk": 64}, {}):
+    for options in ({"block": 4, "chunk": 16, "group_rows": (50, 50)}, {}):
         assert listed(mined(spark, rows, **options)) == brute(rows)
 
 

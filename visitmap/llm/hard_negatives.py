@@ -21,7 +21,7 @@ from visitmap.llm.repeats import rows_of
 from visitmap.llm.scratch import scratch_path
 
 PACKED = "dim int, {part} long, ids binary, labels binary, vectors binary"
-TREE = PACKED.format(part="block") + ", parent binary, edge binary, positives binary, scores binary"
+TREE = PACKED.format(part="block") + ", parent binary, edge binary, positives binary, scores binary, floors binary"
 GROUP = PACKED.format(part="grp")
 FOUND = "anchor_id long, positive_id long, positive_score long, vec_id long, score long, rescored long"
 
@@ -29,7 +29,7 @@ FOUND = "anchor_id long, positive_id long, positive_score long, vec_id long, sco
 TOO_LONG = float(1 << 62)
 #: Below this all sums of products are exact in double precision.
 EXACT = float(1 << 53)
-MOST, LEAST = np.iinfo(np.int64).max, np.iinfo(np.int64).min
+MOST, LEAST = int(np.iinfo(np.int64).max), int(np.iinfo(np.int64).min)
 CODE_BITS = 16
 
 
@@ -127,7 +127,8 @@ def window(positive: int, low: int, high: int) -> tuple[int, int]:
 def search(batches, most: int, low: int, high: int, positives: bool, chunk: int):
     """For every (group, block of anchors): the anchors' best candidates, or their windows' best.
 
-    What a task has found for an anchor so far raises the least score that it still asks for.
+    A positive's floor (its window's last place among what was searched before) and what the task has found so
+    far raise the least score that an anchor still asks for.
     """
     last, chunks, floors = None, [], {}
     for row in rows_of(batches):
@@ -141,17 +142,18 @@ def search(batches, most: int, low: int, high: int, positives: bool, chunk: int)
         tree["x"] = np.frombuffer(row["anchors"], np.int64).reshape(len(tree["ids"]), row["dim"])
         tree["norm"] = np.sqrt((tree["x"].astype(np.float64) ** 2).sum(axis=1))
         n = len(tree["ids"])
-        if positives:
-            asked = [[(LEAST, MOST)]] * n
-            pairs = None
-        else:
-            width = len(row["positives"]) // 8 // n
-            pairs = (np.frombuffer(row["positives"], np.int64).reshape(n, width), np.frombuffer(row["scores"], np.int64).reshape(n, width))
-            asked = [sorted({window(int(s), low, high) for p, s in zip(*(v[k] for v in pairs)) if p != LEAST}) for k in range(n)]
-        asked = [[w for w in ws if w[0] <= w[1]] for ws in asked]
-        floor = floors.setdefault((row["dim"], row["block"]), [dict() for _ in range(n)])
+        width = len(row["positives"]) // 8 // n
+        table = {c: np.frombuffer(row[c], np.int64).reshape(n, width).tolist() for c in ("positives", "scores", "floors")}
+        asked: list[dict] = [{} for _ in range(n)]  # each anchor's windows, with the positives they are for
+        floor = floors.setdefault((row["dim"], row["block"]), [{} for _ in range(n)])
+        for k in range(n):
+            for p, s, f in zip(*(table[c][k] for c in ("positives", "scores", "floors"))):
+                w = (LEAST, MOST) if positives else window(s, low, high)
+                if w[0] <= w[1] and (positives or p != LEAST):
+                    asked[k].setdefault(w, []).append((p, s))
+                    floor[k][w] = max(floor[k].get(w, w[0]), f)
         out = {c.split()[0]: [] for c in FOUND.split(", ")}
-        seen = 0
+        seen, tops = 0, {}
         for part in chunks:
             def fits(k, part=part):
                 same = part.labels == tree["labels"][k]
@@ -160,7 +162,7 @@ def search(batches, most: int, low: int, high: int, positives: bool, chunk: int)
             def wanted(k, least, highest):
                 see = np.zeros(len(part.ids), dtype=bool)
                 for w in asked[k]:
-                    see |= (highest >= max(w[0], floor[k].get(w, LEAST))) & (least <= w[1])
+                    see |= (highest >= floor[k][w]) & (least <= w[1])
                 return see & fits(k)
 
             for k, some, score in part.bounded(tree, wanted):
@@ -168,19 +170,23 @@ def search(batches, most: int, low: int, high: int, positives: bool, chunk: int)
                 mine = fits(k)[some]
                 some, score = some[mine], score[mine]
                 for w in asked[k]:
-                    inside = np.flatnonzero((score >= max(w[0], floor[k].get(w, LEAST))) & (score <= w[1]))
+                    inside = np.flatnonzero((score >= floor[k][w]) & (score <= w[1]))
                     if not len(inside):
                         continue
-                    top = inside[best(score[inside], part.ids[some[inside]], most)]
+                    ids, points = part.ids[some[inside]], score[inside]
+                    if (k, w) in tops:
+                        ids, points = np.concatenate((tops[k, w][0], ids)), np.concatenate((tops[k, w][1], points))
+                    top = best(points, ids, most)
+                    tops[k, w] = ids[top], points[top]
                     if len(top) == most:
-                        floor[k][w] = max(int(score[top[-1]]), floor[k].get(w, LEAST))
-                    for positive, ps in ([(None, None)] if positives else
-                                         [(p, s) for p, s in zip(pairs[0][k].tolist(), pairs[1][k].tolist()) if p != LEAST and window(s, low, high) == w]):
-                        out["anchor_id"] += [int(tree["ids"][k])] * len(top)
-                        out["positive_id"] += [positive] * len(top)
-                        out["positive_score"] += [ps] * len(top)
-                        out["vec_id"] += part.ids[some[top]].tolist()
-                        out["score"] += score[top].tolist()
+                        floor[k][w] = max(floor[k][w], int(points[top[-1]]))
+        for (k, w), (ids, points) in tops.items():
+            for positive, ps in asked[k][w]:
+                out["anchor_id"] += [int(tree["ids"][k])] * len(ids)
+                out["positive_id"] += [positive] * len(ids)
+                out["positive_score"] += [ps] * len(ids)
+                out["vec_id"] += ids.tolist()
+                out["score"] += points.tolist()
         out["rescored"] = [None] * len(out["score"])
         for name, value in zip(out, (None, None, None, None, None, seen)):
             out[name].append(value)  # one row that only counts
@@ -209,8 +215,8 @@ class HardNegatives:
 
     def __init__(self, spark: SparkSession, vectors: DataFrame, key: str = "vec_id", label: str = "label", vector: str = "embedding",
                  anchors: str = "id % 100 = 0", scale: float = 256.0, n_positives: int = 5, n_negatives: int = 10, low: int = 30, high: int = 90,
-                 block: int = 256, chunk: int = 4096):
-        self.spark, self.block, self.chunk = spark, block, chunk
+                 block: int = 256, chunk: int = 4096, group_rows: tuple[int, int] = (1024, 65536)):
+        self.spark, self.block, self.chunk, self.group_rows = spark, block, chunk, group_rows
         self.n_positives, self.n_negatives, self.low, self.high = n_positives, n_negatives, low, high
         self.rows = self._rows(vectors, F.col(f"`{key}`"), F.col(f"`{label}`"), F.col(f"`{vector}`"), scale)
         self.groups, self.n_groups = self._groups()
@@ -234,9 +240,9 @@ class HardNegatives:
         return self._write(one.select("id", F.size("r.v").alias("dim"), F.col("r.label").alias("label"), F.col("r.v").alias("v")), "vectors")
 
     def _groups(self) -> tuple[DataFrame, int]:
-        """The candidates, packed: some 64 groups, of 1,024 rows at least and 65,536 at most."""
+        """The candidates, packed: some 64 groups, of the fewest and most rows that ``group_rows`` names, about."""
         n = self.rows.count()
-        groups = max(1, -(-n // min(max(n // 64, 1024), 65536)))
+        groups = max(1, -(-n // min(max(n // 64, self.group_rows[0]), self.group_rows[1])))
 
         def build(group, rows: pd.DataFrame) -> pd.DataFrame:
             return pd.DataFrame({"dim": [group[0]], "grp": [group[1]], **pack(rows.sort_values("id"))})
@@ -261,8 +267,8 @@ class HardNegatives:
         sub = F.pmod(F.xxhash64("id"), F.ceil(F.col("n") / self.block))
         return self._write(dealt.select("id", "dim", "label", "v", (F.col("code") * F.lit(1 << 40) + sub).alias("block")), "anchors")
 
-    def _found(self, anchors: DataFrame, positives: bool) -> DataFrame:
-        """Every block of ``anchors`` searched in every group; ``anchors`` may have ``p``, an array of (score, id)."""
+    def _scan(self, anchors: DataFrame, positives: bool, groups: Column, name: str) -> DataFrame:
+        """Every block of ``anchors`` searched in the ``groups``; ``anchors`` has ``p``, an array of (score, vec_id, floor)."""
         most, low, high, chunk = self.n_positives if positives else self.n_negatives, self.low, self.high, self.chunk
 
         def tree(group, rows: pd.DataFrame) -> pd.DataFrame:
@@ -270,27 +276,46 @@ class HardNegatives:
             x = np.stack(rows["v"].to_numpy()).astype(np.int64)
             order, parent, edge = spanning_tree(x)
             rows = rows.iloc[order]
-            width = max((len(p) for p in rows["p"]), default=0)
-            ids, scores = np.full((len(rows), width), LEAST), np.zeros((len(rows), width), np.int64)
+            width = max(len(p) for p in rows["p"])
+            table = np.full((3, len(rows), width), LEAST)
             for i, p in enumerate(rows["p"]):
-                ids[i, : len(p)], scores[i, : len(p)] = [r["vec_id"] for r in p], [r["score"] for r in p]
+                for k, c in enumerate(("vec_id", "score", "floor")):
+                    table[k, i, : len(p)] = [r[c] for r in p]
             return pd.DataFrame({"dim": [group[0]], "block": [group[1]], **pack(rows), "parent": [parent.astype(np.int64).tobytes()],
-                                 "edge": [edge.tobytes()], "positives": [ids.astype(np.int64).tobytes()], "scores": [scores.tobytes()]})
+                                 "edge": [edge.tobytes()], "positives": [table[0].tobytes()], "scores": [table[1].tobytes()], "floors": [table[2].tobytes()]})
 
         blocks = anchors.groupBy("dim", "block").applyInPandas(tree, TREE)
         every = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(self.n_groups - 1).cast("long"))).alias("grp")
         asked = blocks.select("dim", "block", F.col("ids").alias("anchor_ids"), F.col("labels").alias("anchor_labels"), F.col("vectors").alias("anchors"),
-                              "parent", "edge", "positives", "scores", every)
+                              "parent", "edge", "positives", "scores", "floors", every).where(groups)
         # As many partitions as groups: what a task costs doesn't show in its bytes.
         pairs = asked.repartition(self.n_groups, "dim", "grp").join(self.groups.repartition(self.n_groups, "dim", "grp"), ["dim", "grp"])
         found = pairs.mapInArrow(lambda batches: search(batches, most, low, high, positives, chunk), FOUND)
-        return self._write(found, "positives" if positives else "negatives")
+        return self._write(found, name)
+
+    def _found(self, anchors: DataFrame, positives: bool) -> DataFrame:
+        """All groups searched: first a few (their number's square root), whose last places are floors for the rest.
+
+        So what the rest sends grows with the anchors and hardly with the groups.
+        """
+        name, most = ("positives", self.n_positives) if positives else ("negatives", self.n_negatives)
+        step = max(1, round(self.n_groups ** 0.5))
+        first = self._scan(anchors, positives, F.col("grp") % step == 0, name)
+        if step == 1:
+            return first
+        one = Window.partitionBy("anchor_id", "positive_id").orderBy(F.desc("score"), "vec_id")
+        last = first.where("anchor_id is not null").withColumn("place", F.row_number().over(one)).where(F.col("place") == most)
+        last = last.select(F.col("anchor_id").alias("id"), F.col("positive_id").alias("pid"), F.col("score").alias("found"))
+        p = anchors.select("id", F.explode("p").alias("x")).withColumn("pid", F.col("x.vec_id")).join(last, ["id", "pid"], "left")
+        p = p.groupBy("id").agg(F.collect_list(F.struct("x.score", "x.vec_id", F.coalesce("found", F.lit(LEAST)).alias("floor"))).alias("p"))
+        rest = self._scan(anchors.drop("p").join(p, "id"), positives, F.col("grp") % step != 0, name + "-rest")
+        return first.unionByName(rest)
 
     def positives(self) -> DataFrame:
         """``anchor_id``, ``rank``, ``vec_id``, ``score``."""
         if self._positives is None:
-            none = F.array().cast("array<struct<score:bigint,vec_id:bigint>>")
-            self.positive_scan = self._found(self.anchors.withColumn("p", none), True)
+            all_scores = F.array(F.struct(F.lit(0).cast("long").alias("score"), F.lit(LEAST).alias("vec_id"), F.lit(LEAST).alias("floor")))
+            self.positive_scan = self._found(self.anchors.withColumn("p", all_scores), True)
             rank = F.row_number().over(Window.partitionBy("anchor_id").orderBy(F.desc("score"), "vec_id"))
             ranked = self.positive_scan.where("anchor_id is not null").withColumn("rank", rank).where(F.col("rank") <= self.n_positives)
             self._positives = ranked.select("anchor_id", "rank", "vec_id", "score")
@@ -298,7 +323,7 @@ class HardNegatives:
 
     def negatives(self) -> DataFrame:
         """``anchor_id``, ``positive_id``, ``rank``, ``negative_id``, ``positive_score``, ``negative_score``."""
-        known = self.positives().groupBy("anchor_id").agg(F.sort_array(F.collect_list(F.struct("score", "vec_id"))).alias("p"))
+        known = self.positives().groupBy("anchor_id").agg(F.sort_array(F.collect_list(F.struct("score", "vec_id", F.lit(LEAST).alias("floor")))).alias("p"))
         asked = self.anchors.join(known, F.col("id") == F.col("anchor_id")).drop("anchor_id")
         self.negative_scan = self._found(asked, False)
         rank = F.row_number().over(Window.partitionBy("anchor_id", "positive_id").orderBy(F.desc("score"), "vec_id"))
