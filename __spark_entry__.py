@@ -4,7 +4,7 @@ Every query reads the driver's tables (or a Spark projection of them, see
 ``visitmap.sources.fixtures``) whole. Windows are the job's own date windows,
 not sampling. Arrays leave a query as text plus size, and every time value is
 TIMESTAMP_NTZ or DATE, so results do not depend on the session time zone.
-Queries q19-q22, q27 and q29-q33 write to fresh folders under the session's
+Queries q19-q22, q27, q29-q33 and q35-q40 write to fresh folders under the session's
 checkpoint dir and return what they read back.
 """
 
@@ -29,6 +29,7 @@ from visitmap.operators import (  # noqa: E402
     add_query_clock,
     add_report_date,
     dedupe,
+    differences,
     distinct_sql,
     explode_ids,
     group_by_all_sql,
@@ -42,7 +43,9 @@ from visitmap.job import parse_args as job_args  # noqa: E402
 from visitmap.job import run as run_job  # noqa: E402
 from visitmap.operators.dedupe import register_view  # noqa: E402
 from visitmap.plans import scheduled_visit_map  # noqa: E402
-from visitmap.plans.rerun import run_window  # noqa: E402
+from visitmap.plans.ledger import Ledger  # noqa: E402
+from visitmap.plans.moves import Places  # noqa: E402
+from visitmap.plans.rerun import backfill_run, run_window  # noqa: E402
 from visitmap.plans.visit_map_sql import build_visit_map_sql  # noqa: E402
 from visitmap.session import scratch_path  # noqa: E402
 from visitmap.sinks import (  # noqa: E402
@@ -51,8 +54,12 @@ from visitmap.sinks import (  # noqa: E402
     export_orc,
     insert_overwrite_by_name,
     overwrite_partitions,
+    publish_export_table,
     replace_export_table,
 )
+from visitmap.sinks.prints import DatePrints  # noqa: E402
+from visitmap.sinks.tables import table_location  # noqa: E402
+from visitmap.sources.rejects import Rejects  # noqa: E402
 from visitmap.sources import load_inputs, read_table, read_target, scan_customer, scan_messaging  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -67,6 +74,9 @@ RUN_A = DateWindow("1997-01-01", "1998-06-30", "report_days")
 RUN_B = DateWindow("1998-01-01", "1998-12-31", "report_days")
 EVENT_RUN_A = DateWindow("2024-01-03", "2024-01-12", "report_days")
 EVENT_RUN_B = DateWindow("2024-01-08", "2024-01-20", "report_days")
+MOVE_RUN_A = DateWindow("2023-11-25", "2024-01-05", "report_days")
+MOVE_RUN_B = DateWindow("2023-12-31", "2024-01-31", "report_days")
+HISTORY_RUN_START = date(2024, 1, 3)
 SCHEDULED_AS_OF = date(1997, 6, 12)         # rolling window 1997-06-01 .. 1997-06-11
 
 
@@ -332,6 +342,108 @@ def q29_export_table(spark, sf_dir):
     return spark.read.schema(schema).orc(path)
 
 
+def _shifted(cus: DataFrame, moved: F.Column) -> DataFrame:
+    """``cus`` with its times 30 days earlier where ``moved``."""
+    times = ("conversation_start_utc_ts", "conversation_end_utc_ts", "conversation_end_utc_date")
+    return cus.withColumns({c: F.when(moved, F.col(c) - F.expr("INTERVAL 30 DAYS")).otherwise(F.col(c)) for c in times})
+
+
+def q35_moved_conversations(spark, sf_dir):
+    """Conversations that end 30 days later in the second run's input are in the target once, on their new date."""
+    cus, msg = _inputs(spark, sf_dir, "events")
+    key = F.col("conversation_id").cast("bigint") % 50
+    path, places = scratch_path(spark, "q35"), Places(scratch_path(spark, "q35-places"))
+    run_window(_shifted(cus, key.isin(0, 1)), msg, MOVE_RUN_A, path, build_ts=BUILD_TS, places=places)
+    run_window(_shifted(cus, key == 1), msg, MOVE_RUN_B, path, build_ts=BUILD_TS_2, places=places)
+    return _read_target(spark, path)
+
+
+def _bad_times(cus: DataFrame) -> DataFrame:
+    """``cus`` with times as text, some of which mean no time."""
+    key = F.col("conversation_id").cast("bigint")
+    text = {c: F.col(c).cast("timestamp_ntz").cast("string") for c in ("conversation_start_utc_ts", "conversation_end_utc_ts", "conversation_end_utc_date")}
+    text["conversation_end_utc_date"] = F.when(key % 40 == 7, F.lit("n/a")).otherwise(text["conversation_end_utc_date"])
+    text["conversation_start_utc_ts"] = F.when(key % 60 == 11, F.lit("2024-13-45")).otherwise(text["conversation_start_utc_ts"])
+    return cus.withColumns(text)
+
+
+def _run_with_bad_times(spark, sf_dir):
+    cus, msg = _inputs(spark, sf_dir, "events")
+    path, rejects = scratch_path(spark, "bad-times"), Rejects(scratch_path(spark, "rejects"))
+    run_window(_bad_times(cus), msg, EVENT_RUN_A, path, build_ts=BUILD_TS, rejects=rejects)
+    return path, rejects
+
+
+def q36_bad_times_good_rows(spark, sf_dir):
+    """Rows with a time that means none don't stop the run; all others are written."""
+    return _read_target(spark, _run_with_bad_times(spark, sf_dir)[0])
+
+
+def q37_bad_times_rejects(spark, sf_dir):
+    """The reject table: each bad value of the run, and the counts that the run observed on the way."""
+    _, rejects = _run_with_bad_times(spark, sf_dir)
+    seen = rejects.counts["customer"]
+    return rejects.read(spark).select("source", "conversation_id", "column", "value", "run_date", F.lit(seen["good"]).cast("bigint").alias("good_rows"),
+                                      F.lit(seen["bad"]).cast("bigint").alias("bad_rows"))
+
+
+def q38_export_without_gap(spark, sf_dir):
+    """A write that fails leaves the export as it was; the next one replaces it at once."""
+    table, path = f"visitmap_export_{uuid.uuid4().hex}", scratch_path(spark, "q38")
+    rows = q17_visit_map_left_window(spark, sf_dir)
+    publish_export_table(spark, rows.limit(0), table, path)
+    publish_export_table(spark, rows, table, path)
+    try:
+        publish_export_table(spark, rows.withColumn("visit_guid", F.raise_error(F.lit("a failing write"))), table, path)
+    except Exception as error:  # noqa: BLE001
+        if "a failing write" not in str(error):
+            raise
+    schema, location = spark.table(table).schema, table_location(spark, table)
+    spark.sql("DROP TABLE IDENTIFIER(:t)", args={"t": table})
+    return spark.read.schema(schema).orc(location)
+
+
+def q39_only_changed_dates(spark, sf_dir):
+    """A rerun writes only the dates whose rows have changed: all others keep the first run's stamp."""
+    cus, msg = _inputs(spark, sf_dir, "events")
+    path, prints = scratch_path(spark, "q39"), DatePrints(scratch_path(spark, "q39-prints"))
+    run_window(cus, msg, EVENT_RUN_A, path, build_ts=BUILD_TS, prints=prints)
+    dated = add_report_date(cus)
+    fewer = dated.where((F.col("rpt_mst_date") != date(2024, 1, 10)) | (F.col("conversation_id").cast("bigint") % 2 == 1)).drop("rpt_mst_date")
+    run_window(fewer, msg, EVENT_RUN_A, path, build_ts=BUILD_TS_2, prints=prints)
+    return _read_target(spark, path)
+
+
+def q40_resumed_backfill(spark, sf_dir):
+    """A history run that was cut off after its first slices goes on where it stopped: those keep their stamp."""
+    cus, msg = _inputs(spark, sf_dir, "events")
+    path, ledger = scratch_path(spark, "q40"), Ledger(scratch_path(spark, "q40-ledger"))
+    window = DateWindow.backfill(BACKFILL_AS_OF, HISTORY_RUN_START, mode="report_days")
+    for part in ledger.open_slices(spark, window, 5)[:2]:
+        run_window(cus, msg, part, path, build_ts=BUILD_TS)
+        ledger.done(spark, window, part)
+    backfill_run(cus, msg, path, as_of=BACKFILL_AS_OF, start=HISTORY_RUN_START, ledger=ledger, slice_days=5, build_ts=BUILD_TS_2)
+    return _read_target(spark, path)
+
+
+def q41_zoned_text_window(spark, sf_dir):
+    """Report-day windows and report dates agree on text that names its own zone."""
+    text = F.col("ts").cast("timestamp_ntz").cast("string")
+    zone = F.when(F.col("event_id") % 3 == 0, "+09:00").when(F.col("event_id") % 3 == 1, "-03:30").otherwise("Z")
+    rows = read_table(spark, sf_dir, "events").select("event_id", F.concat(text, zone).alias("t"))
+    return add_report_date(EVENT_RUN_A.apply(rows, "t"), "t").select("event_id", "rpt_mst_date")
+
+
+def q42_table_differences(spark, sf_dir):
+    """Rows that two versions of a table don't have equally often."""
+    orders = read_table(spark, sf_dir, "orders").select("o_custkey", "o_orderstatus", F.col("o_totalprice").cast("decimal(18,2)").alias("o_totalprice"))
+    key = F.col("o_orderkey")
+    rows = read_table(spark, sf_dir, "orders").select("o_orderkey", *[F.col(c) for c in ("o_custkey", "o_orderstatus")], F.col("o_totalprice").cast("decimal(18,2)").alias("o_totalprice"))
+    other = rows.where(key % 97 != 3).withColumn("o_orderstatus", F.when(key % 89 == 5, F.lit(None)).otherwise(F.col("o_orderstatus")))
+    again = rows.where(key % 101 == 7)
+    return differences(orders, other.unionAll(again).drop("o_orderkey"))
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -344,6 +456,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         q24_distinct_sql_helper, q25_whole_day_window, q26_report_day_window, q27_scheduled_job,
         q28_query_time_clock, q29_export_table, q30_scheduled_window, q31_text_times_to_instants,
         q32_rerun_empties_a_date, q33_closed_window_job, q34_zoned_text,
+        q35_moved_conversations, q36_bad_times_good_rows, q37_bad_times_rejects, q38_export_without_gap,
+        q39_only_changed_dates, q40_resumed_backfill, q41_zoned_text_window, q42_table_differences,
     )
 }
 
@@ -463,6 +577,10 @@ _STAMP = f"TIMESTAMP '{BUILD_TS}'"
 _STAMP_2 = f"TIMESTAMP '{BUILD_TS_2}'"
 
 
+_IN_EVENT_RUN_A = """c.conversation_end_utc_date >= TIMESTAMP '2024-01-03 07:00:00'
+        AND c.conversation_end_utc_date < TIMESTAMP '2024-01-13 07:00:00'"""
+
+
 def _two_runs_stamp(second_run_start: str) -> str:
     return f"CASE WHEN rpt_mst_date < DATE '{second_run_start}' THEN {_STAMP} ELSE {_STAMP_2} END"
 
@@ -577,6 +695,43 @@ SELECT event_id, CASE event_id % 3 WHEN 0 THEN CAST(CAST(ts AS TIMESTAMP) - INTE
                                    WHEN 1 THEN CAST(CAST(ts AS TIMESTAMP) + INTERVAL 3 HOUR + INTERVAL 30 MINUTE - INTERVAL 7 HOUR AS DATE)
                                    ELSE CAST(CAST(ts AS TIMESTAMP) - INTERVAL 7 HOUR AS DATE) END AS rpt_mst_date
 FROM events""",
+    "q35_moved_conversations": _visit_map_sql(
+        _EVENTS_FIXTURE.replace("  FROM events),", "  FROM (SELECT * REPLACE (CASE WHEN event_id % 50 = 1 THEN ts - INTERVAL 30 DAY ELSE ts END AS ts) FROM events)),", 1),
+        "TRUE", _two_runs_stamp("2023-12-31")),
+    "q36_bad_times_good_rows": _visit_map_sql(_EVENTS_FIXTURE, _IN_EVENT_RUN_A + """
+        AND CAST(c.conversation_id AS BIGINT) % 40 <> 7 AND CAST(c.conversation_id AS BIGINT) % 60 <> 11""", _STAMP),
+    "q37_bad_times_rejects": f"""WITH seen AS (
+  SELECT CAST(event_id AS VARCHAR) AS conversation_id, event_id % 40 = 7 AS bad_end,
+         event_id % 60 = 11 AND (event_id % 40 = 7 OR {_IN_EVENT_RUN_A.replace("c.conversation_end_utc_date", "ts")}) AS bad_start,
+         event_id % 40 = 7 OR {_IN_EVENT_RUN_A.replace("c.conversation_end_utc_date", "ts")} AS read
+  FROM events),
+counted AS (
+  SELECT count(*) FILTER (WHERE read AND NOT bad_end AND NOT bad_start)::BIGINT AS good_rows,
+         count(*) FILTER (WHERE bad_end OR bad_start)::BIGINT AS bad_rows FROM seen)
+SELECT 'customer' AS source, conversation_id, 'conversation_end_utc_date' AS "column", 'n/a' AS value, DATE '2024-01-12' AS run_date, good_rows, bad_rows
+FROM seen, counted WHERE bad_end
+UNION ALL
+SELECT 'customer', conversation_id, 'conversation_start_utc_ts', '2024-13-45', DATE '2024-01-12', good_rows, bad_rows FROM seen, counted WHERE bad_start""",
+    "q38_export_without_gap": f"""SELECT * REPLACE (CAST(rpt_mst_date AS VARCHAR) AS rpt_mst_date) FROM (
+{_visit_map_sql(_ORDERS_FIXTURE, _IN_WINDOW_CUS, _STAMP)})""",
+    "q39_only_changed_dates": _visit_map_sql(_EVENTS_FIXTURE, _IN_EVENT_RUN_A + """
+        AND (CAST(c.conversation_end_utc_date - INTERVAL 7 HOUR AS DATE) <> DATE '2024-01-10' OR CAST(c.conversation_id AS BIGINT) % 2 = 1)""",
+        f"CASE WHEN rpt_mst_date = DATE '2024-01-10' THEN {_STAMP_2} ELSE {_STAMP} END"),
+    "q40_resumed_backfill": _visit_map_sql(
+        _EVENTS_FIXTURE, "c.conversation_end_utc_date >= TIMESTAMP '2024-01-03 07:00:00' AND c.conversation_end_utc_date < TIMESTAMP '2024-01-20 07:00:00'",
+        _two_runs_stamp("2024-01-13")),
+    "q41_zoned_text_window": """SELECT * FROM (
+SELECT event_id, CASE event_id % 3 WHEN 0 THEN CAST(CAST(ts AS TIMESTAMP) - INTERVAL 9 HOUR - INTERVAL 7 HOUR AS DATE)
+                                   WHEN 1 THEN CAST(CAST(ts AS TIMESTAMP) + INTERVAL 3 HOUR + INTERVAL 30 MINUTE - INTERVAL 7 HOUR AS DATE)
+                                   ELSE CAST(CAST(ts AS TIMESTAMP) - INTERVAL 7 HOUR AS DATE) END AS rpt_mst_date
+FROM events) WHERE rpt_mst_date BETWEEN DATE '2024-01-03' AND DATE '2024-01-12'""",
+    "q42_table_differences": """
+WITH a AS (SELECT o_orderkey, o_custkey, o_orderstatus, CAST(o_totalprice AS DECIMAL(18,2)) AS o_totalprice FROM orders),
+b AS (SELECT o_custkey, CASE WHEN o_orderkey % 89 = 5 THEN NULL ELSE o_orderstatus END AS o_orderstatus, o_totalprice FROM a WHERE o_orderkey % 97 <> 3
+      UNION ALL SELECT o_custkey, o_orderstatus, o_totalprice FROM a WHERE o_orderkey % 101 = 7),
+n AS (SELECT o_custkey, o_orderstatus, o_totalprice, sum(l)::BIGINT AS n_left, sum(r)::BIGINT AS n_right
+      FROM (SELECT o_custkey, o_orderstatus, o_totalprice, 1 AS l, 0 AS r FROM a UNION ALL SELECT *, 0, 1 FROM b) GROUP BY ALL)
+SELECT * FROM n WHERE n_left <> n_right""",
     "q24_distinct_sql_helper": f"""{_ORDERS_FIXTURE}
 SELECT DISTINCT conversation_id, account_id, visitor_app_id AS app_id, conversation_source, visitor_device_type
 FROM msg""",

@@ -48,10 +48,16 @@ def wall_clock_instant(col: Column, zone_hours: int = 0) -> Column:
     return F.make_timestamp_ltz(part("YEAR"), part("MONTH"), part("DAY"), part("HOUR"), part("MINUTE"), part("SECOND"), zone)
 
 
-def utc_wall_clock(text: Column) -> Column:
-    """The UTC wall clock that a text means: as it stands, or converted from the zone that it names."""
+def parsed_wall_clock(text: Column) -> Column:
+    """The UTC wall clock that a text means: as it stands, or converted from the zone that it names. Null if it means none."""
     zoned = text.rlike(_ZONED_TEXT)
-    return F.when(zoned, instant_wall_clock(F.when(zoned, text).cast("timestamp"))).otherwise(F.when(~zoned, text).cast("timestamp_ntz"))
+    return F.when(zoned, instant_wall_clock(F.when(zoned, text).try_cast("timestamp"))).otherwise(F.when(~zoned, text).try_cast("timestamp_ntz"))
+
+
+def utc_wall_clock(text: Column) -> Column:
+    """``parsed_wall_clock``, where text that means no time is an error that shows it (``sources.rejects`` sorts it out before)."""
+    parsed = parsed_wall_clock(text)
+    return F.when(text.isNotNull() & parsed.isNull(), F.raise_error(F.concat(F.lit("not a time: "), text))).otherwise(parsed)
 
 
 def convert_time(col: Column, have: T.DataType, want: T.DataType, zone_hours: int = 0) -> Column:

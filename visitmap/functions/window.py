@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from visitmap.functions.timefns import MST, MST_OFFSET_HOURS
+from visitmap.functions.timefns import MST, MST_OFFSET_HOURS, utc_wall_clock
 
 # The rolling window ends yesterday (MST) and looks back 10 more
 # days; a history backfill starts on 2016-01-01.
@@ -113,7 +113,7 @@ class DateWindow:
             hi_c = F.lit(hi.replace(tzinfo=timezone.utc)).cast("timestamp")
         elif isinstance(data_type, T.StringType):
             if self.mode == "report_days":
-                col = col.cast("timestamp_ntz")
+                col = utc_wall_clock(col)  # as the report date reads it, so both put a row into the same day
                 lo_c = F.lit(lo.isoformat(sep=" ")).cast("timestamp_ntz")
                 hi_c = F.lit(hi.isoformat(sep=" ")).cast("timestamp_ntz")
             else:

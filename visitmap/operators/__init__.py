@@ -1,5 +1,6 @@
 """DataFrame -> DataFrame steps of the visit map."""
 
+from visitmap.operators.compare import difference_count, differences
 from visitmap.operators.dedupe import dedupe, distinct_sql, group_by_all_sql, register_view
 from visitmap.operators.explode import explode_ids
 from visitmap.operators.link import link, link_on, rename_app_id
@@ -12,6 +13,8 @@ __all__ = [
     "add_report_date",
     "conform",
     "dedupe",
+    "difference_count",
+    "differences",
     "distinct_sql",
     "explode_ids",
     "group_by_all_sql",

@@ -5,6 +5,7 @@ from visitmap.sinks.tables import (
     create_export_table,
     create_target_table,
     insert_overwrite_by_name,
+    publish_export_table,
     replace_export_table,
 )
 
@@ -14,5 +15,6 @@ __all__ = [
     "export_orc",
     "insert_overwrite_by_name",
     "overwrite_partitions",
+    "publish_export_table",
     "replace_export_table",
 ]
