@@ -2,8 +2,9 @@
 
 All of it is DataFrame expressions. Counts come from array functions over one row's
 words, so nothing is shuffled for them. Thresholds come from KLL quantile
-sketches, one for each language, source and measure, merged upwards for groups
-too small to judge by themselves.
+sketches, one for each language, source and measure. Sketches are merged upwards, and a
+group's quantiles are drawn towards its language's, and those towards the corpus', the more so
+the fewer documents it has.
 """
 
 from __future__ import annotations
@@ -25,11 +26,11 @@ MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
 
 MEASURES = ("symbols_per_word", "dup_line_share", "repeat_share", "chars_per_word")
-#: Repeats that a few ordinary documents have too: their bound is an upper quantile, and this much of its distance from the median more.
+#: Repeats: most documents have none, so the sketch is of those that have some, and its upper quantile and half of it more is the bound.
 TAILS = ("dup_line_share", "repeat_share")
-TAIL, TAIL_MARGIN = 0.99, 0.25
-#: Against bands without any width, for all measures.
-LEAST_BAND = 0.02
+TAIL, TAIL_MARGIN = 0.95, 0.5
+#: Where fewer documents than this have a repeat it isn't ordinary, and only ``LEAST`` of it passes.
+ORDINARY, LEAST = 0.01, 0.02
 SKETCH_K = 1024
 
 
@@ -94,55 +95,86 @@ def measures(counts: str = "counts") -> dict[str, Column]:
             "repeat_share": share("n_repeat_words", "n_words"), "chars_per_word": share("word_chars", "n_words")}
 
 
-def _quantiles(sketch: Column) -> Column:
-    """Lower quartile, median, upper quartile and the upper tail's begin; null for an empty sketch."""
-    values = F.kll_sketch_get_quantile_double(sketch, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75), F.lit(TAIL)))
+def _quantiles(sketch: Column, at: tuple[float, ...]) -> Column:
+    """Null for an empty sketch."""
+    values = F.kll_sketch_get_quantile_double(sketch, F.array(*map(F.lit, at)))
     return F.when(F.kll_sketch_get_n_double(sketch) > 0, values)
 
 
+QUARTILES, UPPER = (0.25, 0.5, 0.75), (TAIL,)
+#: What is sketched: the measures (of repeats, the part above zero), and the documents' length.
+SKETCHED = {**{k: UPPER if k in TAILS else QUARTILES for k in MEASURES}, "n_words": QUARTILES}
+
+
 def learn_thresholds(spark: SparkSession, counted: DataFrame, lang: str = "lang", source: str = "source",
-                     width: float = 8.0, least_group: int = 50) -> DataFrame:
-    """A row for each language and source: lowest and highest accepted value of each measure.
-
-    The band is ``width`` times the distance from the median to the two
-    quartiles; above, for ``TAILS``, the distance to the tail's begin and
-    ``TAIL_MARGIN`` of it more. ``LEAST_BAND`` only keeps it from having no width.
-    Percentiles come from the group's sketch; with under ``least_group`` documents that
-    pass the base rules, from the language's merged sketch, then from the whole corpus'.
+                     width: float = 8.0, prior: float = 20.0) -> DataFrame:
+    """A row for each language and source: middle of each measure and distance accepted below and above it.
+
+    The distances are ``width`` times those from the median to the quartiles; a quartile isn't known finer than one symbol in
+    a document of the group's median length. Repeats start from zero: see ``TAILS`` and ``ORDINARY``. A level's
+    quantiles are drawn towards those of the level above it: by half with ``prior`` documents, by a twenty-sixth with five times as many.
     The table is written, so that every later reader sees the same thresholds.
     """
-    values = measures()
-    sketches = [F.kll_sketch_agg_double(F.when(~base_failed(), v), F.lit(SKETCH_K)).alias(k) for k, v in values.items()]
-    size = F.count(F.when(~base_failed(), 1)).alias("n")
-    groups = counted.groupBy(F.col(lang).alias("lang"), F.col(source).alias("source")).agg(size, *sketches)
+    values = {**measures(), "n_words": F.col("counts")["n_words"].cast("double")}
+    counts = [F.count(F.when(~base_failed(), 1)).alias("n"), *[F.count(F.when(~base_failed() & (values[k] > 0), 1)).alias(f"n_{k}") for k in TAILS]]
+    sketches = [F.kll_sketch_agg_double(F.when(~base_failed() & (v > 0) if k in TAILS else ~base_failed(), v), F.lit(SKETCH_K)).alias(k) for k, v in values.items()]
+    groups = counted.groupBy(F.col(lang).alias("lang"), F.col(source).alias("source")).agg(*counts, *sketches)
     path = scratch_path(spark, "quality-sketches")
     groups.write.parquet(path)
     groups = spark.read.parquet(path)
-    langs = groups.groupBy(F.col("lang").alias("of_lang")).agg(F.sum("n").alias("lang_n"), *(F.kll_merge_agg_double(F.col(k)).alias(f"lang_{k}") for k in MEASURES))
+    sizes = ["n", *[f"n_{k}" for k in TAILS]]
+    merged = lambda prefix: [*[F.sum(c).alias(f"{prefix}{c}") for c in sizes], *[F.kll_merge_agg_double(F.col(k)).alias(f"{prefix}{k}") for k in SKETCHED]]
+    langs = groups.groupBy(F.col("lang").alias("of_lang")).agg(*merged("lang_"))
     # The corpus' own quantiles are a few numbers.
-    whole = groups.agg(*(_quantiles(F.kll_merge_agg_double(F.col(k))).alias(k) for k in MEASURES)).first()
+    whole = groups.agg(*merged("")).select(*sizes, *[_quantiles(F.col(k), at).alias(k) for k, at in SKETCHED.items()]).first()
     rows = groups.join(langs, F.col("lang").eqNullSafe(F.col("of_lang")))
-    out = [F.col("lang").alias("group_lang"), F.col("source").alias("group_source")]
+
+    def drawn(own: Column, size: Column, above: Column) -> Column:
+        """A level's value drawn towards that of the level above it, by half with ``prior`` documents."""
+        weight = size * size / (size * size + F.lit(prior * prior))
+        return weight * F.coalesce(own, above) + (1 - weight) * above
+
+    def quantile(k: str, i: int) -> Column:
+        size = f"n_{k}" if k in TAILS else "n"
+        above = F.lit(float(whole[k][i]) if whole[k] else 0.0)
+        above = drawn(_quantiles(F.col(f"lang_{k}"), SKETCHED[k])[i], F.col(f"lang_{size}"), above)
+        return drawn(_quantiles(F.col(k), SKETCHED[k])[i], F.col(size), above)
+
+    def share(k: str) -> Column:
+        """Documents with a repeat among all."""
+        part = lambda a, b: F.when(F.col(b) > 0, F.col(a) / F.col(b))
+        above = drawn(part(f"lang_n_{k}", "lang_n"), F.col("lang_n"), F.lit((whole[f"n_{k}"] or 0) / max(whole["n"] or 0, 1)))
+        return drawn(part(f"n_{k}", "n"), F.col("n"), above)
+
+    out = [F.col("lang").alias("group_lang"), F.col("source").alias("group_source"), quantile("n_words", 1).alias("typical_words")]
+    event = F.lit(1.0) / F.greatest(quantile("n_words", 1), F.lit(1.0))
     for k in MEASURES:
-        corpus = F.array(*map(F.lit, whole[k])) if whole[k] else F.lit(None).cast("array<double>")
-        q = F.when(F.col("n") >= least_group, _quantiles(F.col(k))).when(F.col("lang_n") >= least_group, _quantiles(F.col(f"lang_{k}"))).otherwise(corpus)
-        low, mid, high, tail = q[0], q[1], q[2], q[3]
-        above = (1 + TAIL_MARGIN) * (tail - mid) if k in TAILS else width * (high - mid)
-        out += [(mid - F.greatest(width * (mid - low), F.lit(LEAST_BAND))).alias(f"{k}_low"),
-                (mid + F.greatest(above, F.lit(LEAST_BAND))).alias(f"{k}_high")]
+        if k in TAILS:
+            mid = below = F.lit(0.0)
+            above = F.when(share(k) >= ORDINARY, F.greatest((1 + TAIL_MARGIN) * quantile(k, 0), F.lit(LEAST))).otherwise(F.lit(LEAST))
+        else:
+            low, mid, high = (quantile(k, i) for i in range(3))
+            below, above = width * F.greatest(mid - low, event), width * F.greatest(high - mid, event)
+        out += [mid.alias(f"{k}_mid"), below.alias(f"{k}_below"), above.alias(f"{k}_above")]
     path = scratch_path(spark, "quality-thresholds")
     rows.select(*out).write.parquet(path)
     return spark.read.parquet(path)
 
 
 def judge(counted: DataFrame, thresholds: DataFrame, lang: str = "lang", source: str = "source") -> DataFrame:
-    """Add ``base_failed`` and ``kept``: not failed, and within its group's bands (no band: kept)."""
+    """Add ``base_failed`` and ``kept``: not failed, and within its group's bands (no band: kept).
+
+    A short document's measures scatter more: its bands are wider by the root of how much shorter it is than
+    its group's median document.
+    """
     rows = counted.join(thresholds, counted[lang].eqNullSafe(thresholds["group_lang"]) & counted[source].eqNullSafe(thresholds["group_source"]), "left")
+    wider = F.greatest(F.lit(1.0), F.sqrt(F.col("typical_words") / F.greatest(F.col("counts")["n_words"], F.lit(1))))
     inside = F.lit(True)
     for k, v in measures().items():
-        high_only = v <= F.col(f"{k}_high")
-        both = high_only & (v >= F.col(f"{k}_low")) if k == "chars_per_word" else high_only
-        inside = inside & F.coalesce(both, F.lit(True))
+        fits = v <= F.col(f"{k}_mid") + wider * F.col(f"{k}_above")
+        if k == "chars_per_word":
+            fits = fits & (v >= F.col(f"{k}_mid") - wider * F.col(f"{k}_below"))
+        inside = inside & F.coalesce(fits, F.lit(True))
     return rows.withColumn("base_failed", base_failed()).withColumn("kept", ~base_failed() & inside).drop(*thresholds.columns)
 
 
