@@ -13,7 +13,9 @@ and is encoded again, in the end with both chunks whole.
 
 from __future__ import annotations
 
-import struct
+import json
+import sys
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from visitmap.llm.textnum import _MULT, _U, BYTE_VALUES, IS_SPACE, mix, powers, slices, string_column
+from visitmap.llm.textnum import _MULT, _U, BYTE_VALUES, IS_SPACE, powers, slices, string_column, word_hashes
 from visitmap.llm.scratch import scratch_path
 
 SPAN = 24
@@ -31,23 +33,27 @@ MOST_BYTES = 1 << 16
 CACHED = 100_000
 
 
-def cut_chunks(body: np.ndarray, offs: np.ndarray, average: int = CHUNK_BYTES, most: int = MOST_BYTES) -> tuple[np.ndarray, np.ndarray]:
+def cut_chunks(body: np.ndarray, offs: np.ndarray, average: int = CHUNK_BYTES, most: int = MOST_BYTES, piece: int = 1 << 18) -> tuple[np.ndarray, np.ndarray]:
     """Chunk ends of all documents, ascending, and a hash of every chunk.
 
     A chunk ends after ``SPAN`` bytes of one document whose hash says so, at the
-    latest after ``most`` bytes, and at the document's end.
+    latest after ``most`` bytes, and at the document's end. The work goes by pieces, so that its arrays
+    don't grow with a text.
     """
     n = len(body)
     if not n:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    p, q = powers(n)
-    total = np.zeros(n + 1, dtype=np.uint64)
-    np.cumsum(BYTE_VALUES[body] * p[:n], out=total[1:])
-    ends = offs[1:][offs[1:] > offs[:-1]]
-    if n > SPAN:
-        h = (total[SPAN:] - total[:-SPAN]) * q[: n - SPAN + 1]
+    ends, found = offs[1:][offs[1:] > offs[:-1]], []
+    for at in range(0, n - SPAN, piece):
+        part = body[at: at + piece + SPAN - 1]
+        p, q = powers(len(part))
+        total = np.zeros(len(part) + 1, dtype=np.uint64)
+        np.cumsum(BYTE_VALUES[part] * p[: len(part)], out=total[1:])
+        h = (total[SPAN:] - total[:-SPAN]) * q[: len(part) - SPAN + 1]
         h *= _MULT
-        cut = np.flatnonzero((h >> _U(40)) % _U(average) == 0) + SPAN
+        found.append(np.flatnonzero((h >> _U(40)) % _U(average) == 0) + SPAN + at)
+    if found:
+        cut = np.concatenate(found)
         begin = offs[np.searchsorted(offs, cut, side="left") - 1]
         ends = np.union1d(ends, cut[cut - begin >= SPAN])
     starts = np.concatenate(([0], ends[:-1]))
@@ -55,11 +61,21 @@ def cut_chunks(body: np.ndarray, offs: np.ndarray, average: int = CHUNK_BYTES, m
     if len(long):
         ends = np.union1d(ends, np.concatenate([np.arange(starts[i] + most, ends[i], most) for i in long]))
         starts = np.concatenate(([0], ends[:-1]))
-    return ends, mix((total[ends] - total[starts]) * q[starts] + (ends - starts).astype(np.uint64) * _MULT)
+    return ends, word_hashes(body, starts, ends, step=piece)
 
 
 def little_endian(ids: list[int]) -> bytes:
-    return struct.pack(f"<{len(ids)}I", *ids)
+    packed = array("I", ids)
+    if sys.byteorder == "big":
+        packed.byteswap()
+    return packed.tobytes()
+
+
+# The pattern of tokenizers that part a word's closing signs from it before any merge,
+# and these signs.
+PARTING_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+SIGNS = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+PLAIN = frozenset(b"abcdefghijklmnopqrstuvwxyz0123456789")
 
 
 class Encoder:
@@ -78,24 +94,64 @@ class Encoder:
         self.older: dict[bytes, bytes] = {}  # of the words before those; the ones still in use move up
         table = [self.tokenizer.id_to_token(i) for i in range(self.tokenizer.get_vocab_size(with_added_tokens=True))]
         self.table = [(x or "").encode() for x in table]
+        told = json.loads(tokenizer_json)
+        steps = lambda part, name: (told.get(part) or {}).get(name) or [told.get(part) or {}]
+        self.added = [x["content"].lower().encode() for x in told.get("added_tokens") or ()]
+        # Words that differ in what the tokenizer itself undoes first are looked up as one.
+        self.lowers = steps("normalizer", "normalizers")[-1].get("type") == "Lowercase"
+        self.parts = self.lowers and (steps("pre_tokenizer", "pretokenizers")[0].get("pattern") or {}).get("Regex") == PARTING_PATTERN
+
+    def pieces(self, word: bytes) -> tuple[bytes, bytes]:
+        """A word without what doesn't change its tokens, and its closing signs, which are tokens of their own."""
+        if not self.lowers:
+            return word, b""
+        low = word.lower()
+        if any(x in low for x in self.added):  # these are looked for before anything is undone
+            return word, b""
+        word = low
+        if not self.parts or word[-1] in PLAIN:
+            return word, b""
+        head = word.rstrip(SIGNS)
+        return (head, word[len(head):]) if head and head[-1] in PLAIN else (word, b"")
 
     def learn(self, texts) -> None:
-        """Have the tokens of all ``texts`` in ``tokens``; words long unused are forgotten."""
+        """Have the tokens of all ``texts`` (words) in ``tokens``; words long unused are forgotten."""
         if len(self.tokens) > CACHED:
             self.tokens, self.older = {}, self.tokens
-        new = set(texts).difference(self.tokens)
-        again = [x for x in new if x in self.older]
-        for x in again:
-            self.tokens[x] = self.older[x]
-        new = list(new.difference(again))
+        tokens, older = self.tokens, self.older
+        unknown = []
+        for x in set(texts).difference(tokens):
+            known = older.get(x)
+            if known is None:
+                unknown.append((x, *self.pieces(x)))
+            else:
+                tokens[x] = known
+        if not unknown:
+            return
+        fresh = {}
+        for _, head, tail in unknown:
+            for x in (head, tail) if tail else (head,):
+                if x not in tokens:
+                    fresh[x] = older.get(x)
+        new = [x for x, known in fresh.items() if known is None]
         if new:
-            for text, e in zip(new, self.tokenizer.encode_batch_fast([x.decode("utf-8", "replace") for x in new], add_special_tokens=False)):
-                self.tokens[text] = little_endian(e.ids)
+            for x, e in zip(new, self.tokenizer.encode_batch_fast([x.decode("utf-8", "replace") for x in new], add_special_tokens=False)):
+                fresh[x] = little_endian(e.ids)
+        tokens.update(fresh)
+        for x, head, tail in unknown:
+            tokens[x] = tokens[head] + tokens[tail] if tail else tokens[head]
 
     def words(self, text: bytes) -> bytes:
         words = text.split()
-        self.learn(words)
-        return b"".join(map(self.tokens.__getitem__, words))
+        try:
+            return b"".join(map(self.tokens.__getitem__, words))
+        except KeyError:
+            self.learn(words)
+            return b"".join(map(self.tokens.__getitem__, words))
+
+    def decoded(self, ids: bytes) -> bytes:
+        """The text of little-endian ids: their tokens with a space between each two."""
+        return b" ".join(map(self.table.__getitem__, np.frombuffer(ids, dtype="<u4").tolist()))
 
     def join(self, left: list[bytes], middle: bytes, right: list[bytes]) -> bytes:
         """Tokens of ``middle``, which stands between two encoded chunks with these words."""
@@ -163,9 +219,11 @@ def encode_document(enc: Encoder, text: bytes, at: int, layout: Layout, chunks:
 
 
 def encode_corpus(spark: SparkSession, docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text",
-                  average: int = CHUNK_BYTES, carry: list[str] = ()) -> DataFrame:
+                  average: int = CHUNK_BYTES, carry: list[str] = (), decode_to: str | None = None) -> DataFrame:
     """``key``, ``ids`` (little-endian unsigned 32-bit integers) and the ``carry`` columns of every row.
 
+    ``decode_to`` names a column for the decoded text, as ``decode_corpus`` would add it, from the same pass.
+
     ``tokenizer`` is the path of a tokenizers JSON file, read by the driver and
     broadcast (its size is the vocabulary's). The result is that of the library
     on the whole text, without special tokens added, truncation or padding. Null
@@ -251,11 +309,20 @@ def encode_corpus(spark: SparkSession, docs: DataFrame, tokenizer: str, key: str
                 for d, text in enumerate(texts):
                     known = {x["h"] & 0xFFFFFFFFFFFFFFFF: x["ids"] for x in ready_column[i + d].as_py() or ()}
                     out.append(encode_document(enc, text, at[d], layout, range(layout.first[d], layout.first[d + 1]), known))
-                yield pa.RecordBatch.from_arrays([row_column.slice(i, len(texts)), pa.array(out, pa.binary())], names=["row", "ids"])
-
-    schema = T.StructType([rows.schema["row"], T.StructField("ids", T.BinaryType())])
+                columns = [row_column.slice(i, len(texts)), pa.array(out, pa.binary())]
+                if decode_to:
+                    columns.append(pa.array([enc.decoded(x) for x in out], pa.binary()).cast(pa.string()))
+                yield pa.RecordBatch.from_arrays(columns, names=["row", "ids", "text"][: len(columns)])
+
+    if decode_to:
+        check_decoder(vocabulary.value)
+    schema = T.StructType([rows.schema["row"], T.StructField("ids", T.BinaryType()), *([T.StructField("text", T.StringType())] if decode_to else [])])
     done = packed.join(ready, "k", "left").mapInArrow(assemble, schema)
-    return done.select(*[F.col("row")[c].alias(c) for c in rows.schema["row"].dataType.names], "ids")
+    return done.select(*[F.col("row")[c].alias(c) for c in rows.schema["row"].dataType.names], "ids", *([F.col("text").alias(decode_to)] if decode_to else []))
+
+
+def check_decoder(tokenizer_json: str) -> None:
+    assert '"decoder":null' in tokenizer_json.replace(" ", "").replace("\n", ""), "a decoder step is not supported"
 
 
 def decode_corpus(spark: SparkSession, encoded: DataFrame, tokenizer: str, ids: str = "ids", to: str = "decoded") -> DataFrame:
@@ -265,17 +332,17 @@ def decode_corpus(spark: SparkSession, encoded: DataFrame, tokenizer: str, ids:
     between each two. Null or empty ids: the empty text.
     """
     vocabulary = spark.sparkContext.broadcast(open(tokenizer, encoding="utf-8").read())
-    assert '"decoder":null' in vocabulary.value.replace(" ", "").replace("\n", ""), "a decoder step is not supported"
+    check_decoder(vocabulary.value)
     at = encoded.columns.index(ids)
     schema = T.StructType([*encoded.schema.fields, T.StructField(to, T.StringType())])
 
     def decode(batches):
-        table = encoder(vocabulary.value).table
+        enc = encoder(vocabulary.value)
         for batch in batches:
             column = batch.column(at)
             for i in range(0, batch.num_rows, 256):
                 part = batch.slice(i, 256)
-                texts = [b" ".join(map(table.__getitem__, np.frombuffer(x.as_py() or b"", dtype="<u4").tolist())) for x in column.slice(i, 256)]
+                texts = [enc.decoded(x.as_py() or b"") for x in column.slice(i, 256)]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.binary()).cast(pa.string())], names=[*batch.schema.names, to])
 
     return encoded.mapInArrow(decode, schema)

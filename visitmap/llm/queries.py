@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from visitmap.llm import chat_windows, fill_middle, graph_ann, hard_negatives, mixing, pii_crf, quality_classifier, quality_rules, toxic_spans
 from visitmap.llm.bwt_dedup import dedup_by_merged_transforms
-from visitmap.llm.chunk_bpe import decode_corpus, encode_corpus
+from visitmap.llm.chunk_bpe import encode_corpus
 from visitmap.llm.jaccard_join import JaccardJoin
 from visitmap.llm.rlz_dedup import dedup_by_parsing
 
@@ -39,8 +39,7 @@ def op3_pruned_graph_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_chunk_reuse_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = word_bpe()
-    out = decode_corpus(spark, encode_corpus(spark, table(spark, sf_dir, "documents"), path), path)
+    out = encode_corpus(spark, table(spark, sf_dir, "documents"), word_bpe(), decode_to="decoded")
     return out.select("doc_id", F.expr("octet_length(ids) div 4").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
                       F.sha2("decoded", 256).alias("decoded_sha256"))
 

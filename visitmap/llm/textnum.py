@@ -27,17 +27,20 @@ BYTE_VALUES = np.random.default_rng(20240229).integers(1, 2**63, 256).astype(np.
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
+KEPT_POWERS = 1 << 20
+
+
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """B**j and B**-j for j in 0..n, kept per size class."""
-    size = 1 << max(12, int(n).bit_length())
-    if size not in _powers:
-        if len(_powers) > 4:
-            _powers.clear()
+    """B**j and B**-j for j in 0..n. One table is kept, the largest so far up to ``KEPT_POWERS``."""
+    p, q = _powers.get(0, (np.zeros(0), np.zeros(0)))
+    if len(p) <= n:
+        size = 1 << max(16, int(n).bit_length())
         one = np.full(size, _BASE, dtype=np.uint64)
         inv = np.full(size, _INV, dtype=np.uint64)
         one[0] = inv[0] = 1
-        _powers[size] = np.multiply.accumulate(one), np.multiply.accumulate(inv)
-    p, q = _powers[size]
+        p, q = np.multiply.accumulate(one), np.multiply.accumulate(inv)
+        if size <= KEPT_POWERS:
+            _powers[0] = p, q
     return p[: n + 1], q[: n + 1]
 
 
@@ -100,6 +103,7 @@ def word_bounds(body: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndar
 def word_hashes(body: np.ndarray, starts: np.ndarray, ends: np.ndarray, fold: bool = False, step: int = 1 << 18) -> np.ndarray:
     """A 64-bit hash of every word's bytes; ``fold`` lower-cases A-Z first."""
     out = np.empty(len(starts), dtype=np.uint64)
+    starts = np.asarray(starts)
     values = BYTE_VALUES
     if fold:
         values = values.copy()
@@ -108,6 +112,14 @@ def word_hashes(body: np.ndarray, starts: np.ndarray, ends: np.ndarray, fold: bo
     while i < len(starts):
         j = max(i + 1, int(np.searchsorted(ends, starts[i] + step, side="right")))
         a, b = int(starts[i]), int(ends[j - 1])
+        if b - a > 2 * step:  # one long word: its pieces' sums, each moved to its place
+            whole = 0
+            for at in range(a, b, step):
+                part = values[body[at: min(at + step, b)]]
+                whole += int((part * powers(len(part))[0][: len(part)]).sum(dtype=np.uint64)) * pow(_BASE, at - a, 1 << 64)
+            out[i] = mix(np.array([(whole + b - a) & ((1 << 64) - 1)], dtype=np.uint64))[0]
+            i = j
+            continue
         p, q = powers(b - a)
         total = np.empty(b - a + 1, dtype=np.uint64)
         total[0] = 0
