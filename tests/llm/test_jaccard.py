@@ -1,10 +1,13 @@
 import random
 
+import numpy as np
+import pandas as pd
 import pytest
 
 from tests.llm import brute
+from visitmap.llm.blocks import write_blocks
 from visitmap.llm.components import components
-from visitmap.llm.jaccard_join import JaccardJoin, keep_one_of_each
+from visitmap.llm.jaccard_join import JaccardJoin, classes_of, classify_tokens, count_messages, keep_one_of_each, node_of
 
 
 def corpus():
@@ -73,3 +76,32 @@ def test_long_chains_and_empty_input(spark):
     assert got == {(0, 121), (1000, 3)}
     assert components(spark, chain.limit(0)).count() == 0
     assert JaccardJoin(spark, spark.createDataFrame([], "doc_id long, text string")).members().count() == 0
+
+
+def test_keys_for_any_number_of_buckets():
+    rng = np.random.default_rng(6)
+    tokens = np.unique(rng.integers(0, 1 << 48, 3000).astype(np.uint64))
+    tokens = np.concatenate((tokens, tokens[:500], tokens[:100]))  # 500 tokens twice, 100 of them three times
+    for bits in (6, 16, 17, 20, 32):
+        sent = count_messages(5, tokens, bits).to_pylist()
+        assert max(m["bucket"] for m in sent) < 1 << bits
+        reduce = classify_tokens(2)
+        back = [m for b in {m["bucket"] for m in sent} for m in reduce((b,), pd.DataFrame([m for m in sent if m["bucket"] == b])).to_dict("records")]
+        count = np.bincount(np.unique(tokens, return_inverse=True)[1])[np.unique(tokens, return_inverse=True)[1]]
+        assert (classes_of(tokens, back, bits) == (count > 1).astype(int) + (count > 2)).all()
+
+
+def test_node_numbers_are_checked():
+    blocks = [(0, 0), (0, 1), (1, 0), ((1 << 20) - 1, (1 << 21) - 1)]
+    nodes = np.concatenate([node_of((p << 32) | s, np.array([0, (1 << 22) - 1])) for p, s in blocks])
+    assert len(set(nodes.tolist())) == 8 and nodes.min() >= 0
+    for block, index in (((1 << 20) << 32, 0), (1 << 21, 0), (0, 1 << 22)):
+        with pytest.raises(ValueError):
+            node_of(block, np.array([index]))
+
+
+def test_blocks_of_empty_texts_end(spark):
+    docs = spark.range(1000).selectExpr("id as doc_id", "'' as text").coalesce(1)
+    blocks = write_blocks(spark, docs, "empty-blocks", words=True, block_docs=64)
+    sizes = [r.n_docs for r in blocks.collect()]
+    assert sum(sizes) == 1000 and max(sizes) <= 64

@@ -18,6 +18,7 @@ from visitmap.llm.textnum import pack_ints, slices, string_column, unpack_ints,
 from visitmap.llm.scratch import scratch_path
 
 BLOCK_BYTES = 4 << 20
+BLOCK_DOCS = 1 << 20
 SCHEMA = "block long, size long, n_docs long, ids binary, known binary, offs binary, body binary"
 COLUMNS = ["block", "ids", "known", "offs", "body"]
 
@@ -38,21 +39,22 @@ def squeeze_words(body: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.nd
 
 
 def write_blocks(spark: SparkSession, docs: DataFrame, name: str, key: str = "doc_id", text: str = "text",
-                 words: bool = False, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+                 words: bool = False, block_bytes: int = BLOCK_BYTES, block_docs: int = BLOCK_DOCS) -> DataFrame:
     """Write ``docs`` as blocks and read them back.
 
     ``words`` keeps only the words, one space after each. A null text is empty, a
-    null id stays null. One document larger than ``block_bytes`` is a block alone.
+    null id stays null. One document larger than ``block_bytes`` is a block alone; a block of short
+    or empty texts ends after ``block_docs`` of them.
     """
     def pack(batches):
         from pyspark import TaskContext
 
         part, seq = TaskContext.get().partitionId(), 0
         squash = zstandard.ZstdCompressor(level=3)
-        held, size = [], 0
+        held, size, docs_held = [], 0, 0
 
         def block():
-            nonlocal held, size, seq
+            nonlocal held, size, docs_held, seq
             ids = np.concatenate([x[0] for x in held])
             known = np.concatenate([x[1] for x in held])
             body = np.concatenate([x[2] for x in held])
@@ -63,7 +65,7 @@ def write_blocks(spark: SparkSession, docs: DataFrame, name: str, key: str = "do
                 pa.array([ids.tobytes()], pa.binary()), pa.array([np.packbits(known).tobytes()], pa.binary()),
                 pa.array([pack_ints(offs)], pa.binary()), pa.array([squash.compress(body.tobytes())], pa.binary())],
                 names=["block", "size", "n_docs", "ids", "known", "offs", "body"])
-            held, size, seq = [], 0, seq + 1
+            held, size, docs_held, seq = [], 0, 0, seq + 1
             return row
 
         for batch in batches:
@@ -71,13 +73,14 @@ def write_blocks(spark: SparkSession, docs: DataFrame, name: str, key: str = "do
             key_column = batch.column(0)
             known = ~np.asarray(key_column.is_null())
             ids = np.asarray(key_column.fill_null(0)).astype(np.int64)
-            for i, j in slices(offs, block_bytes // 4):
+            for i, j in ((k, min(k + block_docs, j)) for i, j in slices(offs, block_bytes // 4) for k in range(i, j, block_docs)):
                 b, o = body[offs[i]: offs[j]], offs[i: j + 1] - offs[i]
                 if words:
                     b, o = squeeze_words(b, o)
                 held.append((ids[i:j], known[i:j], b.copy(), o))
                 size += len(b)
-                if size >= block_bytes * 3 // 4:
+                docs_held += j - i
+                if size >= block_bytes * 3 // 4 or docs_held >= block_docs:
                     yield block()
         if held:
             yield block()

@@ -40,12 +40,22 @@ SETS = "block long, size long, nodes binary, offs binary, tokens binary, alone b
 LIVE = "node long, n int, common int, tokens binary, keys array<long>, parity array<long>"
 PARITY_WORDS = 16
 TOKEN_BITS = 48
+MOST_BITS = 32  # of a bucket's number
 SAMPLE = 4  # a quarter of the tokens, by hash, tells most unlinked documents
 
 
 def node_of(block: int, index: np.ndarray) -> np.ndarray:
     """One number for a block's document: 20 bits of partition, 21 of block, 22 of place."""
-    return ((block >> 32) << 43) + ((block & 0xFFFFFFFF) << 22) + np.asarray(index, dtype=np.int64)
+    part, seq, index = block >> 32, block & 0xFFFFFFFF, np.asarray(index, dtype=np.int64)
+    if part >> 20 or seq >> 21 or (len(index) and int(index.max()) >> 22):
+        raise ValueError(f"partition {part}, block {seq}: beyond the node numbers' 20, 21 and 22 bits; read the documents in fewer partitions")
+    return (part << 43) + (seq << 22) + index
+
+
+def bucket_key(tokens: np.ndarray, bits: int) -> tuple[np.ndarray, int]:
+    """A token's upper bits, ``bits`` of bucket and the next ones below, up to 32, and the number of these."""
+    low = min(32, TOKEN_BITS - bits)
+    return tokens >> _U(TOKEN_BITS - bits - low), low
 
 
 def shingle_sets(body: np.ndarray, offs: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -77,8 +87,9 @@ def segment_sum(x: np.ndarray, offs: np.ndarray) -> np.ndarray:
 
 def count_messages(block: int, tokens: np.ndarray, bits: int) -> pa.RecordBatch:
     """A block's different tokens by bucket, each with the number of its documents (up to 255)."""
-    key, docs = np.unique(tokens >> _U(TOKEN_BITS - 32 - bits), return_counts=True)
-    buckets, low = (key >> _U(32)).astype(np.int64), key.astype(np.uint32)
+    key, low_bits = bucket_key(tokens, bits)
+    key, docs = np.unique(key, return_counts=True)
+    buckets, low = (key >> _U(low_bits)).astype(np.int64), (key & _U((1 << low_bits) - 1)).astype(np.uint32)
     docs = np.minimum(docs, 255).astype(np.uint8)
     return batch(_arrow(COUNTS), [(b, block, pack_ints(np.diff(low[i:j], prepend=np.uint32(0))), docs[i:j].tobytes()) for b, i, j in bucket_slices(buckets)])
 
@@ -97,7 +108,7 @@ def classify_tokens(rare: int):
 
 def classes_of(tokens: np.ndarray, messages: list, bits: int) -> np.ndarray:
     """The classes that came back, for a block's tokens in their own order."""
-    _, at = np.unique(tokens >> _U(TOKEN_BITS - 32 - bits), return_inverse=True)
+    _, at = np.unique(bucket_key(tokens, bits)[0], return_inverse=True)
     return np.concatenate([np.frombuffer(m["classes"], np.uint8) for m in sorted(messages, key=lambda m: m["bucket"])])[at]
 
 
@@ -194,7 +205,7 @@ class JaccardJoin:
             raise ValueError("percent is from 60 to 100")
         self.spark, self.percent = spark, percent
         blocks = written = write_blocks(spark, docs, "jaccard-blocks", key, text, words=True, block_bytes=block_bytes)
-        bits = bucket_count(blocks, bucket_bytes).bit_length() - 1
+        bits = min(MOST_BITS, bucket_count(blocks, bucket_bytes).bit_length() - 1)
         blocks = blocks.select(*COLUMNS)
         short = _U(64 - TOKEN_BITS)
 
@@ -244,7 +255,7 @@ class JaccardJoin:
         flags = blocks.mapInArrow(count_sample, COUNTS).groupBy("bucket").applyInPandas(classify_tokens(rare), CLASSES)
         sets = self._written(with_messages(blocks, flags, ["bucket", "classes"]).join(chosen, "block", "left").mapInArrow(keep_sets, SETS), "jaccard-sets", SETS)
         drop_table(spark, written)
-        bits = bucket_count(sets, bucket_bytes).bit_length() - 1
+        bits = min(MOST_BITS, bucket_count(sets, bucket_bytes).bit_length() - 1)
 
         def count_all(batches):
             for row in rows_of(batches):
