@@ -30,7 +30,7 @@ from visitmap.llm.scratch import scratch_path
 SPAN = 24
 CHUNK_BYTES = 1024
 MOST_BYTES = 1 << 16
-CACHED = 100_000
+CACHED = 200_000
 
 
 def cut_chunks(body: np.ndarray, offs: np.ndarray, average: int = CHUNK_BYTES, most: int = MOST_BYTES, piece: int = 1 << 18) -> tuple[np.ndarray, np.ndarray]:
