@@ -3,6 +3,12 @@
 Every stage takes (spark, docs, sf_dir) and returns a DataFrame; it is written as
 Parquet and read again as the next stage's documents. All stages but the last
 return the columns they were given.
+
+Odd rows, in every stage: a null text counts as empty and, having under 20 words, goes with the quality
+rules; null languages and sources are groups like any other; rows with null or repeated ids are
+rows of their own, and of repeated rows one stays; texts of any length go through whole;
+columns beyond those of documents are carried along whatever they are called, up to the last stage; an
+empty table gives empty tables.
 """
 
 from __future__ import annotations
@@ -41,7 +47,7 @@ def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document's ids, their number, and the text they decode to."""
     path = word_bpe()
     carry = [c for c in ("lang", "source", "n_chars") if c in docs.columns]
-    out = chunk_bpe.decode_corpus(spark, chunk_bpe.encode_corpus(spark, docs, path, carry=carry), path)
+    out = chunk_bpe.encode_corpus(spark, docs, path, carry=carry, decode_to="decoded")
     return out.withColumn("n_tokens", F.expr("octet_length(ids) div 4"))
 
 
