@@ -38,6 +38,22 @@ def test_odd_rows_and_targets(spark):
     assert sorted(map(str, again.collect())) == sorted(map(str, got))
 
 
+def test_null_ids_are_spread_and_copies_have_places_of_their_own(spark):
+    texts = [f"word{i} " * (i % 7) for i in range(3000)]
+    rows = [(i if i % 3 else None, t, None, "x", 1, 1, 1) for i, t in enumerate(texts)] + [(None, "a copy", None, "x", 1, 1, 1)] * 2000
+    mix = Mix(spark, spark.createDataFrame(rows, SCHEMA), block_words=10)
+    lines = mix.lines.collect()
+    assert len(lines) == len(rows)
+    places = sorted((r.start, r.start + r.size) for r in lines if r["size"])
+    assert places[0][0] == 0 and all(a[1] == b[0] for a, b in zip(places, places[1:]))
+    by = mix.lines.where("doc_id is null and size not in (0, 2)").groupBy("h", "tie").count().agg(F.max("count"), F.count("*")).first()
+    assert by[0] <= 30 and by[1] > 200
+    taken = mix.taken().agg(F.sum("taken"), F.count("*")).first()
+    assert tuple(taken) == (sum(len(t.split()) for _, t, *_ in rows), len(rows))
+    out = mix_documents(spark, spark.createDataFrame(rows, SCHEMA), block_words=10)
+    assert out.agg(F.sum(F.size(word_array(F.col("text"))))).first()[0] == taken[0]
+
+
 def test_every_stretch_of_the_schedule_holds_the_weights(spark):
     docs = spark.createDataFrame([(i, "w " * 50, None, f"s{i % 3}", 1, 1, 1) for i in range(300)], SCHEMA)
     mix = Mix(spark, docs, block_words=10)

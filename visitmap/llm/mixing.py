@@ -80,6 +80,26 @@ def van_der_corput(i: Column, n: Column) -> Column:
     return F.floor(turned * n.cast("decimal(18,0)") / F.lit(1 << POINT_BITS).cast("decimal(20,0)")).cast("long")
 
 
+def line_places(named: DataFrame, digits: int, most: int = 1 << 16) -> DataFrame:
+    """Add ``start``, the words before a row in its source's line, ordered by ``h``.
+
+    Rows of one ``h`` (null or repeated ids, however many) are spread by ``tie``, a hash of size and
+    text. Rows alike in all of it stand in one row with their number, and get their places at the end.
+    """
+    alike = named.groupBy("src", "source", "source_size", "target", "h", "doc_id", "size", "same").agg(F.count("*").alias("n"))
+    alike = (alike.withColumn("words", F.col("n") * F.col("size")).withColumn("bucket", F.substring("h", 1, digits))
+             .withColumn("tie", F.substring(F.md5(F.concat_ws(":", F.lit(0), "size", "same")), 1, digits)))
+    group = ["src", "bucket", "h", "tie"]
+    before = Window.partitionBy(*group).orderBy("doc_id", "size", "same").rowsBetween(Window.unboundedPreceding, -1)
+    inside = alike.withColumn("inside", F.coalesce(F.sum("words").over(before), F.lit(0)))
+    groups = running_total(alike.groupBy(*group).agg(F.sum("words").alias("group_words")), ["src"], "bucket", [F.col("h"), F.col("tie")], "group_words", "base")
+    rows = inside.join(groups.drop("group_words"), group)
+    rows = rows.withColumn("part", F.explode(F.expr(f"sequence(0, (n - 1) div {most})")))
+    rows = rows.withColumn("copy", F.explode(F.expr(f"sequence(part * {most}, least(n, (part + 1) * {most}) - 1)")))
+    return (rows.withColumn("start", F.col("base") + F.col("inside") + F.col("copy") * F.col("size"))
+            .select("src", "source", "source_size", "target", "h", "tie", "doc_id", "size", "same", "start"))
+
+
 class Mix:
     """A mix of ``docs``: ``sources``, ``lines`` (the documents' places), ``slots``, ``pieces``.
 
@@ -111,8 +131,7 @@ class Mix:
                      .withColumn("passes", F.expr("quota div source_size")).withColumn("rest", F.expr("quota % source_size"))
                      .withColumn("blocks", whole).withColumn("need", F.expr(f"passes * blocks + (rest + {block_words - 1}) div {block_words}")))
         named = sized.join(self.sources.select(F.col("source").alias("of"), "src", "source_size", "target"), F.col("source").eqNullSafe(F.col("of"))).drop("of")
-        named = named.withColumn("bucket", F.substring("h", 1, digits))
-        self.lines = running_total(named, ["src"], "bucket", [F.col("h"), F.col("doc_id"), F.col("size"), F.col("same")], "size", "start").drop("bucket")
+        self.lines = line_places(named, digits)
 
     def slots(self) -> DataFrame:
         """The schedule: slot, src, nth (of its source), pass, block, and the words [first, last) of the source's line."""
@@ -158,8 +177,8 @@ class Mix:
                 .groupBy("src", "block").agg(F.sum(whole.cast("long")).alias("times"), F.max(F.when(~whole, F.col("last"))).alias("stop")))
         cut = self.pieces().join(used, ["src", "block"], "left")
         words = F.coalesce(F.col("times"), F.lit(0)) * (F.col("to") - F.col("from")) + F.greatest(F.least(F.col("to"), F.coalesce("stop", F.lit(0))) - F.col("from"), F.lit(0))
-        keys = ["src", "start", "doc_id", "size", "source", "source_size", "target"]
-        taken = cut.groupBy(*keys).agg(F.sum(words).alias("taken"))
+        keys = ["src", "start", "doc_id", "size", "same", "source", "source_size", "target"]
+        taken = cut.groupBy(*keys).agg(F.sum(words).alias("taken"))  # copies of a row differ in start
         return taken.unionByName(self.lines.where("size = 0").select(*keys, F.lit(0).cast("long").alias("taken")))
 
 
@@ -171,14 +190,14 @@ def mix_documents(spark: SparkSession, docs: DataFrame, key: str = "doc_id", tex
     Documents the mix takes nothing of are left out. See ``Mix`` for odd input.
     """
     taken = Mix(spark, docs, key, text, source, **more).taken()
-    # Rows equal in id, source and size are told apart by what is taken of each, in any order.
-    same = Window.partitionBy("_id", "_source", "_size").orderBy(F.col("_h"))
+    # Rows equal in id, source and text are told apart by what is taken of each, in any order.
+    same = Window.partitionBy("_id", "_source", "_size", "_h").orderBy(F.col("_h"))
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(key).alias("_id"), F.col(source).alias("_source"),
                        F.size(word_array(F.col(text))).cast("long").alias("_size"), F.xxhash64(F.col(text)).alias("_h"))
-    rows = rows.withColumn("_n", F.row_number().over(same))
-    counts = taken.where("taken > 0").withColumn("n", F.row_number().over(Window.partitionBy("doc_id", "source", "size").orderBy("start")))
-    on = F.col("_id").eqNullSafe(F.col("doc_id")) & F.col("_source").eqNullSafe(F.col("source")) & (F.col("_size") == F.col("size")) & (F.col("_n") == F.col("n"))
-    rows = rows.join(counts.select("doc_id", "source", "size", "n", "taken"), on)
+    rows = rows.where("_size > 0").withColumn("_n", F.row_number().over(same))
+    counts = taken.where("taken > 0").withColumn("n", F.row_number().over(Window.partitionBy("doc_id", "source", "size", "same").orderBy("start")))
+    on = F.col("_id").eqNullSafe(F.col("doc_id")) & F.col("_source").eqNullSafe(F.col("source")) & (F.col("_size") == F.col("size")) & (F.col("_h") == F.col("same")) & (F.col("_n") == F.col("n"))
+    rows = rows.join(counts.select("doc_id", "source", "size", "same", "n", "taken"), on)
     rows = rows.withColumn("_part", F.expr("taken % size")).withColumn("_copy", F.explode(F.expr("sequence(1, (taken + size - 1) div size)")))
     cut = (F.col("_part") > 0) & (F.col("_copy") > F.expr("taken div size"))
     cut_text = F.when(cut, F.array_join(F.slice(word_array(F.col("row")[text]), F.lit(1), F.greatest(F.col("_part"), F.lit(1)).cast("int")), " ")).otherwise(F.col("row")[text])
