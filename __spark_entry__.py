@@ -4,7 +4,7 @@ Every query reads the driver's tables (or a Spark projection of them, see
 ``visitmap.sources.fixtures``) whole. Windows are the job's own date windows,
 not sampling. Arrays leave a query as text plus size, and every time value is
 TIMESTAMP_NTZ or DATE, so results do not depend on the session time zone.
-Queries q19-q22, q27, q29-q33 and q35-q40 write to fresh folders under the session's
+Queries q19-q22, q27, q29-q33, q35-q40, q43 and q44 write to fresh folders under the session's
 checkpoint dir and return what they read back.
 """
 
@@ -47,16 +47,21 @@ from visitmap.plans.ledger import Ledger  # noqa: E402
 from visitmap.plans.moves import Places  # noqa: E402
 from visitmap.plans.rerun import backfill_run, run_window  # noqa: E402
 from visitmap.plans.visit_map_sql import build_visit_map_sql  # noqa: E402
+from visitmap.schemas import output_schema  # noqa: E402
 from visitmap.session import scratch_path  # noqa: E402
 from visitmap.sinks import (  # noqa: E402
+    compact_dates,
     create_export_table,
     create_target_table,
+    evolve_table,
     export_orc,
     insert_overwrite_by_name,
     overwrite_partitions,
     publish_export_table,
+    read_evolved,
     replace_export_table,
 )
+from visitmap.sinks.compact import file_sizes  # noqa: E402
 from visitmap.sinks.prints import DatePrints  # noqa: E402
 from visitmap.sinks.tables import table_location  # noqa: E402
 from visitmap.sources.rejects import Rejects  # noqa: E402
@@ -444,6 +449,35 @@ def q42_table_differences(spark, sf_dir):
     return differences(orders, other.unionAll(again).drop("o_orderkey"))
 
 
+def q43_compacted_dates(spark, sf_dir):
+    """Dates written in many small files, then compacted: the same rows, and how many files each row's date has."""
+    cus, msg = _inputs(spark, sf_dir, "events")
+    path = scratch_path(spark, "q43")
+    rows = build_visit_map(cus, msg, EVENT_RUN_A, build_ts=BUILD_TS)
+    overwrite_partitions(rows.repartition(8, "visit_guid"), path, rebalance=False)
+    compact_dates(spark, path, at_least=2)
+    files = file_sizes(spark, path).groupBy("rpt_mst_date").agg(F.count("*").alias("files"))
+    return _read_target(spark, path).join(files, "rpt_mst_date")
+
+
+def q44_grown_contract(spark, sf_dir):
+    """A target whose contract gets a column, then a wider type and one more: old and new dates read together."""
+    def contract(*more):
+        *fields, day = output_schema(T.TimestampNTZType()).fields
+        return T.StructType([*fields, *more, day])
+
+    table, path = f"visitmap_target_{uuid.uuid4().hex}", scratch_path(spark, "q44")
+    create_target_table(spark, table, path, time_type=T.TimestampNTZType())
+    rows = q17_visit_map_left_window(spark, sf_dir).withColumn("guid_chars", F.length("visit_guid"))
+    evolve_table(spark, table, contract(T.StructField("guid_chars", T.IntegerType())))
+    insert_overwrite_by_name(spark, rows.where(F.col("rpt_mst_date") < date(1998, 1, 1)), table)
+    latest = contract(T.StructField("guid_chars", T.LongType()), T.StructField("has_app", T.BooleanType()))
+    evolve_table(spark, table, latest)
+    insert_overwrite_by_name(spark, rows.where(F.col("rpt_mst_date") >= date(1998, 1, 1)).withColumn("has_app", F.col("app_id").isNotNull()), table)
+    spark.sql("DROP TABLE IDENTIFIER(:t)", args={"t": table})  # external: the files stay
+    return read_evolved(spark, path, latest)
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -458,6 +492,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         q32_rerun_empties_a_date, q33_closed_window_job, q34_zoned_text,
         q35_moved_conversations, q36_bad_times_good_rows, q37_bad_times_rejects, q38_export_without_gap,
         q39_only_changed_dates, q40_resumed_backfill, q41_zoned_text_window, q42_table_differences,
+        q43_compacted_dates, q44_grown_contract,
     )
 }
 
@@ -732,6 +767,11 @@ b AS (SELECT o_custkey, CASE WHEN o_orderkey % 89 = 5 THEN NULL ELSE o_orderstat
 n AS (SELECT o_custkey, o_orderstatus, o_totalprice, sum(l)::BIGINT AS n_left, sum(r)::BIGINT AS n_right
       FROM (SELECT o_custkey, o_orderstatus, o_totalprice, 1 AS l, 0 AS r FROM a UNION ALL SELECT *, 0, 1 FROM b) GROUP BY ALL)
 SELECT * FROM n WHERE n_left <> n_right""",
+    "q43_compacted_dates": f"""SELECT *, 1::BIGINT AS files FROM (
+{_visit_map_sql(_EVENTS_FIXTURE, _IN_EVENT_RUN_A, _STAMP)})""",
+    "q44_grown_contract": f"""SELECT *, CAST(length(visit_guid) AS BIGINT) AS guid_chars,
+       CASE WHEN rpt_mst_date >= DATE '1998-01-01' THEN app_id IS NOT NULL END AS has_app FROM (
+{_visit_map_sql(_ORDERS_FIXTURE, _IN_WINDOW_CUS, _STAMP)})""",
     "q24_distinct_sql_helper": f"""{_ORDERS_FIXTURE}
 SELECT DISTINCT conversation_id, account_id, visitor_app_id AS app_id, conversation_source, visitor_device_type
 FROM msg""",
