@@ -4,7 +4,7 @@ Every query reads the driver's tables (or a Spark projection of them, see
 ``visitmap.sources.fixtures``) whole. Windows are the job's own date windows,
 not sampling. Arrays leave a query as text plus size, and every time value is
 TIMESTAMP_NTZ or DATE, so results do not depend on the session time zone.
-Queries q19-q22, q27, q29-q33, q35-q40, q43 and q44 write to fresh folders under the session's
+Queries q19-q22, q27, q29-q33, q35-q40 and q43-q45 write to fresh folders under the session's
 checkpoint dir and return what they read back.
 """
 
@@ -43,6 +43,7 @@ from visitmap.job import parse_args as job_args  # noqa: E402
 from visitmap.job import run as run_job  # noqa: E402
 from visitmap.operators.dedupe import register_view  # noqa: E402
 from visitmap.plans import scheduled_visit_map  # noqa: E402
+from visitmap.plans.layout import append_layout, create_layout  # noqa: E402
 from visitmap.plans.ledger import Ledger  # noqa: E402
 from visitmap.plans.moves import Places  # noqa: E402
 from visitmap.plans.rerun import backfill_run, run_window  # noqa: E402
@@ -478,6 +479,21 @@ def q44_grown_contract(spark, sf_dir):
     return read_evolved(spark, path, latest)
 
 
+def q45_laid_out_messaging(spark, sf_dir):
+    """The command-line job over messaging laid out by conversation in two steps, some rows twice, conversations of 7 lines apart."""
+    cus, msg = _inputs(spark, sf_dir)
+    path, name, view = scratch_path(spark, "q45"), f"visitmap_messaging_{uuid.uuid4().hex}", register_view(cus)
+    shipped = F.col("conversation_end_utc_date")
+    layout = create_layout(spark, msg.where(shipped < date(1997, 7, 1)), name, scratch_path(spark, "q45-layout"), buckets=8, hot_rows=6)
+    append_layout(spark, layout, msg.where((shipped >= date(1997, 6, 1)) | shipped.isNull()), hot_rows=6)
+    run_job(spark, job_args(["--customer", view, "--messaging-layout", name, "--target-path", path, "--window-mode", "closed",
+                             "--as-of", SCHEDULED_AS_OF.isoformat(), "--build-ts", BUILD_TS]))
+    spark.catalog.dropTempView(view)
+    for table in (layout.name, layout.hot_name):
+        spark.sql("DROP TABLE IDENTIFIER(:t)", args={"t": table})  # external: the files stay
+    return _read_target(spark, path)
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -492,7 +508,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         q32_rerun_empties_a_date, q33_closed_window_job, q34_zoned_text,
         q35_moved_conversations, q36_bad_times_good_rows, q37_bad_times_rejects, q38_export_without_gap,
         q39_only_changed_dates, q40_resumed_backfill, q41_zoned_text_window, q42_table_differences,
-        q43_compacted_dates, q44_grown_contract,
+        q43_compacted_dates, q44_grown_contract, q45_laid_out_messaging,
     )
 }
 
@@ -772,6 +788,11 @@ SELECT * FROM n WHERE n_left <> n_right""",
     "q44_grown_contract": f"""SELECT *, CAST(length(visit_guid) AS BIGINT) AS guid_chars,
        CASE WHEN rpt_mst_date >= DATE '1998-01-01' THEN app_id IS NOT NULL END AS has_app FROM (
 {_visit_map_sql(_ORDERS_FIXTURE, _IN_WINDOW_CUS, _STAMP)})""",
+    "q45_laid_out_messaging": _visit_map_sql(
+        _ORDERS_FIXTURE,
+        "c.conversation_end_utc_date >= TIMESTAMP '1997-06-01 00:00:00' "
+        "AND c.conversation_end_utc_date <= TIMESTAMP '1997-06-11 00:00:00'",
+        _STAMP),
     "q24_distinct_sql_helper": f"""{_ORDERS_FIXTURE}
 SELECT DISTINCT conversation_id, account_id, visitor_app_id AS app_id, conversation_source, visitor_device_type
 FROM msg""",

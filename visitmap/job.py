@@ -7,7 +7,8 @@ table names) is an argument here. One run:
    a history backfill, read as whole MST report days unless ``--window-mode`` says
    otherwise (``closed`` reads DATE or midnight values as the original job does);
 2. builds the visit map from the two inputs (catalog tables or Parquet paths),
-   over a written slice of the window's customer rows;
+   over a written slice of the window's customer rows; with ``--messaging-layout`` messaging is
+   joined where it lies (``plans.layout``);
 3. overwrites the report-date partitions it produced in the target (a
    Parquet folder, or a catalog table created on first use) and empties those of
    the window that no longer have rows;
@@ -35,6 +36,7 @@ from visitmap import session
 from visitmap.functions.timefns import mst_now, stamp_text
 from visitmap.functions.window import DEFAULT_LOOKBACK_DAYS, HISTORY_START, DateWindow
 from visitmap.operators.project import conform
+from visitmap.plans.layout import MessagingLayout
 from visitmap.plans.ledger import Ledger
 from visitmap.plans.moves import Places
 from visitmap.plans.rerun import backfill_run, run_window
@@ -60,7 +62,8 @@ def _source(spark: SparkSession, name: str) -> DataFrame:
 def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     p = argparse.ArgumentParser(prog="visitmap", description=__doc__.splitlines()[0])
     p.add_argument("--customer", required=True, help="customer messaging table or Parquet path")
-    p.add_argument("--messaging", required=True, help="messaging table or Parquet path")
+    p.add_argument("--messaging", help="messaging table or Parquet path")
+    p.add_argument("--messaging-layout", help="messaging laid out by create_layout, instead of --messaging (customer-side window only)")
     p.add_argument("--target-path", help="Parquet folder of the partitioned target")
     p.add_argument("--target-table", help="catalog table of the target (created if missing)")
     p.add_argument("--target-location", help="location for a new --target-table")
@@ -90,6 +93,10 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     args = p.parse_args(argv)
     if bool(args.target_path) == bool(args.target_table):
         p.error("give exactly one of --target-path and --target-table")
+    if bool(args.messaging) == bool(args.messaging_layout):
+        p.error("give exactly one of --messaging and --messaging-layout")
+    if args.messaging_layout and (args.sides == "both" or args.places_path or args.prints_path or args.ledger_path):
+        p.error("--messaging-layout goes with --sides left, without --places-path, --prints-path and --ledger-path")
     if args.window_mode != "report_days" and (args.places_path or args.prints_path or args.ledger_path):
         p.error("--places-path, --prints-path and --ledger-path need --window-mode report_days")
     if args.ledger_path and not args.backfill:
@@ -123,7 +130,8 @@ def _run(spark: SparkSession, args: argparse.Namespace) -> DateWindow:
         window = DateWindow.rolling(args.as_of, args.lookback_days, mode=args.window_mode)
     build_ts = args.build_ts or mst_now()          # one clock read per run
     log.info("visit map for %s %s..%s, build %s", window.mode, window.start, window.end, stamp_text(build_ts))
-    cus, msg = _source(spark, args.customer), _source(spark, args.messaging)
+    cus = _source(spark, args.customer)
+    msg = MessagingLayout(args.messaging_layout) if args.messaging_layout else _source(spark, args.messaging)
     rejects = Rejects(args.reject_path) if args.reject_path else None
     if args.places_path or args.prints_path or args.ledger_path:
         dates, written = _kept_run(spark, args, cus, msg, window, build_ts, rejects)

@@ -54,6 +54,7 @@ from visitmap.operators.explode import explode_ids
 from visitmap.operators.link import link
 from visitmap.operators.project import project_contract
 from visitmap.operators.stamp import add_build_stamp, add_report_date
+from visitmap.plans.layout import MessagingLayout, link_layout
 from visitmap.plans.slice import write_slice
 from visitmap.session import bloom_filter_conf
 from visitmap.sources.tables import scan_customer, scan_messaging
@@ -64,7 +65,7 @@ PREDEDUPE = ("auto", "messaging", "both", "none")
 
 def build_visit_map(
     cus: DataFrame | str,
-    msg: DataFrame | str,
+    msg: DataFrame | str | MessagingLayout,
     window: DateWindow | None = None,
     *,
     sides: str = "left",
@@ -77,7 +78,7 @@ def build_visit_map(
     ``sides="left"`` windows the customer side only (the scheduled script);
     ``"both"`` also windows messaging on its own end date (the class version).
     The two give different results when a conversation's messaging row ends
-    outside the window.
+    outside the window. A ``MessagingLayout`` holds no end dates, so it goes with ``"left"``.
     """
     if sides not in SIDES:
         raise ValueError(f"sides must be one of {SIDES}, not {sides!r}")
@@ -87,14 +88,19 @@ def build_visit_map(
         raise ValueError(f"prededupe must be one of {PREDEDUPE}, not {prededupe!r}")
     if prededupe == "auto":
         prededupe = "messaging" if (window is not None and sides == "left") else "both"
+    laid_out = isinstance(msg, MessagingLayout)
+    if laid_out and sides == "both":
+        raise ValueError("a messaging layout holds no end dates: sides must be 'left'")
     c = scan_customer(cus, window, spark)
-    m = scan_messaging(msg, window if sides == "both" else None, spark)
     if prededupe == "both":
         c = dedupe(c)
-    if prededupe != "none":
-        m = dedupe(m)
+    if laid_out:
+        linked = link_layout(c, msg, prededupe != "none")
+    else:
+        m = scan_messaging(msg, window if sides == "both" else None, spark)
+        linked = link(c, dedupe(m) if prededupe != "none" else m)
     return (
-        link(c, m)
+        linked
         .transform(explode_ids)
         .transform(dedupe)
         .transform(add_report_date)
@@ -106,7 +112,7 @@ def build_visit_map(
 def scheduled_visit_map(
     spark: SparkSession,
     cus: DataFrame | str,
-    msg: DataFrame | str,
+    msg: DataFrame | str | MessagingLayout,
     window: DateWindow,
     *,
     sides: str = "left",
@@ -117,7 +123,9 @@ def scheduled_visit_map(
 
     The settings size the runtime filter for the slice's exact number of rows (one
     a conversation, or a little more). They matter when the plan is made, so apply them
-    (``session.apply``) around the action.
+    (``session.apply``) around the action. A layout is read for the slice's conversations alone.
     """
     rows, count = write_slice(spark, cus, window)
+    if isinstance(msg, MessagingLayout):
+        msg = msg.for_slice(rows)
     return build_visit_map(rows, msg, window, sides=sides, build_ts=build_ts, prededupe=prededupe, spark=spark), bloom_filter_conf(count)
