@@ -164,3 +164,21 @@ def dedup_by_merged_transforms(spark: SparkSession, docs: DataFrame, length: int
     plan = Plan(length, gram, True, block_bytes_as_symbols, merge_contexts(length), hot_contexts)
     blocks = write_blocks(spark, docs, "bwt-blocks", key, text, block_bytes=block_bytes)
     return find_repeats(spark, blocks, plan, "bwt-status", bucket_bytes).mapInArrow(remove_bytes(length), SCHEMA)
+
+
+#: The registered query in DuckDB: strings of 50 bytes, bytes covered by one that starts in an earlier document.
+ORACLE = r"""
+WITH docs AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, doc_id, encode(coalesce(text, '')) AS b FROM documents),
+bytes AS MATERIALIZED (SELECT r, doc_id, b, octet_length(b) AS n, unnest(range(1, octet_length(b) + 1)) AS j FROM docs),
+windows AS (SELECT r, j, doc_id, CASE WHEN j + 49 <= n THEN md5(b[j:j + 49]) END AS s FROM bytes),
+starts AS (SELECT r, j, CASE WHEN s IS NOT NULL AND min(doc_id) OVER (PARTITION BY s) < doc_id THEN 1 ELSE 0 END AS starts FROM windows),
+marked AS (SELECT r, j, max(starts) OVER (PARTITION BY r ORDER BY j ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) AS gone FROM starts),
+edged AS (SELECT r, j, gone, lag(gone, 1, 0) OVER (PARTITION BY r ORDER BY j) AS before FROM marked),
+counted AS (
+  SELECT r, sum(gone) AS n_removed, count(*) FILTER (WHERE gone = 1 AND before = 0) AS n_spans,
+         string_agg(hex(b[j:j]), '' ORDER BY j) FILTER (WHERE gone = 0) AS kept
+  FROM edged JOIN docs USING (r) GROUP BY r)
+SELECT doc_id, octet_length(b)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+       sha256(unhex(coalesce(kept, ''))) AS kept_sha256
+FROM docs LEFT JOIN counted USING (r)"""

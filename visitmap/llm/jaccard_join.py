@@ -352,3 +352,26 @@ def keep_one_of_each(spark: SparkSession, docs: DataFrame, key: str = "doc_id",
     first = F.min(F.struct(F.col("key").isNull().alias("none"), "key", "id"))
     kept = named.groupBy("component_id").agg(first.alias("first")).select(F.col("first.id").alias("id"))
     return rows.join(kept, "id", "left_semi").select(*[F.col("row")[c].alias(c) for c in docs.columns])
+
+
+#: The registered query in DuckDB: equal sets as one class, classes that share a rare shingle compared, links closed step by step.
+ORACLE = r"""
+WITH RECURSIVE docs AS MATERIALIZED (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w FROM documents),
+sets AS MATERIALIZED (
+  SELECT doc_id, list_sort(list_distinct(CASE WHEN len(w) = 0 THEN []::VARCHAR[] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE [array_to_string(w[i:i + 2], ' ') for i in range(1, len(w) - 1)] END)) AS s FROM docs),
+classes AS MATERIALIZED (SELECT row_number() OVER () AS c, s, len(s) AS n, min(doc_id) AS first FROM sets WHERE len(s) > 0 GROUP BY s),
+tokens AS (SELECT c, n, t, count(*) OVER (PARTITION BY t) AS f FROM (SELECT c, n, unnest(s) AS t FROM classes)),
+prefixes AS MATERIALIZED (
+  SELECT c, n, t FROM tokens QUALIFY row_number() OVER (PARTITION BY c ORDER BY f, t) <= n - (9 * n + 9) // 10 + 1),
+pairs AS (SELECT DISTINCT a.c AS a, b.c AS b FROM prefixes a JOIN prefixes b ON a.t = b.t AND a.c < b.c AND 10 * least(a.n, b.n) >= 9 * greatest(a.n, b.n)),
+links AS MATERIALIZED (
+  SELECT a, b FROM (SELECT a, b, x.n + y.n AS n, len(list_intersect(x.s, y.s)) AS shared
+                    FROM pairs JOIN classes x ON x.c = a JOIN classes y ON y.c = b) WHERE 100 * shared >= 90 * (n - shared)),
+edges AS MATERIALIZED (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach(c, m) AS (SELECT c, c FROM classes UNION SELECT reach.c, edges.b FROM reach JOIN edges ON reach.m = edges.a),
+found AS (SELECT reach.c, min(first) AS component_id FROM reach JOIN classes ON classes.c = reach.m GROUP BY reach.c)
+SELECT doc_id, len(sets.s)::BIGINT AS n_shingles, coalesce(component_id, doc_id) AS component_id
+FROM sets LEFT JOIN (classes JOIN found USING (c)) ON classes.s = sets.s"""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from visitmap.llm import chat_windows, fill_middle, graph_ann, hard_negatives, mixing, pii_crf, quality_classifier, quality_rules, toxic_spans
+from visitmap.llm import bwt_dedup, chat_windows, fill_middle, graph_ann, hard_negatives, jaccard_join, mixing, pii_crf, quality_classifier, quality_rules, rlz_dedup, toxic_spans
 from visitmap.llm.bwt_dedup import dedup_by_merged_transforms
 from visitmap.llm.chunk_bpe import encode_corpus
 from visitmap.llm.jaccard_join import JaccardJoin
@@ -99,5 +99,7 @@ QUERIES = {f.__name__: f for f in (
     op7_random_indexing_quality, op8_token_combination_jaccard, op9_budgeted_chat_windows, op10_adaptive_quality_rules, op11_chain_field_toxicity, op12_spanning_tree_hard_negatives,
     op13_displacement_fill_middle)}
 
-ORACLES: dict[str, str] = {"op1_source_mixing": mixing.ORACLE, "op12_spanning_tree_hard_negatives": hard_negatives.ORACLE,
-                           "op13_displacement_fill_middle": fill_middle.ORACLE}
+ORACLES: dict[str, str] = {
+    "op1_source_mixing": mixing.ORACLE, "op2_rlz_substring_dedup": rlz_dedup.ORACLE, "op5_bwt_merge_dedup": bwt_dedup.ORACLE,
+    "op8_token_combination_jaccard": jaccard_join.ORACLE, "op12_spanning_tree_hard_negatives": hard_negatives.ORACLE,
+    "op13_displacement_fill_middle": fill_middle.ORACLE}

@@ -140,3 +140,20 @@ def dedup_by_parsing(spark: SparkSession, docs: DataFrame, length: int = 35, gra
     plan = Plan(length, gram, False, block_words, parse_contexts(length), hot_contexts)
     blocks = write_blocks(spark, docs, "rlz-blocks", key, text, words=True, block_bytes=block_bytes)
     return find_repeats(spark, blocks, plan, "rlz-status", bucket_bytes).mapInArrow(remove_words(length), SCHEMA)
+
+
+#: The registered query in DuckDB: windows of 35 words by their text, words covered by a repeated one.
+ORACLE = r"""
+WITH docs AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+words AS MATERIALIZED (SELECT r, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS j FROM docs),
+windows AS (
+  SELECT r, j, md5(array_to_string(w[j:j + 34], ' ')) AS s FROM (SELECT r, w, unnest(range(1, len(w) - 33)) AS j FROM docs)),
+repeated AS (SELECT r, j, 1 AS starts FROM windows QUALIFY count(*) OVER (PARTITION BY s) > 1),
+marked AS (
+  SELECT r, j, word, max(coalesce(starts, 0)) OVER (PARTITION BY r ORDER BY j ROWS BETWEEN 34 PRECEDING AND CURRENT ROW) AS gone
+  FROM words LEFT JOIN repeated USING (r, j)),
+kept AS (
+  SELECT r, sum(gone) AS n_removed, string_agg(word, ' ' ORDER BY j) FILTER (WHERE gone = 0) AS kept_text FROM marked GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(kept_text, '')) AS kept_sha256
+FROM docs LEFT JOIN kept USING (r)"""
