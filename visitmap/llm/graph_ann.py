@@ -54,7 +54,11 @@ def beam_search(x: np.ndarray, edges: np.ndarray, start: int, queries: np.ndarra
         new = ~seen[rows, near]
         new[:, 1:] &= near[:, 1:] != near[:, :-1]
         seen[rows, near] = True
-        d = np.where(new, squared(queries, x[near]), np.inf).astype(np.float32)
+        # Distances of nodes not met before alone.
+        who, at = np.nonzero(new)
+        diff = x[near[who, at]] - queries[who]
+        d = np.full(near.shape, np.inf, dtype=np.float32)
+        d[who, at] = np.einsum("ij,ij->i", diff, diff)
         ids, dist = np.concatenate((ids, near), axis=1), np.concatenate((dist, d), axis=1)
         opened = np.concatenate((opened, ~new), axis=1)
         order = np.argsort(dist, axis=1, kind="stable")[:, :beam]
@@ -149,7 +153,7 @@ def build_index(spark: SparkSession, vectors: DataFrame, key: str, vector: str,
 
 
 def nearest(spark: SparkSession, vectors: DataFrame, queries: DataFrame, key: str = "vec_id", vector: str = "embedding", k: int = 10,
-            shard_size: int = 2048, degree: int = 32, build_beam: int = 64, beam: int = 96, alpha: float = 1.2, block: int = 256) -> DataFrame:
+            shard_size: int = 8192, degree: int = 32, build_beam: int = 64, beam: int = 64, alpha: float = 1.2, block: int = 256) -> DataFrame:
     """The ``k`` nearest rows of ``vectors`` found for each row of ``queries``, without the query's own id.
 
     ``query_id``, ``rank`` (from 1), ``vec_id``, ``score``: Euclidean distance in double
