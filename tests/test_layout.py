@@ -71,6 +71,32 @@ def test_too_few_buckets_are_told(spark, laid_out, caplog):
     assert rows(df) == rows(build_visit_map(cus, msg, W, build_ts=STAMP))
 
 
+def file_rows(spark, found):
+    return [r[1] for r in spark.table(found.name).groupBy(F.input_file_name()).count().collect()]
+
+
+def test_buckets_follow_the_rows(spark, laid_out, caplog):
+    cus, _ = load_inputs(spark, SF)
+    # Two rows a conversation, and a crowded one, whose rows don't count.
+    msg = spark.range(6000).select(
+        (F.col("id") % 3000).cast("string").alias("conversation_id"), F.col("id").alias("account_id"), F.lit("a").alias("visitor_app_id"),
+        F.lit("web").alias("conversation_source"), F.lit(None).cast("string").alias("visitor_device_type"))
+    crowd = spark.range(3000).select(F.lit("3").alias("conversation_id"), F.col("id").alias("account_id"), *[F.lit("b").alias(c) for c in msg.columns[2:]])
+    one = msg.where("account_id < 3000").unionByName(crowd)
+    found = laid_out(one, buckets=2, hot_rows=100, bucket_rows=300)
+    assert lay.bucket_number(spark, found) == 10  # 2,999 rows, 300 each
+    assert max(file_rows(spark, found)) < 600
+    with caplog.at_level(logging.WARNING, logger="visitmap"):
+        lay.append_layout(spark, found, msg, hot_rows=100, bucket_rows=300)
+        assert "anew" not in caplog.text
+        # An append of twice as much a bucket as one task writes; then the layout has outgrown its buckets.
+        assert lay.bucket_number(spark, found) == 10 and max(file_rows(spark, found)) < 600
+        lay.append_layout(spark, found, msg.withColumn("visitor_app_id", F.lit("c")), hot_rows=100, bucket_rows=300)
+    assert "anew" in caplog.text
+    everything = one.unionByName(msg).unionByName(msg.withColumn("visitor_app_id", F.lit("c")))
+    assert rows(build_visit_map(cus, found, None, build_ts=STAMP)) == rows(build_visit_map(cus, everything, None, build_ts=STAMP))
+
+
 @pytest.mark.parametrize("prededupe", ["auto", "both", "none"])
 def test_crowded_conversations_on_both_sides(spark, laid_out, prededupe):
     cus, msg = load_inputs(spark, SF)

@@ -6,15 +6,17 @@ conversation, which the buckets already are, and only the customer slice is shuf
 
 * **Buckets** hold distinct rows, sorted by conversation, with a Parquet bloom filter on it. So a row group has
   a short range of conversations: the slice's smallest and largest one, and the listed conversations of a
-  small slice, are pushed into the scan and skip row groups.
+  small slice, are pushed into the scan and skip row groups. A bucket is written and deduped by one task, so their
+  number follows from the rows: ``bucket_rows`` each.
 * **Crowded conversations.** A bucket is one task and can't be split, so conversations with more than ``hot_rows``
   rows are kept in a second, plain table, which is joined the usual way (shuffled, skew split). A
   conversation may have rows in both: a join over a union is the union of the joins, and the rows are deduped
   afterwards. The same goes for the customer side: conversations with more slice rows than that are joined with their
   messaging rows apart.
 * **Growth.** ``append`` adds rows to both tables. Rows that are there already do no harm, so an append that was cut
-  off is run again. A bucket then holds at most ``hot_rows`` rows of a conversation for each append. Rows that vanish or change at
-  the source need a new layout.
+  off is run again. A bucket then holds at most ``hot_rows`` rows of a conversation for each append. An append of more than
+  ``bucket_rows`` rows a bucket is written by several tasks a bucket. The number of buckets stays, so a layout that has
+  outgrown it is told, and should be made anew; so should one whose rows vanish or change at the source.
 
 Rows without a conversation never join and are left out. A layout of no rows is two empty tables.
 """
@@ -22,6 +24,7 @@ Rows without a conversation never join and are left out. A layout of no rows is
 from __future__ import annotations
 
 import logging
+import math
 from dataclasses import dataclass, replace
 from functools import reduce
 
@@ -36,6 +39,8 @@ KEY = "conversation_id"
 LISTED_KEYS = 10_000        # conversations of a slice that are pushed one by one; above, their range alone
 BROADCAST_BYTES = 32 << 20  # crowded conversations, as bytes of their ids
 HOT_ROWS = 1_000_000
+BUCKET_ROWS = 1_000_000     # rows that one task writes; about 400 MB of its memory
+OUTGROWN = 4                # times as many rows in a bucket, after appends
 
 log = logging.getLogger("visitmap")
 
@@ -98,48 +103,58 @@ def _writer(rows: DataFrame, mode: str):
         .option("parquet.bloom.filter.adaptive.enabled", "true")
 
 
-def _split(rows: DataFrame, hot_rows: int, known: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """``rows`` apart by whether their conversation is crowded: more than ``hot_rows`` rows here, or ``known``."""
-    hot = rows.groupBy(KEY).agg(F.count("*").alias("rows")).where(F.col("rows") > hot_rows).select(KEY)
+def _split(rows: DataFrame, hot_rows: int, known: DataFrame | None = None) -> tuple[DataFrame, DataFrame, int]:
+    """``rows`` apart by whether their conversation is crowded: more than ``hot_rows`` rows here, or ``known``.
+
+    And the number of rows whose conversation isn't crowded here.
+    """
+    each, crowded = rows.groupBy(KEY).agg(F.count("*").alias("rows")), F.col("rows") > hot_rows
+    hot = each.where(crowded).select(KEY)
+    octets = F.octet_length(F.col(KEY).cast("string"))
+    calm, number, size = each.agg(F.sum(F.when(~crowded, F.col("rows"))), F.count_if(crowded), F.sum(F.when(crowded, octets))).first()
     if known is not None:
         hot = hot.union(known.select(KEY)).distinct()
-    number, size = hot.agg(F.count("*"), F.sum(F.octet_length(F.col(KEY).cast("string")))).first()
+        number, size = hot.agg(F.count("*"), F.sum(octets)).first()
     if not number:
-        return rows, rows.limit(0)
+        return rows, rows.limit(0), calm or 0
     # A plain join beyond the bound; the ids are measured, with some room for the rows around them.
     listed = F.broadcast(hot) if size + 64 * number <= BROADCAST_BYTES else hot
-    return rows.join(listed, KEY, "left_anti"), rows.join(listed, KEY, "left_semi")
+    return rows.join(listed, KEY, "left_anti"), rows.join(listed, KEY, "left_semi"), calm or 0
 
 
-def _write(layout: MessagingLayout, cold: DataFrame, hot: DataFrame, buckets: int, mode: str, location: str | None = None) -> None:
+def _write(layout: MessagingLayout, cold: DataFrame, hot: DataFrame, buckets: int, mode: str, location: str | None = None, tasks: int = 1) -> None:
     columns = cold.columns
     crowded = _writer(dedupe(hot).hint("rebalance").sortWithinPartitions(KEY), mode)
-    # Partitioned as the buckets are: one file a bucket, and copies go without another shuffle.
-    rest = _writer(cold.repartition(buckets, KEY).dropDuplicates().select(*columns), mode).bucketBy(buckets, KEY).sortBy(KEY)
+    # Partitioned as the buckets are, or as a multiple of them: ``tasks`` files a bucket, and copies go without another shuffle.
+    rest = _writer(cold.repartition(buckets * tasks, KEY).dropDuplicates().select(*columns), mode).bucketBy(buckets, KEY).sortBy(KEY)
     for writer, name, folder in ((crowded, layout.hot_name, "hot"), (rest, layout.name, "buckets")):
         if location is not None:
             writer = writer.option("path", f"{location.rstrip('/')}/{folder}")
         writer.saveAsTable(name)
 
 
-def create_layout(spark: SparkSession, msg: DataFrame | str, name: str, location: str, buckets: int, hot_rows: int = HOT_ROWS) -> MessagingLayout:
-    """Lay messaging out as ``name`` under ``location``.
+def create_layout(spark: SparkSession, msg: DataFrame | str, name: str, location: str, buckets: int, hot_rows: int = HOT_ROWS,
+                  bucket_rows: int = BUCKET_ROWS) -> MessagingLayout:
+    """Lay messaging out as ``name`` under ``location``, in ``buckets`` or as many more as keep ``bucket_rows`` rows in each.
 
-    Take about one bucket a GB of the five columns, and at least as many as the session's shuffle partitions: Spark
-    shuffles both sides of a join rather than go below that number.
+    Take at least as many as the session's shuffle partitions: Spark shuffles both sides of a join rather than go below that number.
     """
     layout = MessagingLayout(name)
     rows = scan_messaging(msg, None, spark).where(F.col(KEY).isNotNull())
-    cold, hot = _split(rows, hot_rows)
-    _write(layout, cold, hot, buckets, "error", location)
+    cold, hot, number = _split(rows, hot_rows)
+    _write(layout, cold, hot, max(buckets, math.ceil(number / bucket_rows)), "error", location)
     return layout
 
 
-def append_layout(spark: SparkSession, layout: MessagingLayout, msg: DataFrame | str, hot_rows: int = HOT_ROWS) -> None:
+def append_layout(spark: SparkSession, layout: MessagingLayout, msg: DataFrame | str, hot_rows: int = HOT_ROWS, bucket_rows: int = BUCKET_ROWS) -> None:
     """Add rows. Conversations known as crowded, or crowded among these, go to the second table."""
     rows = scan_messaging(msg, None, spark).where(F.col(KEY).isNotNull())
-    cold, hot = _split(rows, hot_rows, spark.table(layout.hot_name).select(KEY).distinct())
-    _write(layout, cold, hot, bucket_number(spark, layout), "append")
+    cold, hot, number = _split(rows, hot_rows, spark.table(layout.hot_name).select(KEY).distinct())
+    buckets = bucket_number(spark, layout)
+    _write(layout, cold, hot, buckets, "append", tasks=max(1, math.ceil(number / (buckets * bucket_rows))))
+    held = spark.table(layout.name).count()
+    if held > OUTGROWN * buckets * bucket_rows:
+        log.warning("%s holds %d rows in %d buckets, each of which one task reads: lay it out anew", layout.name, held, buckets)
 
 
 def bucket_number(spark: SparkSession, layout: MessagingLayout) -> int:
