@@ -20,7 +20,13 @@ from pyspark.sql import functions as F
 
 from visitmap.llm import chunk_bpe, jaccard_join, mixing, pii_crf, quality_rules, scratch
 from visitmap.llm.queries import word_bpe
-from visitmap.session import scratch_path
+from visitmap.session import apply, scratch_path
+
+#: What Spark hands to Python at once: the JVM and the worker each hold a batch whole, beside a heap that
+#: earlier stages have filled. Spark's own bound is 64 MB.
+BATCHES = {"spark.sql.execution.arrow.maxBytesPerBatch": "1m"}
+#: Words whose tokens a worker remembers; its memory stands beside that heap, too.
+REMEMBERED = 50_000
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,7 +53,7 @@ def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document's ids, their number, and the text they decode to."""
     path = word_bpe()
     carry = [c for c in ("lang", "source", "n_chars") if c in docs.columns]
-    out = chunk_bpe.encode_corpus(spark, docs, path, carry=carry, decode_to="decoded")
+    out = chunk_bpe.encode_corpus(spark, docs, path, carry=carry, decode_to="decoded", remember=REMEMBERED)
     return out.withColumn("n_tokens", F.expr("octet_length(ids) div 4"))
 
 
@@ -60,9 +66,13 @@ def after_the_one_before(stage):
     A stage gets the written result of the one before, so those have been read for the
     last time; tables that ``docs`` itself still reads are left, and so are all that
     other callers of the operators wrote.
+
+    Its result is worked out when the caller writes it, so the session is left with ``BATCHES``.
     """
     @functools.wraps(stage)
     def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        for k, v in BATCHES.items():
+            spark.conf.set(k, v)
         scratch.drop_unread(spark, _left, docs)
         before = set(scratch.tables())
         out = stage(spark, docs, sf_dir)
@@ -90,8 +100,9 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents of ``sf_dir``."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES:
-        path = scratch_path(spark, f"pipeline-{name}")
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+    with apply(spark, BATCHES):
+        for name, stage in STAGES:
+            path = scratch_path(spark, f"pipeline-{name}")
+            stage(spark, docs, sf_dir).write.parquet(path)
+            docs = spark.read.parquet(path)
     return docs

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from visitmap.llm import scratch
-from visitmap.llm.chunk_bpe import cut_chunks, decode_corpus, encode_corpus
+from visitmap.llm.chunk_bpe import Encoder, cut_chunks, decode_corpus, encode_corpus
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 SIGNS = ["a", "é", "ß", " ", "  ", "\n", "\t", "'s", "'", "<|endoftext|>", "<|startoftext|>", " ", " ", "Σ", "ΑΣ", "é", "́", "日本", "😀", "\x00", "\x1c", "12", "!!", "\x85", " ", "x" * 30]
@@ -57,3 +57,12 @@ def test_null_and_repeated_keys_gather_one_documents_chunks(spark):
 
 def test_empty_table(spark):
     assert encode_corpus(spark, spark.createDataFrame([], "doc_id long, text string"), PATH).count() == 0
+
+
+def test_words_beyond_those_to_remember_are_forgotten():
+    library = Tokenizer.from_file(PATH)
+    enc = Encoder(open(PATH, encoding="utf-8").read(), remember=100)
+    for i in range(40):
+        text = " ".join(f"often w{i}x{j}" for j in range(30))
+        assert np.frombuffer(enc.words(text.encode()), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+        assert b"often" in enc.tokens and len(enc.tokens) <= 200 and len(enc.older) <= 200

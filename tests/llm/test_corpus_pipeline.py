@@ -1,4 +1,5 @@
 import corpus_pipeline
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from tests.llm import brute
@@ -52,3 +53,32 @@ def test_odd_and_empty_documents(spark):
     got = stages(spark, spark.createDataFrame(rows, schema))
     assert got["near_duplicates"].where("doc_id is null").isEmpty() and got["personal_data"].where("text like '%@%'").isEmpty()
     assert stages(spark, spark.createDataFrame([], schema))["bpe"].count() == 0
+
+
+def test_what_goes_to_python_at_once_is_bounded(spark):
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows]), pa.array([b.nbytes])], names=["n", "bytes"])
+
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    old = spark.conf.get(key)
+    try:
+        spark.conf.unset(key)
+        docs = spark.range(0, 20_000, 1, 1).select("id", F.repeat(F.lit("x"), 1000).alias("text"))
+        stage = corpus_pipeline.after_the_one_before(lambda spark, docs, sf_dir: docs.mapInArrow(sizes, "n long, bytes long"))
+        got = stage(spark, docs, SF).collect()
+        assert sum(r.n for r in got) == 20_000 and max(r.bytes for r in got) < 2 << 20
+    finally:
+        spark.conf.set(key, old)
+
+
+def test_the_session_is_left_as_it_was(spark, tmp_path):
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "8m")
+    try:
+        spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+        assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+        assert spark.conf.get(key) == "8m"
+    finally:
+        spark.conf.set(key, old)

@@ -81,3 +81,12 @@ def test_rows_masks_and_odd_input(spark, weights):
     assert P.find_personal_data(spark, docs.limit(0), weights=weights).count() == 0
     line = got.select(P.span_text(F.filter("spans", lambda s: s["base"])).alias("t")).where("doc_id = 1").first().t
     assert line == "email:2:9,phone:11:28"
+
+
+def test_texts_go_to_python_once(spark, weights):
+    docs = spark.createDataFrame([(1, "call +1 555 123 4567 now", "en")], "doc_id long, text string, lang string")
+    rows = P.searched_rows(spark, docs, "text", docs.columns, weights, 2.0)
+    assert "text" not in rows.schema["row"].dataType.names
+    found, masked = P.find_personal_data(spark, docs, weights=weights), P.mask_documents(spark, docs, weights=weights)
+    assert found.columns == [*docs.columns, "spans"] and found.first().text == docs.first().text
+    assert masked.columns == docs.columns and masked.first().text == "call <PHONE> now"

@@ -81,7 +81,7 @@ PLAIN = frozenset(b"abcdefghijklmnopqrstuvwxyz0123456789")
 class Encoder:
     """Tokens of byte strings without white space inside (cached) and of short stretches."""
 
-    def __init__(self, tokenizer_json: str):
+    def __init__(self, tokenizer_json: str, remember: int = CACHED):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -90,6 +90,7 @@ class Encoder:
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        self.remember = remember
         self.tokens: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}  # of the words before those; the ones still in use move up
         table = [self.tokenizer.id_to_token(i) for i in range(self.tokenizer.get_vocab_size(with_added_tokens=True))]
@@ -116,7 +117,7 @@ class Encoder:
 
     def learn(self, texts) -> None:
         """Have the tokens of all ``texts`` (words) in ``tokens``; words long unused are forgotten."""
-        if len(self.tokens) > CACHED:
+        if len(self.tokens) > self.remember:
             self.tokens, self.older = {}, self.tokens
         tokens, older = self.tokens, self.older
         unknown = []
@@ -169,15 +170,15 @@ class Encoder:
             size *= 2
 
 
-_encoders: dict[int, Encoder] = {}
+_encoders: dict[tuple[int, int], Encoder] = {}
 
 
-def encoder(tokenizer_json: str) -> Encoder:
+def encoder(tokenizer_json: str, remember: int = CACHED) -> Encoder:
     """One a worker process."""
-    key = hash(tokenizer_json)
+    key = hash(tokenizer_json), remember
     if key not in _encoders:
         _encoders.clear()
-        _encoders[key] = Encoder(tokenizer_json)
+        _encoders[key] = Encoder(tokenizer_json, remember)
     return _encoders[key]
 
 
@@ -219,11 +220,13 @@ def encode_document(enc: Encoder, text: bytes, at: int, layout: Layout, chunks:
 
 
 def encode_corpus(spark: SparkSession, docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text",
-                  average: int = CHUNK_BYTES, carry: list[str] = (), decode_to: str | None = None) -> DataFrame:
+                  average: int = CHUNK_BYTES, carry: list[str] = (), decode_to: str | None = None, remember: int = CACHED) -> DataFrame:
     """``key``, ``ids`` (little-endian unsigned 32-bit integers) and the ``carry`` columns of every row.
 
     ``decode_to`` names a column for the decoded text, as ``decode_corpus`` would add it, from the same pass.
 
+    ``remember``: a worker keeps the tokens of up to about twice so many words (some 200 bytes each); with fewer it works longer.
+
     ``tokenizer`` is the path of a tokenizers JSON file, read by the driver and
     broadcast (its size is the vocabulary's). The result is that of the library
     on the whole text, without special tokens added, truncation or padding. Null
@@ -280,7 +283,7 @@ def encode_corpus(spark: SparkSession, docs: DataFrame, tokenizer: str, key: str
                 texts, size, first = [], 0, i + 1
 
     def encode_shared(batches):
-        enc, last = encoder(vocabulary.value), None
+        enc, last = encoder(vocabulary.value, remember), None
         for batch in batches:
             wanted, keys = batch.column(batch.schema.names.index("asked")), batch.column(batch.schema.names.index("k"))
             for i, texts, at, layout in documents(batch):
@@ -300,7 +303,7 @@ def encode_corpus(spark: SparkSession, docs: DataFrame, tokenizer: str, key: str
     ready = chunks.join(tokens, "h").groupBy("k").agg(F.collect_list(F.struct("h", "ids")).alias("ready"))
 
     def assemble(batches):
-        enc = encoder(vocabulary.value)
+        enc = encoder(vocabulary.value, remember)
         for batch in batches:
             names = batch.schema.names
             ready_column, row_column = batch.column(names.index("ready")), batch.column(names.index("row"))

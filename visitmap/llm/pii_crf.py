@@ -337,9 +337,9 @@ def added_spans(text: str, weights: np.ndarray, base: list[tuple[str, int, int]]
 
 
 def searched_rows(spark: SparkSession, docs: DataFrame, text: str, names: list[str], weights: np.ndarray | None, least: float) -> DataFrame:
-    """``row`` (a struct of ``names``), ``text`` and ``spans`` of every document."""
+    """``row`` (a struct of ``names`` without ``text``, which goes to Python once), ``text`` and ``spans`` of every document."""
     weights = learn(spark, docs, text) if weights is None else weights
-    rows = docs.select(F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`") for c in names]).alias("row"), F.col(text).alias("text"))
+    rows = docs.select(F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`") for c in names if c != text]).alias("row"), F.col(text).alias("text"))
     kinds = pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("base", pa.bool_())])
 
     def search(batches):
@@ -370,7 +370,7 @@ def find_personal_data(spark: SparkSession, docs: DataFrame, text: str = "text",
     input column called ``spans`` gives way to the new one.
     """
     names = [c for c in (docs.columns if carry is None else carry) if c != "spans"]
-    return searched_rows(spark, docs, text, names, weights, least).select(*[F.col("row")[c].alias(c) for c in names], "spans")
+    return searched_rows(spark, docs, text, names, weights, least).select(*[(F.col("text") if c == text else F.col("row")[c]).alias(c) for c in names], "spans")
 
 
 def mask_documents(spark: SparkSession, docs: DataFrame, text: str = "text", weights: np.ndarray | None = None, least: float = 2.0) -> DataFrame:
@@ -378,10 +378,8 @@ def mask_documents(spark: SparkSession, docs: DataFrame, text: str = "text", wei
     rows = searched_rows(spark, docs, text, docs.columns, weights, least).select("row", mask_text(F.col("text"), F.col("spans")).alias("new"), F.size("spans").alias("n"))
     out = []
     for c in docs.columns:
-        value = F.col("row")[c]
-        if c == text:
-            value = F.col("new")
-        elif c == "n_chars":
+        value = F.col("new") if c == text else F.col("row")[c]
+        if c == "n_chars" and c != text:
             value = F.when(F.col("n") > 0, F.length("new").cast(docs.schema[c].dataType)).otherwise(value)
         out.append(value.alias(c))
     return rows.select(*out)
