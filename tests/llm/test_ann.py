@@ -1,6 +1,7 @@
 import numpy as np
 from pyspark.sql import functions as F
 
+from visitmap.llm import graph_ann
 from visitmap.llm.graph_ann import nearest
 
 SF = "/root/testdata/sf0.01"
@@ -37,3 +38,24 @@ def test_empty_and_small_tables(spark):
     assert nearest(spark, e.limit(0), e.limit(0)).count() == 0
     few = e.where("vec_id < 3")
     assert nearest(spark, few, few).count() == 6
+
+
+def test_larger_shards_prune_no_more_a_node(monkeypatch):
+    pruned = []
+    prune = graph_ann.robust_prune
+    monkeypatch.setattr(graph_ann, "robust_prune", lambda x, nodes, *more: (pruned.append(len(nodes)), prune(x, nodes, *more))[1])
+    a_node = []
+    for n in (1500, 6000):
+        pruned.clear()
+        x = np.random.default_rng(5).random((n, 16), dtype=np.float32)
+        edges, _ = graph_ann.build_graph(x, 16, 16, 1.2)
+        assert (edges >= 0).any(axis=1).all()
+        a_node.append(sum(pruned) / n)
+    assert a_node[1] < 1.2 * a_node[0]
+
+
+def test_shards_are_not_packed_into_one_task(spark):
+    e = spark.createDataFrame([(i, [float(i), 1.0]) for i in range(400)], "vec_id long, embedding array<float>")
+    index, shards = graph_ann.build_index(spark, e, "vec_id", "embedding", 10, 50, 8, 16, 1.2)
+    files = index.select(F.input_file_name().alias("f")).distinct().count()
+    assert shards == 8 and index.count() == 8 and files >= 4

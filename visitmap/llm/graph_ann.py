@@ -89,8 +89,12 @@ def robust_prune(x: np.ndarray, nodes: np.ndarray, near: np.ndarray, degree: int
     return out
 
 
-def build_graph(x: np.ndarray, degree: int, beam: int, alpha: float, batch: int = 256) -> tuple[np.ndarray, int]:
-    """Edges (-1: none) and the start, the node nearest to the mean. Two rounds: alpha 1, then ``alpha``."""
+def build_graph(x: np.ndarray, degree: int, beam: int, alpha: float, batch: int = 256, batches: int = 8) -> tuple[np.ndarray, int]:
+    """Edges (-1: none) and the start, the node nearest to the mean. Two rounds: alpha 1, then ``alpha``.
+
+    Edges back are added after every ``batches``-th part of the nodes, ``batch`` at least: a node gets
+    edges from nearly every part, and is pruned for each, so a fixed part would prune more a node in larger shards.
+    """
     n = len(x)
     rng = np.random.default_rng(n)
     start = int(((x - x.mean(axis=0)) ** 2).sum(axis=1).argmin())
@@ -98,12 +102,17 @@ def build_graph(x: np.ndarray, degree: int, beam: int, alpha: float, batch: int
     if n > 1:
         first = min(degree // 2, n - 1)
         edges[:, :first] = (np.arange(n)[:, None] + rng.integers(1, n, (n, first))) % n
+    part_size = max(batch, -(-n // batches))
     for a in (1.0, alpha):
         order = rng.permutation(n)
-        for i in range(0, n, batch):
-            nodes = order[i: i + batch]
-            met, _ = beam_search(x, edges, start, x[nodes], beam)
-            edges[nodes] = robust_prune(x, nodes, np.concatenate((met, edges[nodes]), axis=1), degree, a)
+        for i in range(0, n, part_size):
+            nodes = order[i: i + part_size]
+            ahead = []
+            for j in range(0, len(nodes), batch):
+                some = nodes[j: j + batch]
+                met, _ = beam_search(x, edges, start, x[some], beam)
+                ahead.append(robust_prune(x, some, np.concatenate((met, edges[some]), axis=1), degree, a))
+            edges[nodes] = np.concatenate(ahead)
             # The edges back, a few for each node at a time.
             to, src = edges[nodes].ravel(), np.repeat(nodes, degree)
             to, src = to[to >= 0], src[to >= 0]
@@ -147,6 +156,8 @@ def build_index(spark: SparkSession, vectors: DataFrame, key: str, vector: str,
         edges, start = build_graph(x.astype(np.float32), degree, beam, alpha)
         return pd.DataFrame({"dim": [group[0]], "shard": [group[1]], "vectors": [x.tobytes()], "ids": [ids.tobytes()], "edges": [edges.astype(np.int32).tobytes()], "start": [start]})
 
+    # Shards are few bytes and much work: by bytes, adaptive execution would pack several into a task.
+    nodes = nodes.repartition(4 * shards, "dim", "shard")
     path = scratch_path(spark, "graph-index")
     nodes.groupBy("dim", "shard").applyInPandas(build, INDEX).write.parquet(path)
     return spark.read.schema(INDEX).parquet(path), shards
