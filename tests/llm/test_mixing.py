@@ -73,3 +73,10 @@ def test_points(spark):
 def test_empty_table(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert Mix(spark, empty).taken().count() == 0 and mix_documents(spark, empty).count() == 0
+
+
+def test_the_driver_follows_few_shuffles_at_a_time(spark):
+    docs = spark.createDataFrame([(i, "w " * 50, None, f"s{i % 3}", 1, 1, 1) for i in range(300)], SCHEMA)
+    for out in (Mix(spark, docs, block_words=10).taken(), mix_documents(spark, docs, block_words=10)):
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange ") <= 5

@@ -7,7 +7,9 @@ cumulative shares; the source's k-th slot takes its k-th block, pass after
 pass, up to the source's target. So every stretch of the schedule holds the
 sources nearly in proportion. Running sums and ranks go in two levels (within
 hash buckets or stretches of slots, then over those), so that a source with a
-third of all documents is still spread over the cluster.
+third of all documents is still spread over the cluster. What a step works out
+without texts is written and read again, so that the driver plans, compiles and
+follows one step's shuffles at a time.
 """
 
 from __future__ import annotations
@@ -100,6 +102,13 @@ def line_places(named: DataFrame, digits: int, most: int = 1 << 16) -> DataFrame
             .select("src", "source", "source_size", "target", "h", "tie", "doc_id", "size", "same", "start"))
 
 
+def written(spark: SparkSession, name: str, rows: DataFrame) -> DataFrame:
+    """The rows, from a table in the scratch folder."""
+    path = scratch_path(spark, name)
+    rows.write.parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
+
+
 class Mix:
     """A mix of ``docs``: ``sources``, ``lines`` (the documents' places), ``slots``, ``pieces``.
 
@@ -112,18 +121,14 @@ class Mix:
     def __init__(self, spark: SparkSession, docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source",
                  weights=WEIGHTS, most: int = MOST, block_words: int = BLOCK_WORDS, seed: str = "mix"):
         self.spark, self.block = spark, block_words
-        path = scratch_path(spark, "mix-sizes")
         word = F.col(text)
-        (docs.select(F.col(key).alias("doc_id"), F.col(source).alias("source"), F.size(word_array(word)).cast("long").alias("size"),
-                     F.md5(F.concat(F.lit(seed + ":"), F.coalesce(F.col(key).cast("string"), F.lit("null")))).alias("h"),
-                     F.xxhash64(word).alias("same"))
-         .write.parquet(path))
-        sized = spark.read.parquet(path)
+        sized = written(spark, "mix-sizes", docs.select(
+            F.col(key).alias("doc_id"), F.col(source).alias("source"), F.size(word_array(word)).cast("long").alias("size"),
+            F.md5(F.concat(F.lit(seed + ":"), F.coalesce(F.col(key).cast("string"), F.lit("null")))).alias("h"),
+            F.xxhash64(word).alias("same")))
         n = sized.count()
         digits = max(2, len(f"{n // 2000:x}"))  # about 2,000 documents a bucket
-        path = scratch_path(spark, "mix-sources")
-        source_targets(sized, weights, most).write.parquet(path)
-        self.sources = spark.read.parquet(path)
+        self.sources = written(spark, "mix-sources", source_targets(sized, weights, most))
         # Words that each source gives, and the slots that takes.
         whole = F.expr(f"(source_size + {block_words - 1}) div {block_words}")
         quota = F.floor("target").cast("long")
@@ -131,7 +136,7 @@ class Mix:
                      .withColumn("passes", F.expr("quota div source_size")).withColumn("rest", F.expr("quota % source_size"))
                      .withColumn("blocks", whole).withColumn("need", F.expr(f"passes * blocks + (rest + {block_words - 1}) div {block_words}")))
         named = sized.join(self.sources.select(F.col("source").alias("of"), "src", "source_size", "target"), F.col("source").eqNullSafe(F.col("of"))).drop("of")
-        self.lines = line_places(named, digits)
+        self.lines = written(spark, "mix-lines", line_places(named, digits))
 
     def slots(self) -> DataFrame:
         """The schedule: slot, src, nth (of its source), pass, block, and the words [first, last) of the source's line."""
@@ -175,6 +180,7 @@ class Mix:
         whole = (F.col("last") == F.least(F.col("first") + b, F.col("source_size")))
         used = (self.slots().join(self.plan.select("src", "source_size"), "src")
                 .groupBy("src", "block").agg(F.sum(whole.cast("long")).alias("times"), F.max(F.when(~whole, F.col("last"))).alias("stop")))
+        used = written(self.spark, "mix-blocks", used)
         cut = self.pieces().join(used, ["src", "block"], "left")
         words = F.coalesce(F.col("times"), F.lit(0)) * (F.col("to") - F.col("from")) + F.greatest(F.least(F.col("to"), F.coalesce("stop", F.lit(0))) - F.col("from"), F.lit(0))
         keys = ["src", "start", "doc_id", "size", "same", "source", "source_size", "target"]
@@ -197,7 +203,7 @@ def mix_documents(spark: SparkSession, docs: DataFrame, key: str = "doc_id", tex
     rows = rows.where("_size > 0").withColumn("_n", F.row_number().over(same))
     counts = taken.where("taken > 0").withColumn("n", F.row_number().over(Window.partitionBy("doc_id", "source", "size", "same").orderBy("start")))
     on = F.col("_id").eqNullSafe(F.col("doc_id")) & F.col("_source").eqNullSafe(F.col("source")) & (F.col("_size") == F.col("size")) & (F.col("_h") == F.col("same")) & (F.col("_n") == F.col("n"))
-    rows = rows.join(counts.select("doc_id", "source", "size", "same", "n", "taken"), on)
+    rows = rows.join(written(spark, "mix-counts", counts.select("doc_id", "source", "size", "same", "n", "taken")), on)
     rows = rows.withColumn("_part", F.expr("taken % size")).withColumn("_copy", F.explode(F.expr("sequence(1, (taken + size - 1) div size)")))
     cut = (F.col("_part") > 0) & (F.col("_copy") > F.expr("taken div size"))
     cut_text = F.when(cut, F.array_join(F.slice(word_array(F.col("row")[text]), F.lit(1), F.greatest(F.col("_part"), F.lit(1)).cast("int")), " ")).otherwise(F.col("row")[text])
