@@ -25,40 +25,87 @@ SCHEMA = "doc_id long, n_bytes long, n_removed long, spans array<struct<start:lo
 SHARDS = 8
 
 
+#: Grams are numbered with a table of so many places a symbol of the text, and 16 million, at most.
+PLACES = 8
+
+
+class Grams:
+    """The runs of a few symbols at every position, numbered in their order.
+
+    ``text`` holds small symbols, 0 ending each string; a string is taken as a ring.
+    ``at[k][p]`` is the number of the k symbols from position p on. The longest runs
+    have the most symbols, up to ``longest``, with numbers that still fit 16 bits.
+    """
+
+    def __init__(self, text: np.ndarray, sizes: np.ndarray, letters: int, longest: int):
+        n = len(text)
+        end = np.cumsum(sizes)
+        self.ahead = np.arange(1, n + 1)
+        self.ahead[end - 1] = end - sizes
+        self.at = {1: text}
+        if longest < 2:
+            return
+        if letters > 256:  # no room in 16 bits
+            self.at[2] = text.astype(np.uint32) * np.uint32(letters) + text[self.ahead]
+            return
+        code, count, k, far = text, letters, 1, self.ahead
+        while k < longest and count * letters <= min(max(PLACES * n, 1 << 16), 1 << 24):
+            code, count = numbered(code, text[far], count, letters)
+            if count > 1 << 16:
+                break
+            k, far = k + 1, self.ahead[far]
+            self.at[k] = code
+
+    def steps(self, length: int) -> list[int]:
+        """Run lengths that add up to ``length``, long ones first."""
+        out = []
+        for k in sorted(self.at, reverse=True):
+            out += [k] * ((length - sum(out)) // k)
+        return out
+
+
+def numbered(high: np.ndarray, low: np.ndarray, n_high: int, n_low: int) -> tuple[np.ndarray, int]:
+    """Ranks of the pairs (high, low) among those there are, and how many there are."""
+    both = high.astype(np.int32) * np.int32(n_low) + low
+    there = np.zeros(n_high * n_low, dtype=bool)
+    there[both] = True
+    count = int(np.count_nonzero(there))
+    rank = np.cumsum(there, dtype=np.int32) - 1
+    return rank.astype(np.uint16 if count <= 1 << 16 else np.int32)[both], count
+
+
 class Shard:
     """The rotations of terminated strings in order of their first ``length`` symbols.
 
-    ``text`` holds small symbols, 0 ending each string. ``pairs[p]`` are the two
-    symbols before position p as one number, within p's string taken as a ring.
+    ``text`` holds small symbols, 0 ending each string. ``before[k][p]`` is the number
+    of the k symbols before position p, within p's string taken as a ring, for the
+    run lengths of ``steps``. ``grams``: those of the whole text that these strings
+    stand in from ``at`` on; without it, pairs of these strings alone.
     """
 
-    def __init__(self, text: np.ndarray, sizes: np.ndarray, length: int, letters: int):
+    def __init__(self, text: np.ndarray, sizes: np.ndarray, length: int, letters: int, grams: Grams | None = None, at: int = 0):
         n = len(text)
-        end = np.cumsum(sizes)
-        begin = end - sizes
-        ahead = np.arange(1, n + 1)
-        ahead[end - 1] = begin
+        ring = grams.ahead[at: at + n] - at if grams else None
+        if grams is None:
+            grams = Grams(text, sizes, max(letters, 257), min(length, 2))  # numbers that other shards have too
+            ring = grams.ahead
         back = np.empty(n, dtype=np.int64)
-        back[ahead] = np.arange(n)
-        self.single = text[back]
-        self.pairs = (text[back[back]].astype(np.uint32) * letters + self.single).astype(np.uint32 if letters > 256 else np.uint16)
-        # Order by the symbols from the last to the first, two at a time.
+        back[ring] = np.arange(n)
+        self.steps = grams.steps(length)
+        # Order by the symbols from the last to the first, a run at a time.
         order = np.arange(n)
         start = order.copy()
         for _ in range(length):
-            start = ahead[start]
-        done = 0
-        if length % 2:
-            start = back[start]
-            order = order[np.argsort(text[start], kind="stable")]
-            done = 1
-        two = ahead[ahead]
-        next_pair = np.empty(n, dtype=self.pairs.dtype)
-        next_pair[:] = self.pairs[two]
-        while done < length:
-            start = back[back[start]]
-            order = order[np.argsort(next_pair[start][order], kind="stable")]
-            done += 2
+            start = ring[start]
+        far, self.before = {}, {}
+        for k in sorted(set(self.steps)):
+            to = np.arange(n)
+            for _ in range(k):
+                to = back[to]
+            far[k], self.before[k] = to, grams.at[k][at: at + n][to]
+        for k in reversed(self.steps):
+            order = order[np.argsort(self.before[k][start][order], kind="stable")]
+            start = far[k][start]
         self.order = order
 
 
@@ -66,21 +113,18 @@ def merge_shards(shards: list[Shard], length: int) -> tuple[np.ndarray, np.ndarr
     """Interleave of the shards, interval of each suffix, and common prefix with the one before.
 
     Intervals number the groups of suffixes that agree in their first ``length``
-    symbols; the common prefix is exact up to the step of two symbols.
+    symbols; the common prefix is exact up to the step, which is two symbols if
+    the shards have no longer runs.
     """
     sizes = [len(s.order) for s in shards]
-    pairs = np.concatenate([s.pairs[s.order] for s in shards])
-    single = np.concatenate([s.single[s.order] for s in shards])
+    columns = {k: np.concatenate([s.before[k][s.order] for s in shards]) for k in shards[0].before}
     z = np.repeat(np.arange(len(shards), dtype=np.uint8), sizes)
     group = np.zeros(len(z), dtype=np.int32)
     prefix = np.full(len(z), length, dtype=np.int16)
-    merged = np.empty_like(pairs)
     done = 0
-    while done < length:
-        column, step = (pairs, 2) if length - done >= 2 else (single, 1)
-        if column is single:
-            merged = np.empty_like(single)
-        merged[np.argsort(z, kind="stable")] = column  # the merged transform in the present order
+    for step in shards[0].steps:
+        merged = np.empty_like(columns[step])
+        merged[np.argsort(z, kind="stable")] = columns[step]  # the merged transform in the present order
         deal = np.argsort(merged, kind="stable")
         symbol, was = merged[deal], group[deal]
         z = z[deal]
@@ -104,11 +148,11 @@ def merge_contexts(length: int):
         closed[ranges(begin, sizes)] = text
         count = int(shard[-1]) + 1
         part = shard * min(SHARDS, count) // count  # neighbouring blocks together
-        shards, offsets = [], []
+        shards, offsets, grams = [], [], Grams(closed, sizes + 1, letters, length)
         for k in range(int(part[-1]) + 1):
             i, j = np.searchsorted(part, [k, k + 1])
             lo, hi = begin[i], begin[j - 1] + sizes[j - 1] + 1
-            shards.append(Shard(closed[lo:hi], sizes[i:j] + 1, length, letters))
+            shards.append(Shard(closed[lo:hi], sizes[i:j] + 1, length, letters, grams, lo))
             offsets.append(lo)
         z, group, _ = merge_shards(shards, length)
         place = np.empty(len(z), dtype=np.int64)

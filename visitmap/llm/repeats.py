@@ -79,6 +79,20 @@ def bucket_slices(buckets: np.ndarray):
         yield from zip(buckets[np.concatenate(([0], cut))].tolist(), [0, *cut.tolist()], [*cut.tolist(), len(buckets)])
 
 
+def order_by(first: np.ndarray, *then: np.ndarray) -> np.ndarray:
+    """Ascending order by ``first``, by each of ``then`` where what stands before it is equal, by position at last.
+
+    The others are sorted only where ``first`` is equal: it should tell most values apart."""
+    order = np.argsort(first)
+    same = first[order[1:]] == first[order[:-1]]
+    tied = np.zeros(len(order), dtype=bool)
+    tied[1:] = same
+    tied[:-1] |= same
+    some = np.sort(order[tied])
+    order[tied] = some[np.lexsort((*(x[some] for x in reversed(then)), first[some]))]
+    return order
+
+
 def batch(schema: list[tuple[str, pa.DataType]], rows: list[tuple]) -> pa.RecordBatch:
     columns = list(zip(*rows)) if rows else [[] for _ in schema]
     return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, (_, t) in zip(columns, schema)], names=[n for n, _ in schema])
@@ -104,7 +118,7 @@ def anchor_messages(plan: Plan, bits: int):
             ids, known, offs, body = unpack_block(row)
             symbols, offs = plan.symbols(body, offs)
             runs = anchor_runs(symbols, offs, plan.length, plan.gram)
-            order = np.lexsort((runs.context, runs.anchor >> _U(32 - bits)))
+            order = order_by(runs.anchor >> _U(32 - bits), runs.context)
             key, context = (runs.anchor >> _U(32 - bits))[order], runs.context[order]
             new, fresh = np.ones(len(key), dtype=bool), np.ones(len(key), dtype=bool)
             new[1:] = key[1:] != key[:-1]
@@ -155,7 +169,7 @@ def entry_messages(plan: Plan, bits: int):
                 lo, hi = np.concatenate((lo, starts)), np.concatenate((hi, starts))
             doc = np.searchsorted(offs, lo, side="right") - 1
             doc = np.where(known[doc], ids[doc], LAST) if plan.earlier else np.zeros(len(lo), np.int64)
-            order = np.lexsort((lo, doc, context, key >> _U(32 - bits)))
+            order = order_by(key >> _U(32 - bits), context, doc, lo)
             key, context, left, right, lo, hi, doc = (x[order] for x in (key, context, left, right, lo, hi, doc))
             short = key >> _U(32 - bits)
             new = np.ones(len(lo), dtype=bool)
@@ -200,7 +214,7 @@ def window_of(symbols: np.ndarray, starts: np.ndarray, length: int, step: int =
 
 def partnered(a: np.ndarray, c: np.ndarray, part: np.ndarray) -> np.ndarray:
     """Where (a, part) also stands with another context than c; a part of 0 has no partner."""
-    order = np.lexsort((c, part, a))
+    order = order_by(a.astype(np.uint64) << _U(32) | part.astype(np.uint64) << _U(16) | c >> _U(8 * CONTEXT_BYTES - 16), c)
     a, c, p = a[order], c[order], part[order]
     new = np.ones(len(a), dtype=bool)
     new[1:] = (a[1:] != a[:-1]) | (p[1:] != p[:-1])
@@ -222,7 +236,7 @@ def settle_entries(plan: Plan):
         c = np.concatenate([unpack_ints(x, np.uint64, CONTEXT_BYTES) for x in rows["c"]])
         n = np.concatenate([np.frombuffer(x, np.uint8) for x in rows["n"]])
         sizes = np.array([len(x) for x in rows["n"]])
-        order = np.lexsort((w, c, a))
+        order = order_by(a.astype(np.uint64) << _U(32) | c >> _U(8 * CONTEXT_BYTES - 32), c, w)
         new = np.ones(len(c), dtype=bool)
         new[1:] = (c[order][1:] != c[order][:-1]) | (a[order][1:] != a[order][:-1])
         group = np.empty(len(c), dtype=np.int64)
@@ -266,7 +280,7 @@ def context_messages(plan: Plan):
 
 
 #: Symbols that are compared at once: an anchor's contexts stand together, others don't meet.
-AT_ONCE = 1 << 19
+AT_ONCE = 1 << 18
 
 
 def compare_contexts(plan: Plan):
@@ -317,10 +331,19 @@ def covered(size: int, length: int, status: list, masks: list) -> np.ndarray:
     return np.cumsum(edge[:-1]) > 0
 
 
+#: Every block has a message for every bucket. So buckets grow, to so many times their
+#: size, before there are more than FEW of them: messages stay large, their number follows the blocks'.
+FEW, GROWN = 512, 32
+
+
+def bucket_bits(blocks: DataFrame, bucket_bytes: int) -> int:
+    n = bucket_count(blocks, bucket_bytes)
+    return min(n, max(FEW, n // GROWN)).bit_length() - 1
+
+
 def find_repeats(spark: SparkSession, blocks: DataFrame, plan: Plan, name: str, bucket_bytes: int = 1 << 20) -> DataFrame:
     """The blocks with ``status`` and ``masks``, to be read by ``covered``."""
-    n = bucket_count(blocks, bucket_bytes)
-    bits = n.bit_length() - 1
+    bits = bucket_bits(blocks, bucket_bytes)
     blocks = blocks.select(*COLUMNS)
     flags = blocks.mapInArrow(anchor_messages(plan, bits), ANCHORS).groupBy("bucket").applyInPandas(flag_anchors(plan), FLAGS)
     entries = with_messages(blocks, flags, ["bucket", "flags"]).mapInArrow(entry_messages(plan, bits), ENTRIES)

@@ -156,7 +156,7 @@ def sliding_min(x: np.ndarray, width: int) -> np.ndarray:
 class Runs:
     """Anchor occurrences: arrays of equal length, in order of position.
 
-    ``anchor`` hash of the anchor, ``lo`` and ``hi`` first and last start of the
+    ``anchor`` hash of the anchor (spread: the hashes that choose it are small ones), ``lo`` and ``hi`` first and last start of the
     windows it owns, ``context`` hash of the symbols from ``lo`` to the end of the
     last window, ``left`` and ``right`` hashes of the anchor with the ``side``
     symbols before or after it (0: the context doesn't have them).
@@ -216,7 +216,7 @@ def anchor_runs(symbols: np.ndarray, offs: np.ndarray, length: int, gram: int, s
         lo = where[np.concatenate(([0], turn))]
         hi = where[np.concatenate((turn, [len(best)])) - 1]
         pos = best[np.concatenate(([0], turn))]
-        out = {"anchor": h[pos], "lo": lo + at, "hi": hi + at}
+        out = {"anchor": mix(h[pos]), "lo": lo + at, "hi": hi + at}
         part = lambda s, e: mix((total[e] - total[s]) * q[s] + (e - s).astype(np.uint64) * _MULT)
         out["context"] = part(lo, hi + length)
         has = pos - lo >= side
